@@ -1,13 +1,16 @@
 """Visit classification: media type, channel and platform.
 
-The five columns are first-match chains over few prepared columns: lower-cased names and
-three flags. Names starting with `raw_` keep their case. Rules that an earlier rule always
-pre-empts are left out: on a landing the segment name equals the source name, so tests on the
-segment name repeat tests on the source name.
+The labels are first-match chains over few prepared columns: lower-cased names and flags.
+Names starting with `raw_` keep their case. Rules that an earlier rule always pre-empts are
+left out: on a landing the segment name equals the source name, so tests on the segment name
+repeat tests on the source name. The chains run over the distinct sources only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -259,28 +262,20 @@ LABELS = [
 ]
 
 
-def frequent_sources(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
-    """B2C rows whose source type occurs often enough, with its frequency.
-
-    A count per type, combined before the shuffle, replaces a window over few, huge groups.
-    The count table is written first, so whether it is broadcast follows from its true size.
-    """
-    b2c = visits.filter("b2b_b2c = 'B2C'")
-    counts = b2c.groupBy(F.col("visit_traffic_source_type").alias("kind")).agg(
-        F.count(F.lit(1)).alias("source_frequency")
-    )
-    kept = materialize(counts.filter(F.col("source_frequency") >= at_least))
-    same_kind = F.col("visit_traffic_source_type").eqNullSafe(F.col("kind"))
-    return b2c.join(kept, same_kind).drop("kind")
+# What the labels depend on.
+SOURCE_KEYS = [
+    "visit_traffic_source_type", "visit_traffic_source_name", "segment_name", "segment_campaign_name",
+    "segment_campaign_grouping", "segment_channel", "is_campaign_landing",
+]
 
 
-def label_visits(visits: DataFrame) -> DataFrame:
-    """Add the seven label columns; row by row, no shuffle."""
-    plain = visits.columns
-    named = visits.select("*", *[F.expr(rule).alias(name) for name, rule in PREPARED.items()])
+def label_sources(sources: DataFrame) -> DataFrame:
+    """Add the seven label columns, row by row."""
+    plain = sources.columns
+    named = sources.select("*", *[F.expr(rule).alias(name) for name, rule in PREPARED.items()])
     labelled = named.select(
         "*",
-        first_match(MEDIA_TYPE, F.col("type")).alias("media_type"),
+        first_match(MEDIA_TYPE, "type").alias("media_type"),
         first_match(CHANNEL).alias("processed_channel"),
         first_match(PLATFORM).alias("processed_platform"),
     ).select(
@@ -293,9 +288,41 @@ def label_visits(visits: DataFrame) -> DataFrame:
     return labelled.select(*plain, *LABELS[:5], channel.alias("channel"), platform.alias("platform"))
 
 
+def source_dictionary(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
+    """Each distinct source of B2C visits with its labels and the frequency of its type.
+
+    One pass over the source columns, combined before the shuffle. Some 200 patterns are
+    then tested once per source, not once per visit; and frequencies come from these counts
+    instead of a window over few, huge groups.
+    """
+    b2c = visits.filter("b2b_b2c = 'B2C'")
+    sources = materialize(b2c.groupBy(*SOURCE_KEYS).agg(F.count(F.lit(1)).alias("rows_")))
+    types = sources.groupBy(F.col("visit_traffic_source_type").alias("kind_")).agg(
+        F.sum("rows_").alias("source_frequency")
+    )
+    same = F.col("visit_traffic_source_type").eqNullSafe(F.col("kind_"))
+    kept = sources.join(types.filter(F.col("source_frequency") >= at_least), same)
+    return label_sources(kept.drop("rows_", "kind_"))
+
+
+def frequent_sources(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
+    """B2C rows whose source type occurs often enough, with that frequency."""
+    return _look_up(visits.filter("b2b_b2c = 'B2C'"), source_dictionary(visits, at_least), ["source_frequency"])
+
+
 def classify(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
     """Frequent B2C visits without exact copies, labelled.
 
-    The labels follow from the row, so copies are dropped before they are computed.
+    Frequency and labels follow from the row, so copies go first, then the dictionary is
+    looked up. Being a written table, it is broadcast only if it is small.
     """
-    return label_visits(frequent_sources(visits, at_least).dropDuplicates())
+    b2c = visits.filter("b2b_b2c = 'B2C'").dropDuplicates()
+    return _look_up(b2c, source_dictionary(visits, at_least), ["source_frequency", *LABELS])
+
+
+def _look_up(visits: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
+    entries = materialize(
+        dictionary.select(*[F.col(key).alias(f"{key}_") for key in SOURCE_KEYS], *columns)
+    )
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"{key}_")) for key in SOURCE_KEYS])
+    return visits.join(entries, same).drop(*[f"{key}_" for key in SOURCE_KEYS])

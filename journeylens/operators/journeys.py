@@ -14,15 +14,12 @@ from .windows import explode_windows
 SPLIT_KEYS = ["run_date", "conversion_type", USER]
 CHUNK_SECONDS = 60
 
-# Visits at the same time: the converting one comes last, then by channel.
-ORDER = [VISIT_TS, FLAG, "channel"]
-
 DECAY, DECAY_HOURS = 0.6, 7
 
 
 def flag_rule(rule: str) -> tuple[Column | None, Column]:
     """What is maximised per user and cohort, and the condition for a converting visit."""
-    was, at, last = F.col(FLAG) == 1, F.col(VISIT_TS), F.col("last_")
+    was, at, last = F.col("recorded_") == 1, F.col(VISIT_TS), F.col("last_")
     rules = {
         "last_visit": (at, (at == last) & was),
         "conversion_time": (F.col(CONV_TS), (at == last) & was),
@@ -53,7 +50,7 @@ def touches(
     if "run_date" not in visits.columns:
         visits = visits.withColumn("run_date", F.to_date(CONV_TS))
     rows = visits.filter(F.col(USER).isNotNull() & F.col("conversion_type").isNotNull()).select(
-        *SPLIT_KEYS, *windows, VISIT_TS, CONV_TS, F.col(FLAG).cast("int").alias(FLAG),
+        *SPLIT_KEYS, *windows, VISIT_TS, CONV_TS, F.col(FLAG).cast("int").alias("recorded_"),
         F.coalesce(F.col(channel), F.lit(NO_TOUCHPOINT)).alias("channel"), *keep,
     )
     arguments = (rule, decay, decay_hours)
@@ -72,16 +69,19 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
         rows = explode_windows(rows)
     by_user = COHORT + [USER]
     maximum, converting = flag_rule(rule)
+    # Of visits at the same time the converting one comes last, then the channel decides. What
+    # still ties is interchangeable: the maximum rules flag by time and recorded flag alone.
+    order = [VISIT_TS, FLAG if maximum is None else "recorded_", "channel"]
     if maximum is not None:
-        rows = ordered_scan(rows, by_user, ORDER, total={"last_": ("max", maximum)}, chunk=chunk)
+        rows = ordered_scan(rows, by_user, order, total={"last_": ("max", maximum)}, chunk=chunk)
     rows = rows.withColumn(FLAG, F.when(converting, 1).otherwise(0)).drop("last_")
     rows = ordered_scan(
-        rows, by_user, ORDER, before={"journey_no": F.col(FLAG)}, following={"next_channel": F.col("channel")}, chunk=chunk
+        rows, by_user, order, before={"journey_no": F.col(FLAG)}, following={"next_channel": F.col("channel")}, chunk=chunk
     )
     rows = ordered_scan(
         rows,
         by_user + ["journey_no"],
-        ORDER,
+        order,
         before={"position": F.lit(1)},
         total={
             "touch_count": ("sum", F.lit(1)),
@@ -100,6 +100,7 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
             "decay_weight": F.pow(F.lit(decay), periods),
         }
     )
-    return ordered_scan(
-        rows, by_user + ["journey_no"], ORDER, total={"decay_total": ("sum", F.col("decay_weight"))}, chunk=chunk
+    rows = ordered_scan(
+        rows, by_user + ["journey_no"], order, total={"decay_total": ("sum", F.col("decay_weight"))}, chunk=chunk
     )
+    return rows.drop("recorded_")

@@ -10,14 +10,20 @@ instead of one per channel.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..names import COHORT, CONVERSION, FLAG, JOURNEY, MODELS, NULL_STATE, START
 from ..runtime import materialize
 
+# Executors need not have this package: the solver travels with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Cohorts with more edges than this are solved by distributed products, not in one task.
 DENSE_EDGES = 2_000_000
 DENSE_STATES = 2_000

@@ -31,7 +31,8 @@ def ordered_scan(
     group = keys + ([chunk] if chunk else [])
     ordered = Window.partitionBy(*group).orderBy(*order)
     prior = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
+    # Ordered too, though it spans all rows: so all columns come from one sort.
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     columns = {name: F.coalesce(F.sum(v).over(prior), F.lit(0)) for name, v in before.items()}
     columns |= {name: F.lead(v).over(ordered) for name, v in following.items()}
     if not chunk:
@@ -46,7 +47,7 @@ def ordered_scan(
     summary = df.groupBy(*group).agg(*parts)
     steps = Window.partitionBy(*keys).orderBy(chunk)
     earlier = steps.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(*keys)
+    every = steps.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = summary.select(
         *group,
         *[F.coalesce(F.sum(f"{n}_part_").over(earlier), F.lit(0)).alias(f"{n}_carry_") for n in before],

@@ -22,7 +22,15 @@ def session(app: str = "journeylens", **conf: str) -> SparkSession:
             **conf,
         }
     )
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """UTC everywhere; on one machine also small partitions, so that small inputs use all cores."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

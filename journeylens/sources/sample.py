@@ -6,9 +6,10 @@ The rules are listed in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import literal
 from ..schemas import APP_EVENTS, USER_LTV, VISITS, conform
 
 # Fixed values, by event_id modulo the length of the list.
@@ -64,10 +65,10 @@ APPS = [
 ]
 
 
-def pick(values: list[str | None], number: Column) -> Column:
-    """values[number % len(values)]"""
-    array = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.get(array, (number % len(values)).cast("int"))
+def pick(values: list[str | None], number: str = "event_id") -> str:
+    """SQL for values[number % len(values)]"""
+    listed = ", ".join(literal(value) for value in values)
+    return f"get(array({listed}), int({number} % {len(values)}))"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,21 +81,15 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def conversions(log: DataFrame) -> DataFrame:
     """The first signup and the first purchase of each user and day."""
-    kind = F.when(F.col("event_type") == "signup", "Trial").when(
-        F.col("event_type") == "purchase", "Subscription"
-    )
-    first = F.min(F.struct("ts", "event_id", "value"))
+    kind = "case event_type when 'signup' then 'Trial' when 'purchase' then 'Subscription' end"
     days = (
-        log.withColumn("conversion_type", kind)
-        .filter("conversion_type is not null")
-        .groupBy("user_id", F.to_date("ts").alias("day"), "conversion_type")
-        .agg(first.alias("first"))
+        log.filter("event_type in ('signup', 'purchase')")
+        .groupBy("user_id", F.to_date("ts").alias("day"), F.expr(kind).alias("conversion_type"))
+        .agg(F.expr("min(struct(ts, event_id, value))").alias("first"))
     )
-    return days.select(
-        "user_id", "conversion_type",
-        F.col("first.ts").alias("conversion_ts"),
-        F.col("first.event_id").alias("conversion_id"),
-        F.col("first.value").alias("conversion_value"),
+    return days.selectExpr(
+        "user_id", "conversion_type", "first.ts as conversion_ts", "first.event_id as conversion_id",
+        "first.value as conversion_value",
     )
 
 
@@ -105,97 +100,92 @@ def visits(spark: SparkSession, folder: str) -> DataFrame:
     conversions bounded by the days of the log, never by the user's rows.
     """
     log = events(spark, folder)
-    nations = _table(spark, folder, "nation").select(
-        F.col("n_nationkey").cast("long").alias("nation_key"), F.col("n_name").alias("geo_country_name")
+    nations = _table(spark, folder, "nation").selectExpr(
+        "bigint(n_nationkey) as nation_key", "n_name as geo_country_name"
     )
-    eid, uid, cid = F.col("event_id"), F.col("user_id"), F.col("conversion_id")
-    pairs = log.join(conversions(log), "user_id").filter(F.col("ts") <= F.col("conversion_ts"))
-    pairs = pairs.withColumn("nation_key", uid % 25).join(nations, "nation_key", "left")
-    source_name = pick([name for _, name in SOURCES], eid)
-    table = pairs.select(
-        F.concat(F.lit("u"), uid.cast("string")).alias("user_guid"),
-        F.col("ts").alias("attribution_visit_start_time"),
-        pick([kind for kind, _ in SOURCES], eid).alias("visit_traffic_source_type"),
-        source_name.alias("visit_traffic_source_name"),
-        pick(DEVICES, eid).alias("visit_device_type"),
-        (eid % 2 == 0).alias("is_campaign_landing"),
-        F.when(eid % 4 < 2, source_name)
-        .otherwise(F.concat(F.lit("seg"), (eid % 5).cast("string")))
-        .alias("segment_name"),
-        pick(CAMPAIGNS, eid).alias("segment_campaign_name"),
-        pick(GROUPINGS, F.floor(eid / 3)).alias("segment_campaign_grouping"),
-        pick(SEGMENT_CHANNELS, eid).alias("segment_channel"),
-        F.concat(F.lit("audience"), (eid % 3).cast("string")).alias("segment_audience"),
-        F.lit("web").alias("b2c_abstraction_datasource"),
-        F.when(uid % 10 == 9, "B2B").otherwise("B2C").alias("b2b_b2c"),
-        pick([name for name, _ in PRODUCTS], cid).alias("product_name"),
-        pick([term for _, term in PRODUCTS], cid).alias("b2c_product_name_and_term"),
+    # Rows multiply here, so both sides are shuffled even where one would fit a broadcast.
+    pairs = log.join(conversions(log).hint("shuffle_hash"), "user_id").filter("ts <= conversion_ts")
+    pairs = pairs.withColumn("nation_key", F.expr("user_id % 25")).join(nations, "nation_key", "left")
+    source_name = pick([name for _, name in SOURCES])
+    table = pairs.selectExpr(
+        "'u' || user_id as user_guid",
+        "ts as attribution_visit_start_time",
+        pick([kind for kind, _ in SOURCES]) + " as visit_traffic_source_type",
+        source_name + " as visit_traffic_source_name",
+        pick(DEVICES) + " as visit_device_type",
+        "event_id % 2 = 0 as is_campaign_landing",
+        f"if(event_id % 4 < 2, {source_name}, 'seg' || event_id % 5) as segment_name",
+        pick(CAMPAIGNS) + " as segment_campaign_name",
+        pick(GROUPINGS, "(event_id div 3)") + " as segment_campaign_grouping",
+        pick(SEGMENT_CHANNELS) + " as segment_channel",
+        "'audience' || event_id % 3 as segment_audience",
+        "'web' as b2c_abstraction_datasource",
+        "if(user_id % 10 = 9, 'B2B', 'B2C') as b2b_b2c",
+        pick([name for name, _ in PRODUCTS], "conversion_id") + " as product_name",
+        pick([term for _, term in PRODUCTS], "conversion_id") + " as b2c_product_name_and_term",
         "geo_country_name",
-        F.col("conversion_ts").alias("conversion_visit_timestamp"),
-        F.when(eid == cid, 1).otherwise(0).alias("converting_visit"),
+        "conversion_ts as conversion_visit_timestamp",
+        "if(event_id = conversion_id, 1, 0) as converting_visit",
         "conversion_type",
-        cid.alias("product_arrangement_id"),
-        pick(USER_COHORTS, uid).alias("user_cohort_primary"),
-        pick(["digital", "print"], cid).alias("b2c_product_type"),
-        (cid % 2 == 1).alias("is_app_conversion"),
-        pick(["core", "bundle", "add-on"], cid).alias("product_type"),
+        "conversion_id as product_arrangement_id",
+        pick(USER_COHORTS, "user_id") + " as user_cohort_primary",
+        pick(["digital", "print"], "conversion_id") + " as b2c_product_type",
+        "conversion_id % 2 = 1 as is_app_conversion",
+        pick(["core", "bundle", "add-on"], "conversion_id") + " as product_type",
     )
     return conform(table, VISITS)
 
 
 def user_ltv(spark: SparkSession, folder: str) -> DataFrame:
     """One value per conversion, missing for some; every fifth conversion has a second value."""
-    cid = F.col("conversion_id")
-    value = F.col("conversion_value") * F.when(F.col("copy") == 0, 12).otherwise(6)
-    copies = F.when(cid % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    table = conversions(events(spark, folder)).withColumn("copy", F.explode(copies))
-    table = table.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_guid"),
-        F.when((cid % 11 == 0) & (F.col("copy") == 0), None).otherwise(value)
-        .alias("ltv_acquisition_capped_12m"),
-        F.col("conversion_ts").alias("product_order_timestamp"),
-        cid.alias("product_arrangement_id"),
+    copies = "explode(if(conversion_id % 5 = 0, array(12, 6), array(12)))"
+    table = conversions(events(spark, folder)).withColumn("factor", F.expr(copies)).selectExpr(
+        "'u' || user_id as user_guid",
+        "if(conversion_id % 11 = 0 and factor = 12, null, conversion_value * factor) as ltv_acquisition_capped_12m",
+        "conversion_ts as product_order_timestamp",
+        "conversion_id as product_arrangement_id",
     )
     return conform(table, USER_LTV)
 
 
 def app_events(spark: SparkSession, folder: str) -> DataFrame:
-    eid, uid, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    name = (
-        F.when(kind == "signup", "install")
-        .when(kind == "purchase", "af_purchase")
-        .when(kind == "view", "af_content_view")
-        .when(kind == "click", pick(["af_share", "af_login", "select_package"], eid))
-        .otherwise(pick(["af_ars_subscription_renewed", "af_purchase_canceled"], eid))
-    )
-    cents = F.round(F.col("value") * 100).cast("long").cast("string")
-    quoted = F.lit('"')
-    body = F.concat(
-        F.lit('{"AFEventParamRevenue": "'), cents, quoted,
-        F.lit(', "AFEventParamCurrency": "'), pick(["GBP", "USD"], eid), quoted,
-        F.lit(', "payment_method_type": "'), pick(["card", "store", "voucher"], eid), quoted,
-        F.lit(', "AFEventParamOrderId": "o'), eid.cast("string"), quoted,
-        F.lit(', "AFEventParamContentType": "'), pick(APP_PRODUCTS, eid), quoted,
-        F.lit(', "af_content_type": "'), pick(APP_PRODUCTS, eid), quoted,
-        F.lit(', "af_order_id": "a'), eid.cast("string"), quoted,
-        F.lit(', "af_revenue": '), F.when(eid % 7 == 0, '"n/a"').otherwise(cents),
-        F.lit(', "af_currency": "'), pick(["EUR", "USD"], eid), F.lit('"}'),
-    )
-    table = events(spark, folder).select(
-        name.alias("event_name"),
-        F.when(eid % 13 == 0, F.lit('{"AFEventParamRevenue": "1", ')).otherwise(body).alias("event_value"),
-        pick(MEDIA_SOURCES, eid).alias("media_source"),
-        F.when(eid % 4 < 2, "ios").otherwise("android").alias("platform"),
-        F.col("ts").alias("event_time"),
-        F.date_trunc("day", "ts").alias("install_time"),
-        F.concat(F.lit("campaign"), (eid % 3).cast("string")).alias("campaign"),
-        F.when(eid % 2 == 0, "organic").otherwise("paid").alias("campaign_type"),
-        pick(["EMEA", "APAC"], uid).alias("region"),
-        pick(["GB", "US", "JP"], uid).alias("country_code"),
-        F.concat(F.lit("af"), uid.cast("string")).alias("appsflyer_id"),
-        F.concat(F.lit("u"), uid.cast("string")).alias("customer_user_id"),
-        pick(APPS, eid).alias("app_id"),
-        F.concat(F.lit("app"), (eid % 6).cast("string")).alias("app_name"),
-        F.to_date("ts").alias("partition_date"),
+    name = f"""
+        case event_type
+            when 'signup' then 'install'
+            when 'purchase' then 'af_purchase'
+            when 'view' then 'af_content_view'
+            when 'click' then {pick(["af_share", "af_login", "select_package"])}
+            else {pick(["af_ars_subscription_renewed", "af_purchase_canceled"])}
+        end"""
+    cents = "string(bigint(round(value * 100)))"
+    fields = {
+        "AFEventParamRevenue": f"'\"' || {cents} || '\"'",
+        "AFEventParamCurrency": f"'\"' || {pick(['GBP', 'USD'])} || '\"'",
+        "payment_method_type": f"'\"' || {pick(['card', 'store', 'voucher'])} || '\"'",
+        "AFEventParamOrderId": "'\"o' || event_id || '\"'",
+        "AFEventParamContentType": f"'\"' || {pick(APP_PRODUCTS)} || '\"'",
+        "af_content_type": f"'\"' || {pick(APP_PRODUCTS)} || '\"'",
+        "af_order_id": "'\"a' || event_id || '\"'",
+        "af_revenue": f"if(event_id % 7 = 0, '\"n/a\"', {cents})",
+        "af_currency": f"'\"' || {pick(['EUR', 'USD'])} || '\"'",
+    }
+    body = " || ', ' || ".join(f"'\"{key}\": ' || {value}" for key, value in fields.items())
+    broken = """'{"AFEventParamRevenue": "1", '"""
+    table = events(spark, folder).selectExpr(
+        name + " as event_name",
+        f"if(event_id % 13 = 0, {broken}, '{{' || {body} || '}}') as event_value",
+        pick(MEDIA_SOURCES) + " as media_source",
+        "if(event_id % 4 < 2, 'ios', 'android') as platform",
+        "ts as event_time",
+        "date_trunc('day', ts) as install_time",
+        "'campaign' || event_id % 3 as campaign",
+        "if(event_id % 2 = 0, 'organic', 'paid') as campaign_type",
+        pick(["EMEA", "APAC"], "user_id") + " as region",
+        pick(["GB", "US", "JP"], "user_id") + " as country_code",
+        "'af' || user_id as appsflyer_id",
+        "'u' || user_id as customer_user_id",
+        pick(APPS) + " as app_id",
+        "'app' || event_id % 6 as app_name",
+        "to_date(ts) as partition_date",
     )
     return conform(table, APP_EVENTS)
