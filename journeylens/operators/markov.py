@@ -10,6 +10,7 @@ instead of one per channel.
 
 from __future__ import annotations
 
+import heapq
 import sys
 
 import numpy as np
@@ -24,9 +25,11 @@ from ..runtime import materialize
 # Executors need not have this package: the solver travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Cohorts with more edges than this are solved by distributed products, not in one task.
-DENSE_EDGES = 2_000_000
-DENSE_STATES = 2_000
+# Cohorts with more edges or states than this are solved by distributed products, not in one task.
+TASK_EDGES = 1_000_000
+TASK_STATES = 30_000
+# A state is eliminated singly as long as it has at most this many pairs of neighbours.
+CHEAP_PAIRS = 24
 EFFECT_SCHEMA = (
     "run_date date, conversion_type string, conversion_window int, channel string, removal_effect_raw double"
 )
@@ -93,26 +96,90 @@ def unpivot_matrix(wide: DataFrame, ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, columns, "destination", "probability")
 
 
+def _visits_and_values(n: int, steps: list[tuple[int, int, float]], wins: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row 0 of N, the diagonal of N, and N times `wins`, for N = (I - Q)^-1 and sparse Q.
+
+    States with few neighbours, the great majority, are eliminated one by one; the rest is
+    inverted as a dense matrix. Going back, only those entries of N are computed that belong
+    to steps of the (partly reduced) chain.
+    """
+    out: list[dict[int, float]] = [{} for _ in range(n)]
+    into: list[set[int]] = [set() for _ in range(n)]
+    for i, j, p in steps:
+        out[i][j] = p
+        into[j].add(i)
+    stay, wins, reach = np.zeros(n), wins.copy(), np.zeros(n)
+    reach[0] = 1
+    queue = [(len(out[m]) * len(into[m]), m) for m in range(n)]
+    heapq.heapify(queue)
+    gone, order = np.zeros(n, bool), []
+    while queue:
+        pairs, m = heapq.heappop(queue)
+        if gone[m] or pairs != len(out[m]) * len(into[m]):
+            continue
+        if pairs > CHEAP_PAIRS:
+            break
+        left, onward, gone[m] = 1 - stay[m], out[m], True
+        arriving = {i: out[i].pop(m) for i in into[m]}
+        for j, q in onward.items():
+            into[j].discard(m)
+            reach[j] += reach[m] * q / left
+        for i, p in arriving.items():
+            wins[i] += p * wins[m] / left
+            for j, q in onward.items():
+                if i == j:
+                    stay[i] += p * q / left
+                else:
+                    out[i][j] = out[i].get(j, 0.0) + p * q / left
+                    into[j].add(i)
+        order.append((m, left, arriving, onward))
+        for x in {*arriving, *onward}:
+            heapq.heappush(queue, (len(out[x]) * len(into[x]), x))
+
+    core = np.flatnonzero(~gone)
+    place = {m: c for c, m in enumerate(core.tolist())}
+    away = np.diag(1 - stay[core])
+    for m, c in place.items():
+        for j, q in out[m].items():
+            away[c, place[j]] -= q
+    inverse = np.linalg.inv(away)
+    visits, again, value = np.zeros(n), np.zeros(n), np.zeros(n)
+    visits[core], again[core], value[core] = reach[core] @ inverse, np.diag(inverse), inverse @ wins[core]
+    known: dict[tuple[int, int], float] = {}
+
+    def entry(i: int, j: int) -> float:
+        if i == j:
+            return again[i]
+        return inverse[place[i], place[j]] if i in place and j in place else known[i, j]
+
+    for m, left, arriving, onward in reversed(order):
+        value[m] = (wins[m] + sum(q * value[j] for j, q in onward.items())) / left
+        visits[m] = (reach[m] + sum(p * visits[i] for i, p in arriving.items())) / left
+        back = {j: sum(entry(j, i) * p for i, p in arriving.items()) / left for j in onward}
+        forth = {i: sum(q * entry(j, i) for j, q in onward.items()) / left for i in arriving}
+        again[m] = (1 + sum(q * back[j] for j, q in onward.items())) / left
+        known.update({(j, m): x for j, x in back.items()} | {(m, i): x for i, x in forth.items()})
+    return visits, again, value
+
+
 def _solve(frame: pd.DataFrame) -> pd.DataFrame:
     """Removal effects of one cohort of checked size."""
     ends = [CONVERSION, NULL_STATE]
     channels = sorted((set(frame.source) | set(frame.destination)) - {START, *ends})
     index = {state: i for i, state in enumerate([START, *channels])}
-    weight = frame.steps / frame.groupby("source").steps.transform("sum")
+    weight = (frame.steps / frame.groupby("source").steps.transform("sum")).to_numpy()
     rows = frame.source.map(index).to_numpy()
-    n = len(index)
     inner = (~frame.destination.isin(ends)).to_numpy()
-    away = np.eye(n)
-    away[rows[inner], frame.destination[inner].map(index).to_numpy()] -= weight[inner]
-    wins = np.zeros(n)
+    targets = frame.destination[inner].map(index)
+    wins = np.zeros(len(index))
     won = (frame.destination == CONVERSION).to_numpy()
     wins[rows[won]] = weight[won]
-    visits = np.linalg.inv(away)
-    value = visits @ wins
+    steps = list(zip(rows[inner].tolist(), targets.astype(int).tolist(), weight[inner].tolist()))
+    visits, again, value = _visits_and_values(len(index), steps, wins)
     if value[0] > 0:
-        effect = visits[0] * value / (np.diag(visits) * value[0])
+        effect = visits * value / (again * value[0])
     else:
-        effect = np.full(n, None, dtype=object)
+        effect = np.full(len(index), None, dtype=object)
     key = frame.iloc[0]
     return pd.DataFrame(
         {
@@ -168,7 +235,7 @@ def _solve_large(steps: DataFrame, mass_left: float = MASS_LEFT) -> DataFrame:
 
 
 def removal_effects_raw(
-    steps: DataFrame, dense_edges: int = DENSE_EDGES, dense_states: int = DENSE_STATES
+    steps: DataFrame, task_edges: int = TASK_EDGES, task_states: int = TASK_STATES
 ) -> DataFrame:
     """Unrounded effect per cohort and channel; NULL in a cohort without conversions.
 
@@ -178,7 +245,7 @@ def removal_effects_raw(
         F.count(F.lit(1)).alias("edges"), F.count_distinct("source").alias("states")
     )
     large = materialize(
-        sizes.filter((F.col("edges") > dense_edges) | (F.col("states") > dense_states)).select(*COHORT)
+        sizes.filter((F.col("edges") > task_edges) | (F.col("states") > task_states)).select(*COHORT)
     )
     if large.isEmpty():
         return steps.groupBy(*COHORT).applyInPandas(_solve, EFFECT_SCHEMA)

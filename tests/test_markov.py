@@ -67,18 +67,35 @@ def test_closed_form_and_distributed_products_agree_with_removal(spark, seed):
     counts = {edge: n for edge, n in counts.items() if n}
     steps = chain(spark, counts).unionByName(chain(spark, TWO_CHANNELS, 60))
     dense = markov.removal_effects_raw(steps)
-    products = markov.removal_effects_raw(steps, dense_edges=0)
+    products = markov.removal_effects_raw(steps, task_edges=0)
     same_rows(dense, products)
-    mixed = markov.removal_effects_raw(steps, dense_states=4)
+    mixed = markov.removal_effects_raw(steps, task_states=4)
     same_rows(dense, mixed)
     base = removed(counts, None)
     for channel, (effect,) in by(dense.filter("conversion_window = 30"), "channel", "removal_effect_raw").items():
         assert effect == pytest.approx(1 - removed(counts, channel) / base)
 
 
+@pytest.mark.parametrize("cheap", [0, 4, 10**9])
+def test_elimination_gives_the_entries_of_the_inverse(monkeypatch, cheap):
+    rng = np.random.default_rng(7)
+    n = 60
+    matrix = np.where(rng.random((n, n)) < 0.06, rng.random((n, n)), 0)
+    np.fill_diagonal(matrix, 0)
+    matrix /= matrix.sum(axis=1, keepdims=True) + 0.3
+    wins = rng.random(n)
+    inverse = np.linalg.inv(np.eye(n) - matrix)
+    monkeypatch.setattr(markov, "CHEAP_PAIRS", cheap)
+    steps = [(i, j, matrix[i, j]) for i, j in zip(*np.nonzero(matrix))]
+    visits, again, value = markov._visits_and_values(n, steps, wins)
+    np.testing.assert_allclose(visits, inverse[0])
+    np.testing.assert_allclose(again, np.diag(inverse))
+    np.testing.assert_allclose(value, inverse @ wins)
+
+
 def test_no_conversions(spark):
     steps = chain(spark, {(START, "A"): 2, ("A", NULL_STATE): 2})
-    for options in ({}, {"dense_edges": 0}):
+    for options in ({}, {"task_edges": 0}):
         raw = markov.removal_effects_raw(steps, **options)
         assert by(raw, "channel", "removal_effect_raw") == {"A": (None,)}
         assert by(markov.removal_effects(raw), "channel", "removal_effect") == {"A": (None,)}
