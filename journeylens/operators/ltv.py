@@ -90,7 +90,7 @@ def effect_ltv_text(digits: int = SCORE_DIGITS) -> Column:
 
 def zip_effect_ltv(channels: Column, shares: Column, ltv: Column) -> Column:
     """The same from texts `a > b` and `0.3 > 0.7`; NULL if they do not fit together."""
-    names = F.transform(F.split(channels, ">"), F.trim)
+    names = F.transform(F.split(channels, ">"), lambda x: F.trim(x))
     parts = F.transform(F.split(shares, ">"), lambda x: F.trim(x).try_cast("double"))
     pairs = F.transform(
         F.arrays_zip(names.alias("channel"), parts.alias("share")),

@@ -745,6 +745,23 @@ _BODY: dict[str, str] = {
         SELECT product_arrangement_id FROM user_ltv GROUP BY 1 HAVING count(*) > 1)""",
 }
 
+# Result sizes of a run on full touchpoints.
+PIECES["full_windowed"] = f"""
+    SELECT *, {TOUCHPOINT} AS label FROM ({window_rows('classified', 'v.*')})
+    WHERE run_date BETWEEN {AS_OF} - 15 AND {AS_OF} - 1"""
+PIECES["full_touches"] = touches("full_windowed", FLAGS["last_visit"])
+PIECES["full_channels"] = f"SELECT count(*) AS n FROM (SELECT DISTINCT {COHORT}, channel FROM full_touches)"
+_BODY["full_run"] = f"""
+    SELECT 'user_journeys' AS result, count(*) AS rows FROM valued
+    UNION ALL SELECT 'channel_level', n FROM full_channels
+    UNION ALL SELECT 'transitions', count(DISTINCT ({COHORT}, channel, coalesce(next_channel, '(conversion)')))
+        FILTER (channel IS DISTINCT FROM next_channel)
+        + count(DISTINCT ({COHORT}, channel)) FILTER (position = 1) FROM full_touches
+    UNION ALL SELECT 'removal_effects', n FROM full_channels
+    UNION ALL SELECT 'conversion_time', count(DISTINCT ({COHORT})) FROM full_touches
+    UNION ALL SELECT 'mart_channel', n FROM full_channels
+    UNION ALL SELECT 'mart_removal_ltv', n FROM full_channels"""
+
 _STATES = f"""SELECT {COHORT}, source AS state FROM edges UNION SELECT {COHORT}, destination FROM edges
     UNION SELECT {COHORT}, e FROM edges, (VALUES ('(null)'), ('(conversion)')) t(e)"""
 _BODY["markov_matrix_dense"] = f"""
