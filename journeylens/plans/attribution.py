@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..names import COHORT, TOUCHPOINT
+from ..names import COHORT, CONV_TS, TOUCHPOINT
 from ..operators import ltv as value
 from ..operators import markov, marts, models, timing
 from ..operators.classify import classify
@@ -73,7 +73,9 @@ def attribute(windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", cha
 
 def run(visits: DataFrame, ltv: DataFrame, as_of: date, output: str) -> dict[str, str]:
     """Classify, window, attribute and write; the last 15 days are replaced on every run."""
-    windowed = materialize(run_dates(conversion_windows(classify(visits), as_of), as_of))
+    # Conversions outside the run dates are filtered at the scan, before copies are dropped.
+    classified = materialize(run_dates(classify(visits), as_of))
+    windowed = materialize(conversion_windows(classified, as_of).withColumn("run_date", F.to_date(CONV_TS)))
     results = attribute(windowed, ltv)
     paths = {}
     for name, table in vars(results).items():

@@ -10,7 +10,7 @@ from journeylens import checks
 from journeylens.functions import fields, labels
 from journeylens.names import COHORT, CONV_TS, USER, VISIT_TS
 from journeylens.operators import appevents, journeys, ltv, markov, models, timing, windows
-from journeylens.plans.attribution import attribute, reported_type
+from journeylens.plans.attribution import attribute, reported_type, run
 from journeylens.runtime import materialize, scratch_path, scratch_root
 from journeylens.sinks import tables as sinks
 from journeylens.sources import tables
@@ -214,3 +214,25 @@ def test_registrations_are_renamed(spark):
 def test_scratch_is_the_folder_of_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == configured.rstrip("/") if configured else scratch_root(spark)
+
+
+def test_daily_run_writes_all_tables_twice_alike(spark):
+    users = []
+    for u in range(12):
+        users += [(f"u{u}", "2024-01-19 01:00:00", None, 0), (f"u{u}", "2024-01-20 12:00:00", None, 1)]
+    base = with_product(visits(spark, users).drop("touchpoint", "conversion_window"))
+    constant = {"b2b_b2c": "B2C", "visit_traffic_source_type": "Search", "visit_traffic_source_name": "Bing",
+                "segment_name": "s", "segment_campaign_name": "c", "segment_campaign_grouping": "g", "segment_channel": "h",
+                "visit_device_type": "mobile", "geo_country_name": "GB", "product_name": "FT Weekend", "user_cohort_primary": "new",
+                "b2c_product_type": "x", "b2c_product_name_and_term": "y"}
+    rows = base.select("*", F.lit(False).alias("is_campaign_landing"), *[F.lit(v).alias(k) for k, v in constant.items()])
+    path = scratch_path(spark)
+    value = orders(spark, [("u1", 8.0, "2024-01-20", 1)])
+    paths = run(rows, value, date(2024, 1, 31), path)
+    first = {name: spark.read.parquet(p).collect() for name, p in paths.items()}
+    run(rows, value, date(2024, 1, 31), path)
+    for name, p in paths.items():
+        assert sorted(map(repr, spark.read.parquet(p).collect())) == sorted(map(repr, first[name])), name
+    mart = by(spark.read.parquet(paths["mart_removal_ltv"]), "conversion_window", "channels", "cleaned_media_channel", "average_ltv")
+    touchpoint = "organic | search | bing | Bing | mobile | GB | new | FT Weekend"
+    assert mart == {w: (touchpoint, "organic search", 4.0) for w in (30, 60, 90)}
