@@ -18,6 +18,12 @@ MAIN_APP = ["com.ft.news", "id1200842933"]
 EDIT_APP = ["id1574510369"]
 EDITION_APP = ["com.ft.ftepaper.android", "id6449040684"]
 PLAIN_EDITION, BRANDED_EDITION = "Digital Edition", "FT Digital Edition"
+# Channel category by media source; else of organic campaigns by platform; else by paid source.
+SOURCE_CATEGORY = {
+    "QR_code": "QR_code", "Email": "Email_onboarding", "Web-to-app": "Onsite", "web_to_app": "Onsite",
+}
+ORGANIC_CATEGORY = {"ios": "Apple_store_organic", "android": "Google_play_organic"}
+PAID_CATEGORY = {"googleadwords_int": "ACi/Ace_paid", "Apple Search Ads": "ASA_paid"}
 PREMIUM, STANDARD = "713f1e28_0bc5_8261_f1e6_eebab6f7600e", "c8ad55e6_ba74_fea0_f9da_a4546ae2ee23"
 PURCHASE_TYPES = [
     ("_M_T", "monthly_trial"),
@@ -61,18 +67,15 @@ def app_group(edition_label: str) -> Column:
     )
 
 
+def _look_up(column: str, table: dict[str, str]) -> Column:
+    pairs = [F.lit(text) for pair in table.items() for text in pair]
+    return F.try_element_at(F.create_map(*pairs), F.col(column))
+
+
 def channel_category() -> Column:
-    source = F.col("media_source")
-    organic = F.col("campaign_type") == "organic"
-    return (
-        F.when(source == "QR_code", "QR_code")
-        .when(source == "Email", "Email_onboarding")
-        .when(source.isin("Web-to-app", "web_to_app"), "Onsite")
-        .when(organic & (F.col("platform") == "ios"), "Apple_store_organic")
-        .when(organic & (F.col("platform") == "android"), "Google_play_organic")
-        .when(source == "googleadwords_int", "ACi/Ace_paid")
-        .when(source == "Apple Search Ads", "ASA_paid")
-        .otherwise("Other")
+    by_store = F.when(F.col("campaign_type") == "organic", _look_up("platform", ORGANIC_CATEGORY))
+    return F.coalesce(
+        _look_up("media_source", SOURCE_CATEGORY), by_store, _look_up("media_source", PAID_CATEGORY), F.lit("Other")
     )
 
 

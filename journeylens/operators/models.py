@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import journey_id
-from ..names import COHORT, FLAG, JOURNEY, MODELS, USER, VISIT_TS
+from ..names import COHORT, JOURNEY, MODELS, USER, VISIT_TS
 
 POSITION_SHARES = (0.3, 0.3, 0.4)
 # Longest list in one output row; longer journeys go on in further rows.

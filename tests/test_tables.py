@@ -1,6 +1,6 @@
 """Labels, app events, timing, values, sinks, checks and the whole run on small fixtures."""
 
-from datetime import date, datetime, timedelta
+from datetime import date
 
 import pytest
 from helpers import at, by, same_rows, visits
@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from journeylens import checks
 from journeylens.functions import fields, labels
-from journeylens.names import COHORT, CONV_TS, USER, VISIT_TS
-from journeylens.operators import appevents, journeys, ltv, markov, models, timing, windows
+from journeylens.names import USER, VISIT_TS
+from journeylens.operators import appevents, journeys, ltv, models, timing
 from journeylens.plans.attribution import attribute, reported_type, run
 from journeylens.runtime import materialize, scratch_path, scratch_root
 from journeylens.sinks import tables as sinks
