@@ -75,13 +75,19 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
     if maximum is not None:
         rows = ordered_scan(rows, by_user, order, total={"last_": ("max", maximum)}, chunk=chunk)
     rows = rows.withColumn(FLAG, F.when(converting, 1).otherwise(0)).drop("last_")
+    # The rank settles the order of interchangeable rows for all that follows.
     rows = ordered_scan(
-        rows, by_user, order, before={"journey_no": F.col(FLAG)}, following={"next_channel": F.col("channel")}, chunk=chunk
+        rows,
+        by_user,
+        order,
+        before={"journey_no": F.col(FLAG), "rank_": F.lit(1)},
+        following={"next_channel": F.col("channel")},
+        chunk=chunk,
     )
     rows = ordered_scan(
         rows,
         by_user + ["journey_no"],
-        order,
+        ["rank_"],
         before={"position": F.lit(1)},
         total={
             "touch_count": ("sum", F.lit(1)),
@@ -101,6 +107,6 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
         }
     )
     rows = ordered_scan(
-        rows, by_user + ["journey_no"], order, total={"decay_total": ("sum", F.col("decay_weight"))}, chunk=chunk
+        rows, by_user + ["journey_no"], ["rank_"], total={"decay_total": ("sum", F.col("decay_weight"))}, chunk=chunk
     )
-    return rows.drop("recorded_")
+    return rows.drop("recorded_", "rank_")
