@@ -14,7 +14,7 @@ SOME = [
     "median_days_to_convert", "daily_purchases", "daily_subscription_events", "full_run",
 ]
 SQL = entry.oracle_sql()
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else SOME
+NAMES = list(SQL) if os.environ.get("ALL_QUERIES") else SOME
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    own = {name for name in entry.queries() if name != "pipeline" and not name.startswith("op")}
+    assert own == {name for name in SQL if name in own} and set(SQL) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
