@@ -26,3 +26,32 @@ select doc_id, len(s) as n_shingles,
   least(doc_id, coalesce((select min(other) from reach where node = doc_id), doc_id)) as component_id
 from sets
 """
+
+ARCHIVED = """
+with hashed as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+firsts as (select payload_digest, max(page_id) as first_id from hashed where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, payload_digest,
+  case when first_id <> page_id then 'revisit' else 'response' end as record_type,
+  case when first_id <> page_id then first_id end as refers_to
+from hashed left join firsts using (payload_digest)
+"""
+
+NEAR_DUPLICATES = """
+with recursive wide as (select vec_id, cast(embedding as double[]) as e from embeddings),
+usable as (
+  select vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from wide
+  where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from usable x join usable y
+    on x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_inner_product(x.e, y.e) >= 0.9 * x.norm * y.norm),
+reach as (
+  select a as node, b as other from links
+  union
+  select r.node, l.b from reach r join links l on l.a = r.other)
+select vec_id, (select count(*) from links where a = vec_id) as n_links,
+  least(vec_id, coalesce((select min(other) from reach where node = vec_id), vec_id)) as component_id,
+  vec_id <= coalesce((select min(other) from reach where node = vec_id), vec_id) as kept
+from embeddings
+"""
