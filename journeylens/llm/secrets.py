@@ -28,6 +28,8 @@ CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 #: Documents that the models are counted from, at most, and the shortest word that is an identifier.
 SAMPLE = 4000
 LEAST_WORD = 6
+#: How many observations the frequency of the second character alone is worth.
+LEAN = 10.0
 #: Bits of evidence a character from which on a candidate is random.
 PER_CHARACTER = 0.5
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
@@ -97,13 +99,20 @@ def train(documents: DataFrame) -> list[float]:
     labelled = random.unionByName(ordinary).distinct()
     counted = labelled.select("random", F.explode(pairs_of(F.col("value"))).alias("pair")).groupBy("random", "pair").count()
     size = len(ALPHABET) + 1
-    counts = [[1.0] * (size * size) for _ in range(2)]
+    counts = [[0] * (size * size) for _ in range(2)]
     for row in counted.collect():  # bounded by the pairs of characters
         counts[row["random"]][row["pair"]] += row["count"]
-    sums = [[sum(c[i * size : (i + 1) * size]) for i in range(size)] for c in counts]
+    random_model, ordinary_model = (_log_chances(own, size) for own in counts)
+    return [x - y for x, y in zip(random_model, ordinary_model)]
+
+
+def _log_chances(counts: list[int], size: int) -> list[float]:
+    """Bits of each character after each other one; rare first characters lean on how frequent the second is at all."""
+    rows = [counts[i * size : (i + 1) * size] for i in range(size)]
+    total = sum(counts)
+    second = [(sum(row[j] for row in rows) + 1) / (total + size) for j in range(size)]
     return [
-        math.log2(counts[1][k] / sums[1][k // size]) - math.log2(counts[0][k] / sums[0][k // size])
-        for k in range(size * size)
+        math.log2((row[j] + LEAN * second[j]) / (sum(row) + LEAN)) for row in rows for j in range(size)
     ]
 
 
