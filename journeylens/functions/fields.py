@@ -13,13 +13,17 @@ JSON_TYPES = {"string": "string", "int": "bigint", "float": "double", "bool": "b
 def json_fields(df: DataFrame, column: str, fields: dict[str, str], strict: bool = False) -> DataFrame:
     """Add one typed column per top-level JSON field; the text is parsed once.
 
-    A value that does not fit its type is NULL, or an error if `strict`.
+    A value that does not fit its type is NULL, or an error if `strict`; objects and arrays are NULL.
     """
     parsed = F.from_json(F.col(column), ", ".join(f"`{name}` string" for name in fields))
     df = df.withColumn("json_", parsed)
     values = []
     for name, kind in fields.items():
-        value, target = F.col("json_").getField(name), JSON_TYPES.get(kind, "string")
+        found, target = F.col("json_").getField(name), JSON_TYPES.get(kind, "string")
+        # Text that looks nested may be a plain string: what the field holds decides.
+        held = F.schema_of_variant(F.try_variant_get(F.try_parse_json(column), f"$['{name}']", "variant"))
+        value = F.when(~(found.rlike(r"^[\[{]") & held.rlike("^(OBJECT|ARRAY)")), found)
+        value = F.when(found.rlike(r"^[\[{]"), value).otherwise(found)
         values.append((value.cast(target) if strict else value.try_cast(target)).alias(name))
     return df.select("*", *values).drop("json_")
 

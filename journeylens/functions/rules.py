@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 
 def literal(text: str | None) -> str:
-    return "null" if text is None else "'" + text.replace("'", "\\'") + "'"
+    return "null" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def condition(column: str, comparison: str, value: str | None = None) -> str:

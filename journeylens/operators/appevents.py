@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import json_fields
+from ..functions.rules import first_match, literal
 
 # ---- Fixed values -----------------------------------------------------------------------------
 INSTALL, PURCHASE = "install", "af_purchase"
@@ -18,19 +19,23 @@ MAIN_APP = ["com.ft.news", "id1200842933"]
 EDIT_APP = ["id1574510369"]
 EDITION_APP = ["com.ft.ftepaper.android", "id6449040684"]
 PLAIN_EDITION, BRANDED_EDITION = "Digital Edition", "FT Digital Edition"
-# Channel category by media source; else of organic campaigns by platform; else by paid source.
-SOURCE_CATEGORY = {
-    "QR_code": "QR_code", "Email": "Email_onboarding", "Web-to-app": "Onsite", "web_to_app": "Onsite",
-}
-ORGANIC_CATEGORY = {"ios": "Apple_store_organic", "android": "Google_play_organic"}
-PAID_CATEGORY = {"googleadwords_int": "ACi/Ace_paid", "Apple Search Ads": "ASA_paid"}
-PREMIUM, STANDARD = "713f1e28_0bc5_8261_f1e6_eebab6f7600e", "c8ad55e6_ba74_fea0_f9da_a4546ae2ee23"
+# The channel category is that of the first rule that holds.
+CHANNEL_CATEGORIES = [
+    ([[("media_source", "is", "QR_code")]], "QR_code"),
+    ([[("media_source", "is", "Email")]], "Email_onboarding"),
+    ([[("media_source", "is", "Web-to-app")], [("media_source", "is", "web_to_app")]], "Onsite"),
+    ([[("campaign_type", "is", "organic"), ("platform", "is", "ios")]], "Apple_store_organic"),
+    ([[("campaign_type", "is", "organic"), ("platform", "is", "android")]], "Google_play_organic"),
+    ([[("media_source", "is", "googleadwords_int")]], "ACi/Ace_paid"),
+    ([[("media_source", "is", "Apple Search Ads")]], "ASA_paid"),
+]
+OTHER_CATEGORY = "Other"
 PURCHASE_TYPES = [
     ("_M_T", "monthly_trial"),
-    (f"{PREMIUM}_M", "ios monthly premium"),
-    (f"{STANDARD}_M", "ios monthly standard"),
-    (f"{PREMIUM}_Annual", "ios annual premium"),
-    (f"{STANDARD}_Annual", "ios annual standard"),
+    ("713f1e28_0bc5_8261_f1e6_eebab6f7600e_M", "ios monthly premium"),
+    ("c8ad55e6_ba74_fea0_f9da_a4546ae2ee23_M", "ios monthly standard"),
+    ("713f1e28_0bc5_8261_f1e6_eebab6f7600e_Annual", "ios annual premium"),
+    ("c8ad55e6_ba74_fea0_f9da_a4546ae2ee23_Annual", "ios annual standard"),
     ("p1m_premium", "monthly premium"),
     ("p1m_standard", "monthly standard"),
     ("p1y_premium", "annual premium"),
@@ -67,16 +72,8 @@ def app_group(edition_label: str) -> Column:
     )
 
 
-def _look_up(column: str, table: dict[str, str]) -> Column:
-    pairs = [F.lit(text) for pair in table.items() for text in pair]
-    return F.try_element_at(F.create_map(*pairs), F.col(column))
-
-
 def channel_category() -> Column:
-    by_store = F.when(F.col("campaign_type") == "organic", _look_up("platform", ORGANIC_CATEGORY))
-    return F.coalesce(
-        _look_up("media_source", SOURCE_CATEGORY), by_store, _look_up("media_source", PAID_CATEGORY), F.lit("Other")
-    )
+    return first_match(CHANNEL_CATEGORIES, literal(OTHER_CATEGORY))
 
 
 def purchase_type(product: Column) -> Column:

@@ -10,7 +10,6 @@ instead of one per channel.
 
 from __future__ import annotations
 
-import heapq
 import sys
 
 import numpy as np
@@ -25,15 +24,12 @@ from ..runtime import materialize
 # Executors need not have this package: the solver travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Cohorts with more edges or states than this are solved by distributed products, not in one task.
-TASK_EDGES = 1_000_000
-TASK_STATES = 30_000
-# A state is eliminated singly as long as it has at most this many pairs of neighbours.
-CHEAP_PAIRS = 24
+# Numbers that a task holds for the states of its block at a time.
+BLOCK_NUMBERS = 1 << 22
+BLOCK_STATES = 256
 EFFECT_SCHEMA = (
     "run_date date, conversion_type string, conversion_window int, channel string, removal_effect_raw double"
 )
-MASS_LEFT = 1e-13
 PAIR_SALTS = 16
 
 
@@ -96,162 +92,92 @@ def unpivot_matrix(wide: DataFrame, ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, columns, "destination", "probability")
 
 
-def _visits_and_values(n: int, steps: list[tuple[int, int, float]], wins: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row 0 of N, the diagonal of N, and N times `wins`, for N = (I - Q)^-1 and sparse Q.
+def _summed(step, first: np.ndarray) -> np.ndarray:
+    """first + step(first) + step(step(first)) + ... to the last bit: until further terms change nothing."""
+    total, term = first.copy(), first
+    while True:
+        term = step(term)
+        more = total + term
+        if (more == total).all():
+            return total
+        total = more
+
 
-    States with few neighbours, the great majority, are eliminated one by one; the rest is
-    inverted as a dense matrix. Going back, only those entries of N are computed that belong
-    to steps of the (partly reduced) chain.
+def _visits_and_values(
+    n: int, rows: np.ndarray, columns: np.ndarray, weight: np.ndarray, wins: np.ndarray, block: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row 0 of N, its diagonal at the states of `block`, and N times `wins`, for N = (I - Q)^-1.
+
+    Q is given by its entries (row, column, weight). Each is a sum over the lengths of walks; one more length costs
+    one product with the sparse Q.
     """
-    out: list[dict[int, float]] = [{} for _ in range(n)]
-    into: list[set[int]] = [set() for _ in range(n)]
-    for i, j, p in steps:
-        out[i][j] = p
-        into[j].add(i)
-    stay, wins, reach = np.zeros(n), wins.copy(), np.zeros(n)
-    reach[0] = 1
-    queue = [(len(out[m]) * len(into[m]), m) for m in range(n)]
-    heapq.heapify(queue)
-    gone, order = np.zeros(n, bool), []
-    while queue:
-        pairs, m = heapq.heappop(queue)
-        if gone[m] or pairs != len(out[m]) * len(into[m]):
-            continue
-        if pairs > CHEAP_PAIRS:
-            break
-        left, onward, gone[m] = 1 - stay[m], out[m], True
-        arriving = {i: out[i].pop(m) for i in into[m]}
-        for j, q in onward.items():
-            into[j].discard(m)
-            reach[j] += reach[m] * q / left
-        for i, p in arriving.items():
-            wins[i] += p * wins[m] / left
-            for j, q in onward.items():
-                if i == j:
-                    stay[i] += p * q / left
-                else:
-                    out[i][j] = out[i].get(j, 0.0) + p * q / left
-                    into[j].add(i)
-        order.append((m, left, arriving, onward))
-        for x in {*arriving, *onward}:
-            heapq.heappush(queue, (len(out[x]) * len(into[x]), x))
-
-    core = np.flatnonzero(~gone)
-    place = {m: c for c, m in enumerate(core.tolist())}
-    away = np.diag(1 - stay[core])
-    for m, c in place.items():
-        for j, q in out[m].items():
-            away[c, place[j]] -= q
-    inverse = np.linalg.inv(away)
-    visits, again, value = np.zeros(n), np.zeros(n), np.zeros(n)
-    visits[core], again[core], value[core] = reach[core] @ inverse, np.diag(inverse), inverse @ wins[core]
-    known: dict[tuple[int, int], float] = {}
-
-    def entry(i: int, j: int) -> float:
-        if i == j:
-            return again[i]
-        return inverse[place[i], place[j]] if i in place and j in place else known[i, j]
-
-    for m, left, arriving, onward in reversed(order):
-        value[m] = (wins[m] + sum(q * value[j] for j, q in onward.items())) / left
-        visits[m] = (reach[m] + sum(p * visits[i] for i, p in arriving.items())) / left
-        back = {j: sum(entry(j, i) * p for i, p in arriving.items()) / left for j in onward}
-        forth = {i: sum(q * entry(j, i) for j, q in onward.items()) / left for i in arriving}
-        again[m] = (1 + sum(q * back[j] for j, q in onward.items())) / left
-        known.update({(j, m): x for j, x in back.items()} | {(m, i): x for i, x in forth.items()})
+    first = np.zeros(n)
+    first[0] = 1
+    visits = _summed(lambda x: np.bincount(columns, weight * x[rows], n), first)
+    value = _summed(lambda x: np.bincount(rows, weight * x[columns], n), wins)
+    order = np.argsort(rows, kind="stable")
+    rows, columns, weight = rows[order], columns[order], weight[order, None]
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
+    again = np.ones(len(block))
+    width = max(1, BLOCK_NUMBERS // max(n, len(rows)))
+
+    def longer(x: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(x)
+        if len(starts):
+            out[rows[starts]] = np.add.reduceat(weight * x[columns], starts, axis=0)
+        return out
+
+    for at in range(0, len(block), width):
+        own = block[at : at + width]
+        unit = np.zeros((n, len(own)))
+        unit[own, np.arange(len(own))] = 1
+        again[at : at + width] = _summed(longer, unit)[own, np.arange(len(own))]
     return visits, again, value
 
 
 def _solve(frame: pd.DataFrame) -> pd.DataFrame:
-    """Removal effects of one cohort of checked size."""
+    """Removal effects of one block of a cohort's states, from all of its steps."""
     ends = [CONVERSION, NULL_STATE]
     channels = sorted((set(frame.source) | set(frame.destination)) - {START, *ends})
     index = {state: i for i, state in enumerate([START, *channels])}
     weight = (frame.steps / frame.groupby("source").steps.transform("sum")).to_numpy()
     rows = frame.source.map(index).to_numpy()
     inner = (~frame.destination.isin(ends)).to_numpy()
-    targets = frame.destination[inner].map(index)
+    targets = frame.destination[inner].map(index).to_numpy().astype(int)
     wins = np.zeros(len(index))
     won = (frame.destination == CONVERSION).to_numpy()
     wins[rows[won]] = weight[won]
-    steps = list(zip(rows[inner].tolist(), targets.astype(int).tolist(), weight[inner].tolist()))
-    visits, again, value = _visits_and_values(len(index), steps, wins)
+    key = frame.iloc[0]
+    block = np.arange(1, len(index))[int(key.block) :: int(key.blocks)]
+    visits, again, value = _visits_and_values(len(index), rows[inner], targets, weight[inner], wins, block)
     if value[0] > 0:
-        effect = visits * value / (again * value[0])
+        effect = visits[block] * value[block] / (again * value[0])
     else:
-        effect = np.full(len(index), None, dtype=object)
-    key = frame.iloc[0]
+        effect = np.full(len(block), None, dtype=object)
     return pd.DataFrame(
         {
             "run_date": key.run_date,
             "conversion_type": key.conversion_type,
             "conversion_window": key.conversion_window,
-            "channel": channels,
-            "removal_effect_raw": effect[1:],
+            "channel": [channels[i - 1] for i in block],
+            "removal_effect_raw": effect,
         }
     )
 
 
-def _solve_large(steps: DataFrame, mass_left: float = MASS_LEFT) -> DataFrame:
-    """The same effects by repeated squaring: N = (I + Q)(I + Q^2)(I + Q^4)...
-
-    Matrices are tables of (row, column, value); a product is a join and a sum. Every round
-    is written out; it stops when less than `mass_left` of any walk is still under way.
-    """
-    known = materialize(probabilities(steps))
-    inner = known.filter(~F.col("destination").isin(CONVERSION, NULL_STATE))
-    power = inner.select(*COHORT, F.col("source").alias("i"), F.col("destination").alias("j"), F.col("probability").alias("x"))
-    states = known.select(*COHORT, F.col("source").alias("i")).distinct()
-    visits = states.select(*COHORT, "i", F.col("i").alias("j"), F.lit(1.0).alias("x"))
-
-    def product(a: DataFrame, b: DataFrame) -> DataFrame:
-        left = a.select(*COHORT, "i", F.col("j").alias("k"), F.col("x").alias("ax"))
-        right = b.select(*COHORT, F.col("i").alias("k"), "j", F.col("x").alias("bx"))
-        return left.join(right, COHORT + ["k"]).groupBy(*COHORT, "i", "j").agg(F.sum(F.col("ax") * F.col("bx")).alias("x"))
-
-    while True:
-        longer = visits.unionByName(product(visits, power))
-        visits = materialize(longer.groupBy(*COHORT, "i", "j").agg(F.sum("x").alias("x")))
-        power = materialize(product(power, power))
-        most = power.groupBy(*COHORT, "i").agg(F.sum("x").alias("x")).agg(F.max("x")).first()[0]
-        if most is None or most < mass_left:
-            break
-
-    wins = known.filter(F.col("destination") == CONVERSION)
-    wins = wins.select(*COHORT, F.col("source").alias("j"), F.col("probability").alias("win"))
-    value = visits.join(wins, COHORT + ["j"]).groupBy(*COHORT, "i").agg(F.sum(F.col("x") * F.col("win")).alias("value"))
-    reach = visits.filter(F.col("i") == START).select(*COHORT, F.col("j").alias("channel"), F.col("x").alias("reach"))
-    again = visits.filter(F.col("i") == F.col("j")).select(*COHORT, F.col("i").alias("channel"), F.col("x").alias("again"))
-    base = value.filter(F.col("i") == START).select(*COHORT, F.col("value").alias("base"))
-    own = value.select(*COHORT, F.col("i").alias("channel"), "value")
-    effects = (
-        again.filter(F.col("channel") != START)
-        .join(reach, COHORT + ["channel"], "left")
-        .join(own, COHORT + ["channel"], "left")
-        .join(base, COHORT, "left")
-    )
-    effect = F.coalesce("reach", F.lit(0.0)) * F.coalesce("value", F.lit(0.0)) / (F.col("again") * F.col("base"))
-    return effects.select(*COHORT, "channel", effect.alias("removal_effect_raw"))
-
-
-def removal_effects_raw(
-    steps: DataFrame, task_edges: int = TASK_EDGES, task_states: int = TASK_STATES
-) -> DataFrame:
+def removal_effects_raw(steps: DataFrame, block_states: int = BLOCK_STATES) -> DataFrame:
     """Unrounded effect per cohort and channel; NULL in a cohort without conversions.
 
+    The states of a cohort are solved in blocks, each in a task of its own that holds the cohort's steps and its block.
     `steps` should be a written table: it is read for the sizes, then for the solution.
     """
     sizes = steps.groupBy(*COHORT).agg(
-        F.count(F.lit(1)).alias("edges"), F.count_distinct("source").alias("states")
+        F.greatest(F.ceil((F.count_distinct("source") - 1) / block_states), F.lit(1)).cast("int").alias("blocks")
     )
-    large = materialize(
-        sizes.filter((F.col("edges") > task_edges) | (F.col("states") > task_states)).select(*COHORT)
+    dealt = steps.join(materialize(sizes), COHORT).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    if large.isEmpty():
-        return steps.groupBy(*COHORT).applyInPandas(_solve, EFFECT_SCHEMA)
-    few = steps.join(large, COHORT, "left_anti").groupBy(*COHORT).applyInPandas(_solve, EFFECT_SCHEMA)
-    many = _solve_large(steps.join(large, COHORT, "left_semi"))
-    return few.unionByName(many)
+    return dealt.groupBy(*COHORT, "block").applyInPandas(_solve, EFFECT_SCHEMA)
 
 
 def share_of_total(df: DataFrame, column: str, keys: list[str] = COHORT) -> DataFrame:

@@ -31,11 +31,16 @@ def conversion_windows(visits: DataFrame, as_of: date, windows: dict[int, int] =
     One pass serves all windows: the widest one filters, the list says which narrower ones
     hold the row too. The list is exploded only after the shuffle by user.
     """
-    recent = visits.filter(F.col(CONV_TS) >= _midnight(as_of - timedelta(RUN_DAYS)))
+    widest = max(windows.values())
+    # Both bounds are on raw columns, so they reach the scan; the one on visits follows from the other.
+    recent = visits.filter(
+        (F.col(CONV_TS) >= _midnight(as_of - timedelta(RUN_DAYS)))
+        & (F.col(VISIT_TS) >= _midnight(as_of - timedelta(RUN_DAYS + widest)))
+    )
     wanted = converters(visits, as_of)
     visited, converted = F.to_date(VISIT_TS), F.to_date(CONV_TS)
     inside = recent.filter(
-        (visited <= converted) & (visited >= F.date_sub(converted, max(windows.values())))
+        (visited <= converted) & (visited >= F.date_sub(converted, widest))
     )
     held = F.array_compact(
         F.array(*[F.when(visited >= F.date_sub(converted, days), name) for name, days in windows.items()])

@@ -16,7 +16,7 @@ from ..operators.journeys import touches
 from ..operators.windows import conversion_windows
 from ..runtime import materialize
 from ..sinks import tables as sinks
-from ..sources.tables import run_dates
+from ..sources.tables import recent_ltv, run_dates
 
 
 @dataclass
@@ -76,7 +76,7 @@ def run(visits: DataFrame, ltv: DataFrame, as_of: date, output: str) -> dict[str
     # Conversions outside the run dates are filtered at the scan, before copies are dropped.
     classified = materialize(run_dates(classify(visits), as_of))
     windowed = materialize(conversion_windows(classified, as_of).withColumn("run_date", F.to_date(CONV_TS)))
-    results = attribute(windowed, ltv)
+    results = attribute(windowed, recent_ltv(ltv, as_of))
     paths = {}
     for name, table in vars(results).items():
         paths[name] = f"{output}/{name}"

@@ -13,7 +13,7 @@ from ..functions.labels import PRODUCT_NAMES, PRODUCT_PATTERNS, PRODUCT_TERMS
 from ..operators import appevents as app
 from ..operators import classify as rules
 from ..sources import sample
-from .stages import TOUCHPOINTS, touchpoint_case
+from .stages import touchpoint_case
 
 AS_OF = "DATE '2024-01-31'"
 COHORT = "run_date, conversion_type, conversion_window"
@@ -411,37 +411,28 @@ PIECES["effect_texts"] = f"""
 
 # ---- marts --------------------------------------------------------------------------------------------
 
-# What the touchpoints of the benchmark consist of, by hand from their texts.
-_PARTS = []
-for _label in TOUCHPOINTS.values():
-    _p = _label.split(" | ")
-    _PARTS.append([_label, *_p[:3], " | ".join(_p[3:-4]), *_p[-4:]])
-_PARTS.append(["-"] * 9)
-# Worked out by hand, in the same order: cleaned channel, type and platform, and kind of direct sale.
-_CLEANED = [
-    ("organic search", "organic", "google", "Directs"),
-    ("paid search", "paid media", "search", "Directs"),
-    ("organic social", "organic", "linkedin", "Other"),
-    ("email", "organic", "email", "Directs"),
-    ("direct", "direct", "direct", "Directs"),
-    ("display", "paid media", "dv360", "Other"),
-    ("referrer", "unclassified referrer", "web", "Other"),
-    ("push notification", "ft app", "push", "Other"),
-    ("affiliates", "affiliates", "affiliates", "Other"),
-    ("organic social", "unclassified social", "facebook", "Other"),
-    ("barrier", "organic", "barrier", "Directs"),
-    ("-", "-", "-", "Other"),
-]
 PART_NAMES = (
     "media_type, media_channel, platform, channel_name, channel_device_type, geo_country_name, user_cohort_primary, "
     "product_type"
 )
 CLEANED_NAMES = "cleaned_media_channel, cleaned_media_type, cleaned_platform"
-PIECES["parts"] = "SELECT * FROM (VALUES {}) t(channels, {}, {}, direct_kind)".format(
-    ", ".join("(" + ", ".join(map(text, [*p, *c])) + ")" for p, c in zip(_PARTS, _CLEANED, strict=True)),
-    PART_NAMES,
-    CLEANED_NAMES,
-)
+PIECES["parts"] = f"""
+    SELECT *,
+        CASE WHEN media_channel = 'social_free' OR media_channel = 'social free' THEN 'organic social'
+            WHEN media_channel = 'ppc' THEN 'paid search'
+            WHEN media_type = 'organic' AND media_channel = 'search' THEN 'organic search'
+            ELSE media_channel END AS cleaned_media_channel,
+        CASE WHEN media_type = 'email' OR media_type = 'editorial email' THEN 'organic' ELSE media_type END
+            AS cleaned_media_type,
+        CASE WHEN media_type = 'email' AND platform = 'newsletter' THEN 'email' ELSE platform END AS cleaned_platform,
+        CASE WHEN product_type IN ({', '.join(map(text, PRODUCT_TERMS))}) THEN 'Directs' ELSE 'Other' END AS direct_kind
+    FROM (
+        SELECT channels, {', '.join(f"CASE WHEN trim(channels) = '-' THEN '-' ELSE trim({part}) END AS {name}" for name, part in (
+            ('media_type', 'p[1]'), ('media_channel', 'p[2]'), ('platform', 'p[3]'),
+            ('channel_name', "array_to_string(p[4:len(p) - 4], '|')"), ('channel_device_type', 'p[len(p) - 3]'),
+            ('geo_country_name', 'p[len(p) - 2]'), ('user_cohort_primary', 'p[len(p) - 1]'), ('product_type', 'p[len(p)]'),
+        ))}
+        FROM (SELECT DISTINCT channels, string_split(channels, '|') AS p FROM totals))"""
 PIECES["mart"] = f"""
     SELECT channels, {LAST}, {MARKOV}, {COHORT}, {PART_NAMES}, {CLEANED_NAMES},
         if(conversion_type = 'Trial', 'Trial', direct_kind) AS trial_direct
@@ -460,13 +451,11 @@ def app_group(edition: str) -> str:
 
 
 def category() -> str:
-    arms = [f"WHEN media_source = {text(k)} THEN {text(v)}" for k, v in app.SOURCE_CATEGORY.items()]
-    arms += [
-        f"WHEN campaign_type || '/' || platform = {text('organic/' + k)} THEN {text(v)}"
-        for k, v in app.ORGANIC_CATEGORY.items()
-    ]
-    arms += [f"WHEN media_source = {text(k)} THEN {text(v)}" for k, v in app.PAID_CATEGORY.items()]
-    return f"CASE {' '.join(arms)} ELSE 'Other' END"
+    def holds(tests) -> str:
+        return " AND ".join(f"{column} = {text(value)}" for column, _, value in tests)
+
+    arms = [f"WHEN {' OR '.join(map(holds, either))} THEN {text(result)}" for either, result in app.CHANNEL_CATEGORIES]
+    return f"CASE {' '.join(arms)} ELSE {text(app.OTHER_CATEGORY)} END"
 
 
 CATEGORY = category()
@@ -553,8 +542,12 @@ TOUCHPOINT = " || ' | ' || ".join(
 
 
 def window_query(name: int) -> str:
-    rows = window_rows("classified", f"{KEYS_OUT}, converting_visit, {TOUCHPOINT} AS touchpoint")
-    return f"SELECT * EXCLUDE (run_date, conversion_window) FROM ({rows}) WHERE conversion_window = {name}"
+    """The converters once, and the one look-back asked for."""
+    converted = "CAST(conversion_visit_timestamp AS DATE)"
+    return f"""SELECT {KEYS_OUT}, converting_visit, {TOUCHPOINT} AS touchpoint FROM classified JOIN (
+            SELECT DISTINCT user_guid, conversion_visit_timestamp FROM classified
+            WHERE converting_visit = 1 AND {converted} >= {AS_OF} - 15) USING (user_guid, conversion_visit_timestamp)
+        WHERE CAST(attribution_visit_start_time AS DATE) BETWEEN {converted} - {name + 1} AND {converted}"""
 
 
 def label_query(name: str) -> str:
@@ -640,7 +633,7 @@ _BODY: dict[str, str] = {
     "drop_zero_removal": f"""SELECT {COHORT}, channel, {rounded(['removal_effect', 'removal_effect_raw'])} FROM effects
         WHERE removal_effect <> 0""",
     "fill_product_id": f"""SELECT {JOURNEY}, coalesce(product_arrangement_id, 0) AS product_arrangement_id
-        FROM journeys LEFT JOIN ({products('product_arrangement_id', "conversion_type = 'Trial'")})
+        FROM journeys LEFT JOIN ({products('product_arrangement_id', "true")})
         USING (user_guid, conversion_type, run_date)""",
     "conversion_window_30": window_query(30),
     "conversion_window_60": window_query(60),
@@ -723,8 +716,7 @@ _BODY: dict[str, str] = {
     "touch_lead": f"SELECT {JOURNEY}, position, channel, next_channel FROM touches",
     "share_of_total": f"""SELECT {COHORT}, channels,
         round({LAST} / nullif(sum({LAST}) OVER (PARTITION BY {COHORT}), 0) * 100, 6) AS {LAST} FROM totals""",
-    "sort_user_time": f"""SELECT {JOURNEY}, position, attribution_visit_start_time, channel FROM touches
-        WHERE position <= 3 OR position > touch_count - 3""",
+    "sort_user_time": f"""SELECT {JOURNEY}, position, attribution_visit_start_time, channel FROM touches""",
     "order_dates": f"SELECT DISTINCT {CONV_DATE} AS conversion_date FROM visits ORDER BY 1",
     "top1_per_user": """SELECT user_guid, conversion_visit_timestamp, product_arrangement_id FROM visits
         QUALIFY row_number() OVER (PARTITION BY user_guid
@@ -735,7 +727,7 @@ _BODY: dict[str, str] = {
     "filter_downstream": "SELECT product_arrangement_id AS id FROM visits WHERE converting_visit = 1",
     "melt_matrix": f"""SELECT {COHORT}, s.source, d.destination, coalesce(round_even(p, 3), 0) AS probability
         FROM (SELECT DISTINCT {COHORT}, source FROM edges) s
-        CROSS JOIN (SELECT channels AS destination FROM parts UNION ALL SELECT '(conversion)' UNION ALL SELECT '(null)') d
+        CROSS JOIN (SELECT DISTINCT destination FROM edges) d
         LEFT JOIN probs p USING ({COHORT}, source, destination)""",
     "explode_rows": f"""SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, {COHORT}, position, channel
         FROM touches""",

@@ -17,7 +17,7 @@ from ..runtime import materialize, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables
 from .attribution import attribute
-from .stages import AS_OF, CHANNEL, TOUCHPOINTS, Stages, stages
+from .stages import AS_OF, CHANNEL, Stages, stages
 
 FIRST_RUN, LAST_RUN = AS_OF - timedelta(15), AS_OF - timedelta(1)
 ONE_DAY = date(2024, 1, 20)
@@ -240,9 +240,8 @@ def dense_matrix(s: Stages) -> DataFrame:
 
 def melted_matrix(s: Stages) -> DataFrame:
     """Pivot the transition probabilities wide, then back to long."""
-    states = [markov.CONVERSION, markov.NULL_STATE, labels.NO_TOUCHPOINT, *TOUCHPOINTS.values()]
     given = markov.transitions(s.steps)
-    wide = given.groupBy(*COHORT, "source").pivot("destination", states).agg(F.first("probability")).fillna(0.0)
+    wide = given.groupBy(*COHORT, "source").pivot("destination").agg(F.first("probability")).fillna(0.0)
     return markov.unpivot_matrix(wide, [*COHORT, "source"])
 
 
@@ -274,9 +273,8 @@ def user_dates(s: Stages, *columns: str) -> DataFrame:
 
 
 def sort_user_time(s: Stages) -> DataFrame:
-    """Order is a matter of the windows: the first and last three channels of each journey."""
-    ends = s.touches.filter("position <= 3 or position > touch_count - 3")
-    return ends.select(*JOURNEY, "position", VISIT_TS, "channel")
+    """The channels of each journey in their order."""
+    return s.touches.select(*JOURNEY, "position", VISIT_TS, "channel")
 
 
 def share_of_total(s: Stages) -> DataFrame:
@@ -318,9 +316,8 @@ def json_rows(s: Stages) -> DataFrame:
 
 
 def fill_product(s: Stages) -> DataFrame:
-    """Products of journeys of the other type are missing, and become 0."""
-    trials = s.windowed.filter("conversion_type = 'Trial'")
-    joined = ltv.fill_product(ltv.join_product(models.journeys(s.touches), trials))
+    """Missing products become 0."""
+    joined = ltv.fill_product(ltv.join_product(models.journeys(s.touches), s.windowed))
     return joined.select(*JOURNEY, ltv.PRODUCT)
 
 

@@ -61,23 +61,21 @@ def random_chain(rng, channels):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_closed_form_and_distributed_products_agree_with_removal(spark, seed):
+def test_blocks_agree_with_removal_one_at_a_time(spark, seed):
     counts = random_chain(random.Random(seed), 5)
     counts.setdefault((START, CONVERSION), 0)
     counts = {edge: n for edge, n in counts.items() if n}
     steps = chain(spark, counts).unionByName(chain(spark, TWO_CHANNELS, 60))
     dense = markov.removal_effects_raw(steps)
-    products = markov.removal_effects_raw(steps, task_edges=0)
-    same_rows(dense, products)
-    mixed = markov.removal_effects_raw(steps, task_states=4)
-    same_rows(dense, mixed)
+    for block_states in (1, 4):
+        same_rows(dense, markov.removal_effects_raw(steps, block_states))
     base = removed(counts, None)
     for channel, (effect,) in by(dense.filter("conversion_window = 30"), "channel", "removal_effect_raw").items():
         assert effect == pytest.approx(1 - removed(counts, channel) / base)
 
 
-@pytest.mark.parametrize("cheap", [0, 4, 10**9])
-def test_elimination_gives_the_entries_of_the_inverse(monkeypatch, cheap):
+@pytest.mark.parametrize("numbers", [1, 500, 10**9])
+def test_sums_over_walks_give_the_entries_of_the_inverse(monkeypatch, numbers):
     rng = np.random.default_rng(7)
     n = 60
     matrix = np.where(rng.random((n, n)) < 0.06, rng.random((n, n)), 0)
@@ -85,17 +83,31 @@ def test_elimination_gives_the_entries_of_the_inverse(monkeypatch, cheap):
     matrix /= matrix.sum(axis=1, keepdims=True) + 0.3
     wins = rng.random(n)
     inverse = np.linalg.inv(np.eye(n) - matrix)
-    monkeypatch.setattr(markov, "CHEAP_PAIRS", cheap)
-    steps = [(i, j, matrix[i, j]) for i, j in zip(*np.nonzero(matrix))]
-    visits, again, value = markov._visits_and_values(n, steps, wins)
+    monkeypatch.setattr(markov, "BLOCK_NUMBERS", numbers)
+    block = np.arange(0, n, 3)
+    rows, columns = np.nonzero(matrix)
+    visits, again, value = markov._visits_and_values(n, rows, columns, matrix[rows, columns], wins, block)
     np.testing.assert_allclose(visits, inverse[0])
-    np.testing.assert_allclose(again, np.diag(inverse))
+    np.testing.assert_allclose(again, np.diag(inverse)[block])
     np.testing.assert_allclose(value, inverse @ wins)
 
 
+def test_many_states(spark):
+    rng = np.random.default_rng(5)
+    n, counts = 10_000, {}
+    for i in range(n):
+        counts[(START, f"c{i}")] = 1
+        counts[(f"c{i}", CONVERSION if i % 3 else NULL_STATE)] = 2
+        for j in rng.integers(0, n, 3):
+            if i != j:
+                counts[(f"c{i}", f"c{j}")] = 1
+    raw = markov.removal_effects_raw(chain(spark, counts).repartition(4)).filter("removal_effect_raw between 0 and 1")
+    assert raw.count() == n
+
+
 def test_no_conversions(spark):
     steps = chain(spark, {(START, "A"): 2, ("A", NULL_STATE): 2})
-    for options in ({}, {"task_edges": 0}):
+    for options in ({}, {"block_states": 1}):
         raw = markov.removal_effects_raw(steps, **options)
         assert by(raw, "channel", "removal_effect_raw") == {"A": (None,)}
         assert by(markov.removal_effects(raw), "channel", "removal_effect") == {"A": (None,)}

@@ -236,3 +236,16 @@ def test_daily_run_writes_all_tables_twice_alike(spark):
     mart = by(spark.read.parquet(paths["mart_removal_ltv"]), "conversion_window", "channels", "cleaned_media_channel", "average_ltv")
     touchpoint = "organic | search | bing | Bing | mobile | GB | new | FT Weekend"
     assert mart == {w: (touchpoint, "organic search", 4.0) for w in (30, 60, 90)}
+
+
+def test_nested_json_values_are_null(spark):
+    df = spark.createDataFrame([('{"a": {"b": 1}, "c": "{plain", "d": [1]}',), ('{"a": "[x]", "c": 2}',), ("{broken",)], "j string")
+    flat = fields.json_fields(df, "j", {"a": "string", "c": "string", "d": "string"})
+    assert [tuple(r)[1:] for r in flat.collect()] == [(None, "{plain", None), ("[x]", "2", None), (None, None, None)]
+
+
+def test_rule_literals_keep_backslashes_and_quotes(spark):
+    from journeylens.functions.rules import literal
+
+    text = "a\\b'c"
+    assert spark.range(1).selectExpr(f"{literal(text)} as t").first().t == text
