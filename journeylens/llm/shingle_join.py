@@ -9,10 +9,12 @@ pair of documents meet with a chance of some |x| * |y| / 2^64). Two sets link wh
    are known changes the cost, never the result.
 2. `prefixes` keeps the first |x| - ceil(0.75 |x|) + 1 shingles of each set in that order; linked sets share one.
 3. Sets with the same prefix and size form one group; equal sets are one member of it. Only groups are posted.
-4. `listed` sorts each posting list by size and names neighbours in it, a number of pairs linear in the list. They
-   and the members of each group are verified on whole sets, and components are formed.
-5. What may still be missing are links between different components: pairs of groups that share a list, have
-   sizes within the bound and lie in different components are expanded to their members and verified too.
+4. `listed` sorts each posting list by size and names neighbours in it, a number of pairs linear in the list.
+   `promising` drops pairs whose prefixes share too little for a link. The rest and the members of each group are
+   verified on whole sets, and components are formed.
+   The places of a shared token in two prefixes bound what the sets can share. Then each group whose list holds other components is held against one of them, again a linear number.
+5. What may still be missing are links between different components: pairs of groups that share a list, are promising
+   and lie in different components are expanded to their members and verified too.
 
 Step 5 sees every pair that step 4 left out, unless both are already in one component, so no component is lost, and
 a large group of near copies costs a multiple of its size instead of its square.
@@ -38,7 +40,7 @@ LINK_PERCENT = 75
 TASK_SKETCH = 1 << 16
 FREQUENT = 1 << 17
 #: A shingle counts as frequent from so many documents on.
-FREQUENT_FROM = 32
+FREQUENT_FROM = 8
 #: A posting list is dealt to several tasks if its shingle is known to be in more documents than this.
 LIST_ROWS = 10_000
 
@@ -58,6 +60,12 @@ def prefix_length(size: int) -> int:
     return size - (LINK_PERCENT * size + 99) // 100 + 1
 
 
+def _may_link(n_x, at_x, n_y, at_y):
+    """Whether sets of these sizes whose first common token has these places can share enough; columns or arrays."""
+    slack_x = (100 + LINK_PERCENT) * (n_x - at_x) >= LINK_PERCENT * (n_x + n_y)
+    return slack_x & ((100 + LINK_PERCENT) * (n_y - at_y) >= LINK_PERCENT * (n_x + n_y))
+
+
 def _merge(tokens: np.ndarray, counts: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """Sum the counts of equal tokens; only the `keep` largest that occur twice stay."""
     order = np.argsort(tokens, kind="stable")
@@ -87,7 +95,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = shingles(value.as_py())
             waiting.append(new)
             held += len(new)
-            if held > 1 << 20:
+            if held > 1 << 21:
                 fold()
     fold()
     yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(counts)], ["token", "seen"])
@@ -115,10 +123,11 @@ def _classes(tokens: np.ndarray, frequent: np.ndarray, seen: np.ndarray) -> np.n
 
 
 def prefixes(documents: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, set_1, set_2, prefix_1, prefix_2, tokens, parts) of all documents; n = 0 without words.
+    """Rows (doc_id, n, set_1, set_2, prefix_1, prefix_2, last, tokens, parts) of all documents; n = 0 without words.
 
-    set_* and prefix_* identify the set and its prefix by 128 bits; parts has the number of tasks that each
-    token's posting list is dealt to.
+    set_* and prefix_* identify the set and its prefix by 128 bits; last grows with the place of the prefix's last
+    token in the common order; parts has the number of tasks that each token's posting list is dealt to, null if
+    it is one for each.
     """
     context = documents.sparkSession.sparkContext
     known = context.broadcast(frequent_shingles(documents))
@@ -128,57 +137,61 @@ def prefixes(documents: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                out: list[list] = [[] for _ in range(8)]
+                out: list[list] = [[] for _ in range(9)]
                 for doc_id, value in zip(part.column(0), part.column(1)):
                     tokens = shingles(value.as_py())
                     size, keep = len(tokens), prefix_length(len(tokens)) if len(tokens) else 0
                     whole = xxhash.xxh3_128_intdigest(tokens.tobytes())
-                    classes, deal = _classes(tokens, frequent, seen), np.ones(keep, np.int32)
-                    if classes is None:
+                    counts, deal, bits = _classes(tokens, frequent, seen), None, 0
+                    if counts is None:
                         head = tokens[:keep]
                     else:
-                        order = np.argsort(np.frexp(classes)[1], kind="stable")[:keep]
-                        head, deal = tokens[order], (classes[order] // LIST_ROWS + 1).astype(np.int32)
+                        order = np.argsort(np.frexp(counts)[1], kind="stable")[:keep]
+                        head, deal = tokens[order], (counts[order] // LIST_ROWS + 1).astype(np.int32)
+                        bits = int(np.frexp(counts[order[-1]])[1])
+                        deal = deal if deal.max() > 1 else None
+                    last = bits << 57 | int(head[-1]) >> 7 if keep else 0
                     first = xxhash.xxh3_128_intdigest(head.tobytes())
                     low = (1 << 63) - 1
                     for column, item in zip(
                         out,
                         (doc_id.as_py(), size, whole & low, whole >> 65, first & low, first >> 65,
-                         head.view(np.int64), deal),
+                         last, head.view(np.int64), deal),
                     ):
                         column.append(item)
-                kinds = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
+                kinds = [pa.int64()] * 7 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
                 arrays = [pa.array(column, kind) for column, kind in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays(
-                    arrays, ["doc_id", "n", "set_1", "set_2", "prefix_1", "prefix_2", "tokens", "parts"]
+                    arrays, ["doc_id", "n", "set_1", "set_2", "prefix_1", "prefix_2", "last", "tokens", "parts"]
                 )
 
     return documents.select("doc_id", "text").mapInArrow(
         apply,
-        "doc_id long, n long, set_1 long, set_2 long, prefix_1 long, prefix_2 long, tokens array<long>, parts array<int>",
+        "doc_id long, n long, set_1 long, set_2 long, prefix_1 long, prefix_2 long, last long, "
+        "tokens array<long>, parts array<int>",
     )
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From postings sorted by (token, part, n, gid): a row per posting in a list of its token with others,
     with its neighbour in it if the sizes allow a link."""
-    rest = np.empty((4, 0), np.int64)
+    rest = np.empty((5, 0), np.int64)
 
     def emit(rows: np.ndarray) -> pa.RecordBatch:
-        token, part, n, gid = rows
+        token, part, n, gid, at = rows
         same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
         before, after = np.r_[False, same], np.r_[same, False]
-        fits = np.r_[False, same & (100 * n[:-1] >= LINK_PERCENT * n[1:]) & (gid[1:] != gid[:-1])]
+        fits = np.r_[False, same & (gid[1:] != gid[:-1]) & _may_link(n[:-1], at[:-1], n[1:], at[1:])]
         other = np.where(fits, np.r_[gid[:1], gid[:-1]], -1)
         # A list of two with a pair to verify needs no second look; those dealt to several tasks are kept whole.
         starts = np.flatnonzero(~before)
         sizes = np.diff(np.r_[starts, len(token)])
         many = np.repeat(sizes, sizes) > 2
         keep = before | after | (part >= 0)
-        arrays = [token[keep], gid[keep], n[keep], other[keep], (many | (part >= 0))[keep]]
-        nulls = [None, None, None, arrays[3] < 0, None]
+        arrays = [token[keep], gid[keep], n[keep], at[keep], other[keep], (many | (part >= 0))[keep]]
+        nulls = [None, None, None, None, arrays[4] < 0, None]
         return pa.RecordBatch.from_arrays(
-            [pa.array(a, mask=m) for a, m in zip(arrays, nulls)], ["token", "gid", "n", "other", "many"]
+            [pa.array(a, mask=m) for a, m in zip(arrays, nulls)], ["token", "gid", "n", "at", "other", "many"]
         )
 
     for batch in batches:
@@ -201,20 +214,19 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def listed(heads: DataFrame) -> DataFrame:
-    """Postings (token, gid, n, other, many) in lists of two or more; part is -1 where a list is in one task."""
-    postings = heads.select(
-        "doc_id", "n", F.explode(F.arrays_zip("tokens", "parts")).alias("posting")
-    ).select(
-        F.col("posting.tokens").alias("token"),
-        F.when(F.col("posting.parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("posting.parts"))).otherwise(-1)
+    """Postings (token, gid, n, at, other, many) in lists of two or more; part is -1 where a list is in one task."""
+    postings = heads.select("doc_id", "n", "parts", F.posexplode("tokens").alias("at", "token")).select(
+        "token",
+        F.when(F.get("parts", "at") > 1, F.pmod(F.xxhash64("doc_id"), F.get("parts", "at"))).otherwise(-1)
         .cast("int").alias("part"),
         F.col("n").cast("int").alias("n"),
         F.col("doc_id").alias("gid"),
+        "at",
     )
     return (
         postings.repartition("token", "part")
         .sortWithinPartitions("token", "part", "n", "gid")
-        .mapInArrow(_listed, "token long, gid long, n long, other long, many boolean")
+        .mapInArrow(_listed, "token long, gid long, n long, at long, other long, many boolean")
     )
 
 
@@ -234,7 +246,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose whole sets link. texts: (doc_id, text)."""
+    """The pairs (a, b) of ids whose whole sets link. texts: (doc_id, text), of which only those of the pairs are moved."""
+    wanted = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    texts = materialize(texts.join(wanted, "doc_id", "left_semi"))
     right = texts.join(pairs.hint("shuffle_hash"), F.col("doc_id") == F.col("b")).select(
         "a", "b", F.col("text").alias("text_b")
     )
@@ -246,6 +260,25 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+def promising(pairs: DataFrame, posted: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of groups, those that may link, judged by their prefixes.
+
+    posted has for each gid its size n, its last and the tokens of its prefix that others have too (null where one id
+    has several texts). Tokens that two sets share up to the lesser of their lasts are in both prefixes; beyond it,
+    the set it belongs to has n minus its prefix left.
+    """
+    a, b = (posted.select(*(F.col(c).alias(f"{c}_{x}") for c in posted.columns)) for x in "ab")
+    both = pairs.join(a, F.col("a") == F.col("gid_a")).join(b, F.col("b") == F.col("gid_b"))
+
+    def rest(x: str):
+        return F.ceil(F.lit(LINK_PERCENT) * F.col(f"n_{x}") / 100) - 1
+
+    beyond = F.when(F.col("last_a") < F.col("last_b"), rest("a")).when(F.col("last_b") < F.col("last_a"), rest("b"))
+    most = F.size(F.array_intersect("tokens_a", "tokens_b")) + F.coalesce(beyond, F.greatest(rest("a"), rest("b")))
+    enough = (100 + LINK_PERCENT) * most >= LINK_PERCENT * (F.col("n_a") + F.col("n_b"))
+    return both.filter(F.coalesce(enough, F.lit(True))).select("a", "b")
+
+
 def near_copies(documents: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one per row of documents (doc_id, text, ...).
 
@@ -256,37 +289,44 @@ def near_copies(documents: DataFrame) -> DataFrame:
     heads = materialize(prefixes(documents))
     filled = heads.filter("n > 0 and doc_id is not null")
     whole = ["n", "set_1", "set_2", "prefix_1", "prefix_2"]
-    sets = materialize(filled.groupBy(*whole).agg(F.min("doc_id").alias("rep")))
-    groups = materialize(sets.groupBy("n", "prefix_1", "prefix_2").agg(F.min("rep").alias("gid")))
-    members = materialize(sets.join(groups, ["n", "prefix_1", "prefix_2"]).select("gid", F.col("rep").alias("doc_id")))
-    gids = groups.select(F.col("gid").alias("doc_id"), "n").distinct()
-    lists = materialize(
-        listed(filled.join(gids.hint("shuffle_hash"), ["doc_id", "n"], "left_semi").select("doc_id", "n", "tokens", "parts").dropDuplicates(["doc_id", "n"]))
+    sets = materialize(filled.groupBy(*whole).agg(F.min("doc_id").alias("rep"), F.min("last").alias("last")))
+    groups = materialize(
+        sets.groupBy("n", "prefix_1", "prefix_2").agg(F.min("rep").alias("gid"), F.min("last").alias("last"))
     )
+    members = materialize(sets.join(groups, ["n", "prefix_1", "prefix_2"]).select("gid", F.col("rep").alias("doc_id")))
+    firsts = groups.select(F.col("gid").alias("doc_id"), "n", "prefix_1", "prefix_2").hint("shuffle_hash")
+    posts = filled.join(firsts, ["doc_id", "n", "prefix_1", "prefix_2"], "left_semi").select("doc_id", "n", "tokens", "parts")
+    lists = materialize(listed(posts))
+    one = F.count(F.lit(1)) == 1
+    sizes = groups.groupBy("gid").agg(F.when(one, F.max("n")).alias("n"), F.when(one, F.max("last")).alias("last"))
+    posted = materialize(lists.groupBy("gid").agg(F.collect_set("token").alias("tokens")).join(sizes, "gid"))
 
     # Linear candidates: neighbours in a list, members with the first of their group.
-    neighbours = lists.filter("other is not null").select(*_pair("gid", "other"))
+    neighbours = materialize(lists.filter("other is not null").select(*_pair("gid", "other")).distinct())
     inside = members.filter("gid <> doc_id").select(*_pair("gid", "doc_id"))
-    candidates = materialize(neighbours.unionByName(inside).distinct())
-    wanted = lists.select(F.col("gid").alias("doc_id")).unionByName(inside.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(documents.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"))
-    links = materialize(verify(candidates, texts))
+    candidates = materialize(promising(neighbours, posted).unionByName(inside).distinct())
+    links = materialize(verify(candidates, documents))
 
     # Rows of one id with several texts are one document.
-    owners = filled.join(sets, whole).select("doc_id", "rep")
+    owners = filled.join(sets.drop("last"), whole).select("doc_id", "rep")
     several = owners.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least <> most")
     pooled = materialize(
         owners.join(several.select("doc_id", "least"), "doc_id").select(*_pair("least", "rep")).filter("a <> b").distinct()
     )
 
     links = links.unionByName(pooled)
-    first = materialize(components(links))
-    more = _across(lists, members, candidates, first)
-    found = materialize(verify(more, texts))
-    last = components(links.unionByName(found)) if found.limit(1).count() else first
+    labels = materialize(components(links))
+    done = neighbours.unionByName(candidates)
+    for step in (_between, _across):
+        more = materialize(step(lists, posted, members, labels).join(done, ["a", "b"], "left_anti"))
+        found = materialize(verify(more, documents))
+        if not found.limit(1).count():
+            continue
+        links, done = links.unionByName(found), done.unionByName(more)
+        labels = materialize(components(links))
 
     classes = materialize(
-        sets.join(last, F.col("rep") == F.col("node"), "left").select(*whole, F.coalesce("component", "rep").alias("class"))
+        sets.join(labels, F.col("rep") == F.col("node"), "left").select(*whole, F.coalesce("component", "rep").alias("class"))
     )
     return heads.select("doc_id", *whole).join(classes, whole, "left").select(
         "doc_id",
@@ -295,33 +335,57 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
 
 
-def _across(lists: DataFrame, members: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members in different components whose groups share a posting list or are one, not yet done."""
+def _open_lists(lists: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members with their components; the least and largest of each group; postings of lists with several of them."""
     labelled = materialize(
         members.join(labels, F.col("doc_id") == F.col("node"), "left").select(
             "gid", "doc_id", F.coalesce("component", "doc_id").alias("component")
         )
     )
     spread = materialize(
-        labelled.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        labelled.groupBy("gid").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), (F.count(F.lit(1)) > 1).alias("several")
+        )
     )
-    posted = materialize(lists.filter("many").select("token", "gid", "n").join(spread, "gid"))
-    open_lists = materialize(
-        posted.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
+    listing = materialize(lists.filter("many").select("token", "gid", "n", "at").join(spread, "gid"))
+    split = materialize(
+        listing.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
     )
-    rows = materialize(posted.join(open_lists, "token"))
+    return labelled, spread, materialize(listing.join(split, "token"))
+
+
+def _between(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """For each posting of a list with several components, a pair (a, b) with a group of another one."""
+    _, _, rows = _open_lists(lists, members, labels)
+    turn = F.struct("low", F.xxhash64("token", "gid").alias("turn"), "gid", "n", "at")
+    ends = materialize(rows.groupBy("token").agg(F.min(turn).alias("x"), F.max(turn).alias("y")))
+    other = F.when(F.col("low") == F.col("x.low"), F.col("y")).otherwise(F.col("x"))
+    pairs = rows.join(ends, "token").select("gid", "n", "at", other.alias("other"))
+    sizes = _may_link(F.col("n"), F.col("at"), F.col("other.n"), F.col("other.at"))
+    fits = pairs.filter(sizes & (F.col("gid") != F.col("other.gid"))).select(*_pair("gid", "other.gid")).distinct()
+    return promising(fits, posted)
+
+
+def _across(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members in different components whose groups are one or share a list and are promising.
+
+    A pair of groups that was found wanting before is wanting for all of their members.
+    """
+    labelled, spread, rows = _open_lists(lists, members, labels)
     left, right = rows.alias("l"), rows.alias("r")
     fits = (F.col("l.token") == F.col("r.token")) & (F.col("l.gid") < F.col("r.gid"))
-    sizes = (100 * F.col("l.n") >= LINK_PERCENT * F.col("r.n")) & (100 * F.col("r.n") >= LINK_PERCENT * F.col("l.n"))
+    sizes = _may_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at"))
     apart = (F.col("l.low") != F.col("r.low")) | (F.col("l.high") != F.col("r.high")) | (F.col("l.low") != F.col("l.high"))
-    shared = left.join(right, fits & sizes & apart).select(F.col("l.gid").alias("g"), F.col("r.gid").alias("h"))
-    pairs = (
-        lists.filter("not many and other is not null").select(F.col("gid").alias("g"), F.col("other").alias("h"))
-        .unionByName(shared)
-        .unionByName(spread.filter("low <> high").select(F.col("gid").alias("g"), F.col("gid").alias("h")))
-        .distinct()
-    )
-    x = labelled.select(F.col("gid").alias("g"), F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    y = labelled.select(F.col("gid").alias("h"), F.col("doc_id").alias("y"), F.col("component").alias("cy"))
-    expanded = pairs.join(x, "g").join(y, "h").filter("cx <> cy").select(*_pair("x", "y")).distinct()
-    return materialize(expanded.join(done, ["a", "b"], "left_anti"))
+    shared = left.join(right, fits & sizes & apart).select(F.col("l.gid").alias("a"), F.col("r.gid").alias("b"))
+    # Neighbours in a list have been held against each other, but not all members of their groups.
+    grown = spread.filter("several").select("gid")
+    near = lists.filter("other is not null").select("gid", "other")
+    near = near.join(grown, "gid", "left_semi").unionByName(
+        near.join(grown.withColumnRenamed("gid", "other"), "other", "left_semi").select("gid", "other")
+    )
+    pairs = promising(near.select(*_pair("gid", "other")).unionByName(shared).distinct(), posted).unionByName(
+        spread.filter("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+    )
+    x = labelled.select(F.col("gid").alias("a"), F.col("doc_id").alias("x"), F.col("component").alias("cx"))
+    y = labelled.select(F.col("gid").alias("b"), F.col("doc_id").alias("y"), F.col("component").alias("cy"))
+    return pairs.join(x, "a").join(y, "b").filter("cx <> cy").select(*_pair("x", "y")).distinct()
