@@ -56,7 +56,7 @@ class WordTokenizer:
 
     def _learn(self, words: set[str]) -> None:
         parts = {word: self._parts(word) for word in words}
-        new = list({p for ps in parts.values() for p in ps} - self.known.keys())
+        new = [p for p in {p for ps in parts.values() for p in ps} if p not in self.known]
         for piece, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             ids = encoding.ids
             self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
@@ -73,7 +73,7 @@ class WordTokenizer:
             distinct = set(words)
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            if missing := distinct - self.known.keys():
+            if missing := {x for x in distinct if x not in self.known}:
                 self._learn(missing)
             out.append(b"".join(map(self.known.__getitem__, words)))
             for word in distinct:
