@@ -35,6 +35,15 @@ CHARACTERS = 1 << 20
 _SIGNS = ".,;:!?#%&$*|"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level characters: printable bytes stand for themselves, the others for those from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordTokenizer:
     """Ids of whole texts, as little-endian 32-bit numbers, through the ids of their words.
 
@@ -45,20 +54,25 @@ class WordTokenizer:
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
     def _parts(self, word: str) -> tuple[str, ...]:
         base = word.rstrip(_SIGNS)
         if not base or not base[-1].isalpha():
             return (word,)
-        plain = base.lower() if base.isascii() else base
+        plain = base.lower() if max(base) < "\u0100" else base
         return (plain, word[len(base) :]) if len(base) < len(word) else (plain,)
 
     def _learn(self, words: set[str]) -> None:
         parts = {word: self._parts(word) for word in words}
         new = [p for p in {p for ps in parts.values() for p in ps} if p not in self.known]
-        for piece, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = encoding.ids
+        # Lower-case letters below 256 are normal as they are and one piece, so the merges alone give their ids.
+        single = [p for p in new if p.isalpha() and max(p) < "\u0100" and p == p.lower()]
+        found = [[t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS))] for p in single]
+        others = [p for p in new if not (p.isalpha() and max(p) < "\u0100" and p == p.lower())]
+        found += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        for piece, ids in zip(single + others, found):
             self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         for word, pieces in parts.items():
             self.known[word] = b"".join(map(self.known.__getitem__, pieces))
