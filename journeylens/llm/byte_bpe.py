@@ -9,6 +9,7 @@ The serialised model is broadcast: its size is that of the vocabulary, whatever
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -30,6 +31,38 @@ MATCHES = 200_000
 _TO_CHARACTERS = "".join(chr(FIRST_CHARACTER + b) for b in range(256))
 
 
+# What the classes of a pattern hold of the characters below 256.
+_NARROW = {r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9²³¹¼-¾", r"\s": r"\t-\r \x85\xa0"}
+
+
+def narrow(pattern: str) -> re.Pattern | None:
+    """The pattern for texts of characters below 256 alone, in terms of plain ranges; None if it has other classes."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((n for n in _NARROW if pattern.startswith(n, at)), None)
+        if name:
+            out.append(_NARROW[name] if inside else f"[{_NARROW[name]}]")
+            at += len(name)
+        elif pattern.startswith(r"\S", at) and not inside:
+            out.append(f"[^{_NARROW[chr(92) + 's']}]")
+            at += 2
+        elif pattern[at] == "\\":
+            return None
+        else:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            out.append(pattern[at])
+            at += 1
+    return re.compile("".join(out))
+
+
+def _is_narrow(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: base64 of the token and its rank on each line."""
     with open(path, "rb") as lines:
@@ -92,6 +125,7 @@ def token_bytes(processor: sentencepiece.SentencePieceProcessor) -> list[bytes]:
 class Encoder:
     def __init__(self, model: bytes, pattern: str):
         self.processor, self.pattern = load(model), regex.compile(pattern)
+        self.narrow = narrow(pattern)  # several times faster, with the same matches
         self.known: dict[str, list[int]] = {}
 
     def _learn(self, pieces: set[str]) -> None:
@@ -104,9 +138,10 @@ class Encoder:
             self.known[piece] = [token - 1] if token else [i - 1 for i in ids]
 
     def encode(self, text: str) -> list[int]:
+        pattern = self.narrow if self.narrow and _is_narrow(text) else self.pattern
         if len(text) <= MATCHES:
-            return self._ids(self.pattern.findall(text))
-        matches, out = (m[0] for m in self.pattern.finditer(text)), []
+            return self._ids(pattern.findall(text))
+        matches, out = (m[0] for m in pattern.finditer(text)), []
         while part := list(islice(matches, MATCHES)):
             out += self._ids(part)
         return out
