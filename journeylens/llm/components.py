@@ -18,6 +18,10 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+#: Edges that a task of a round holds.
+TASK_EDGES = 200_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, component) for all nodes of edges (a, b) of longs; component is the smallest node reached.
 
@@ -28,20 +32,23 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = _state(live)
     while state[0]:
+        # The number of tasks of a round follows the number of edges.
+        tasks = max(16, state[0] // TASK_EDGES)
         both = live.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             live.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).coalesce(tasks))
         large = materialize(
-            both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+            both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).coalesce(tasks)
         )
-        small = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        small = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")).coalesce(tasks))
         live = materialize(
             large.join(small, "hi")
             .filter("lo <> m")
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
             .unionByName(small.select("hi", F.col("m").alias("lo")))
             .distinct()
+            .coalesce(tasks)
         )
         before, state = state, _state(live)
         if before == state:
@@ -49,3 +56,21 @@ def components(edges: DataFrame) -> DataFrame:
     return live.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         live.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )
+
+
+def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after further links (a, b): only the components they touch are joined anew."""
+    x, y = (labels.select(F.col("node").alias(f"n{i}"), F.col("component").alias(f"c{i}")) for i in "xy")
+    met = links.join(x, F.col("a") == F.col("nx"), "left").join(y, F.col("b") == F.col("ny"), "left")
+    met = materialize(
+        met.select("a", "b", F.coalesce("cx", "a").alias("ca"), F.coalesce("cy", "b").alias("cb"), F.col("nx"), F.col("ny"))
+    )
+    joined = materialize(components(met.select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+    fresh = met.filter("nx is null").select(F.col("a").alias("node")).unionByName(
+        met.filter("ny is null").select(F.col("b").alias("node"))
+    )
+    known = labels.unionByName(fresh.distinct().withColumn("component", F.col("node")))
+    ends = joined.select(F.col("node").alias("end"), F.col("component").alias("least"))
+    return known.join(ends, F.col("component") == F.col("end"), "left").select(
+        "node", F.coalesce("least", "component").alias("component")
+    )

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import materialize
 from .common import mix, window_hashes, word_hashes
-from .components import components
+from .components import components, relabel
 
 WIDTH = 5
 LINK_PERCENT = 75
@@ -322,8 +322,8 @@ def near_copies(documents: DataFrame) -> DataFrame:
         found = materialize(verify(more, documents))
         if not found.limit(1).count():
             continue
-        links, done = links.unionByName(found), done.unionByName(more)
-        labels = materialize(components(links))
+        done = done.unionByName(more)
+        labels = materialize(relabel(labels, found))
 
     classes = materialize(
         sets.join(labels, F.col("rep") == F.col("node"), "left").select(*whole, F.coalesce("component", "rep").alias("class"))
