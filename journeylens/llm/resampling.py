@@ -21,7 +21,7 @@ from .common import mix, window_hashes, word_hashes
 BUCKETS = 1 << 16
 SEED = 20240131
 #: Standard errors by which the share to keep lies above the share of good labels, so that good documents stay.
-MARGIN = 3.0
+MARGIN = 1.0
 CHARACTERS = 1 << 20
 _REPEAT = np.uint64(1)
 
@@ -118,7 +118,7 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
 def resample(documents: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
     """Rows (doc_id, log_weight, gumbel_key, kept), one per document; k is the share of the documents, rounded up.
 
-    Without a share, it is that of good ones among the labels of these documents, and MARGIN standard errors more. Equal
+    Without a share, it is that of good ones among the labels of these documents, and MARGIN standard error more. Equal
     keys go by the smaller id; repeated rows of one key and id are kept or go together. All are kept without labels.
     """
     weighed = materialize(weigh(documents, log_ratios(documents, labels)))
@@ -127,7 +127,7 @@ def resample(documents: DataFrame, labels: DataFrame, share: float | None = None
         mine = good_ids(labels).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
         good, n = mine.agg(F.coalesce(F.sum("good"), F.lit(0)), F.count(F.lit(1))).first()
         p = (good + 1) / (n + 2)
-        share = min(1.0, p + MARGIN * (p * (1 - p) / (n + 2)) ** 0.5) if n and good < n else 1.0
+        share = min(1.0, p + MARGIN * (p * (1 - p) / (n + 2)) ** 0.5) if n else 1.0
     k = min(total, -int(-(share * total) // 1))
     if k == total:
         kept = F.lit(True)
