@@ -24,8 +24,10 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Judges what the rules left by models of the good text and of all raw text, before any filter."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
-    return _only(docs, resampling.resample(docs.select("doc_id", "text"), labels))
+    raw = table(spark, sf_dir, "documents", "doc_id", "text")
+    return _only(docs, resampling.resample(docs.select("doc_id", "text"), labels, raw=raw))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,13 +115,15 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
     return low, above
 
 
-def resample(documents: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
+def resample(documents: DataFrame, labels: DataFrame, share: float | None = None, raw: DataFrame | None = None) -> DataFrame:
     """Rows (doc_id, log_weight, gumbel_key, kept), one per document; k is the share of the documents, rounded up.
 
     Without a share, it is that of good ones among the labels of these documents, and MARGIN standard error more. Equal
     keys go by the smaller id; repeated rows of one key and id are kept or go together. All are kept without labels.
+    The models are counted over `raw` (doc_id, text) where documents are only what an earlier filter left of it: without
+    the rejected text target and raw hardly differ, and the weights would be noise.
     """
-    weighed = materialize(weigh(documents, log_ratios(documents, labels)))
+    weighed = materialize(weigh(documents, log_ratios(documents if raw is None else raw, labels)))
     total = weighed.count()
     if share is None:
         mine = good_ids(labels).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")

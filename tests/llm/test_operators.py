@@ -112,6 +112,10 @@ def test_resampling(spark, awkward, nothing, labelled):
     assert all(r.kept for r in resampling.resample(awkward, labels.filter("false")).collect())
     assert sum(r.kept for r in resampling.resample(awkward, labels, share=0.5).collect()) >= 5
     assert resampling.resample(nothing, labels).count() == 0
+    # What an earlier filter left, ten poor documents among it, judged by models of the whole raw text.
+    left = docs.filter("doc_id % 4 <> 0 or doc_id < 40")
+    rows = resampling.resample(left, labels, share=225 / 235, raw=docs).collect()
+    assert {r.doc_id for r in rows if r.kept} == {i for i in range(300) if i % 4}
 
 
 def test_kth_largest(spark):
