@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 from ..runtime import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo") % 1_000_003), F.bit_xor(F.xxhash64("hi", "lo"))).first()
-    return tuple(row)
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """The number of edges, and whether they are stars: every upper node has one edge and is nobody's lower node."""
+    ends = edges.select(F.col("hi").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("low")).unionByName(
+        edges.select(F.col("lo").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("low"))
+    )
+    nodes = ends.groupBy("u").agg(F.sum("up").alias("n"), F.max("low").alias("low"))
+    count, open_nodes = nodes.agg(F.sum("n"), F.count_if(F.expr("n > 1 or (n = 1 and low = 1)"))).first()
+    return count or 0, not open_nodes
 
 
 #: Edges that a task of a round holds.
@@ -30,10 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
     live = materialize(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     )
-    state = _state(live)
-    while state[0]:
+    count, stars = _state(live)
+    while not stars:
         # The number of tasks of a round follows the number of edges.
-        tasks = max(16, state[0] // TASK_EDGES)
+        tasks = max(16, count // TASK_EDGES)
         both = live.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             live.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
@@ -50,9 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
             .coalesce(tasks)
         )
-        before, state = state, _state(live)
-        if before == state:
-            break
+        count, stars = _state(live)
     return live.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         live.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )

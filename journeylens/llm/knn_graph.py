@@ -182,7 +182,7 @@ def descend(points: DataFrame, pairs: DataFrame) -> DataFrame:
     narrow = materialize(points.select(F.col("node").alias("member"), F.col("unit").cast("array<float>").alias("unit")))
     linked = [pairs.filter(F.col("close") >= LINK - SLACK).select("a", "b")]
     lists = materialize(best_lists(pairs))
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         members = lists.select("u", F.col("v").alias("member")).unionByName(
             lists.select("u", F.col("u").alias("member")).distinct()
         )
@@ -194,8 +194,7 @@ def descend(points: DataFrame, pairs: DataFrame) -> DataFrame:
         known = lists.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "close")
         merged = known.unionByName(found).groupBy("a", "b").agg(F.max("close").alias("close"))
         before, lists = lists, materialize(best_lists(merged))
-        changed = lists.join(before, ["u", "v"], "left_anti").count()
-        if changed <= SETTLED * lists.count():
+        if turn == ROUNDS - 1 or lists.join(before, ["u", "v"], "left_anti").count() <= SETTLED * lists.count():
             break
     out = linked[0]
     for more in linked[1:]:
