@@ -6,7 +6,8 @@
    node stay, until the lists hardly change.
 3. Where all of a list is linked, more links may exist than it holds. So lists are enlarged to all nodes reached by
    links and compared again, block by block, in double precision; this gives the links and their numbers.
-4. A sample of vectors is compared with all rows; while too many of their links are missing, more orders are added.
+4. A sample of vectors is compared with all rows: of those with links, the share that has all of them. Orders are added
+   until that share is reached; every result has passed this audit.
 
 Cosines are first taken in single precision with some slack, and linked in double precision only.
 """
@@ -28,11 +29,14 @@ LINK = 0.9
 SLACK = 1e-4
 #: Pairs below this cosine are no help in finding links and leave the graph.
 FLOOR = 0.5
-ORDERS, MORE_ORDERS, CODE_BITS, WINDOW = 12, 12, 48, 8
+ORDERS, CODE_BITS, WINDOW = 12, 48, 8
 NEIGHBOURS, ROUNDS, SETTLED = 8, 4, 0.01
 BLOCK = 512
-#: Vectors of the audit, the share of their links that must be found, and how often orders are added.
-AUDITED, RECALL, ATTEMPTS = 512, 0.95, 3
+#: Vectors of the first draw of the audit and of a later one at most, the vectors with links that it must meet (or else
+#: it draws all), and the share of them that must have all their links.
+AUDITED, DRAWN, MET, RECALL = 512, 4096, 200, 0.95
+#: Vectors in components of more nodes count apart, so that large groups do not hide what small ones lose.
+HOT = 100
 
 
 def _matrix(column: pa.Array, kind=np.float32) -> np.ndarray:
@@ -266,9 +270,9 @@ def _forest(close: np.ndarray, left: np.ndarray, right: np.ndarray, count: int)
     return pairs[:, 0], pairs[:, 1]
 
 
-def enlarge(points: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows (node, n, other): numbers of linked vectors, to be summed, and (where other is set) links that connect."""
-    reached = materialize(components(pairs))
+def enlarge(points: DataFrame, reached: DataFrame) -> DataFrame:
+    """Rows (node, n, other) from (node, component): numbers of linked vectors in the component, to be summed, and (where
+    other is set) links that connect."""
     sizes = reached.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
     sized = materialize(sizes)
     placed = reached.join(sized, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -282,12 +286,13 @@ def enlarge(points: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _audit(points: DataFrame, counted: DataFrame) -> float:
-    """Of the links of a sample of nodes with all rows, the share that was found."""
-    sample = points.orderBy(F.xxhash64("node"), "node").limit(AUDITED).select("node", "dim", "unit").toArrow()
-    asked, dims = sample["node"].to_numpy(), sample["dim"].to_numpy()
-    queries = {int(d): (asked[dims == d], np.array([u.as_py() for u, e in zip(sample["unit"], dims) if e == d])) for d in set(dims)}
-    shared = points.sparkSession.sparkContext.broadcast(queries)  # at most AUDITED vectors
+def _truth(points: DataFrame, sample: DataFrame) -> DataFrame:
+    """Rows (node, true): with how many of all vectors each node of the sample (node, dim, unit) links."""
+    drawn = sample.toArrow()
+    asked, dims = drawn["node"].to_numpy(), drawn["dim"].to_numpy()
+    units = drawn["unit"].combine_chunks()
+    queries = {int(d): (asked[dims == d], _matrix(units.filter(pa.array(dims == d)), np.float64)) for d in set(dims)}
+    shared = points.sparkSession.sparkContext.broadcast(queries)  # some DRAWN vectors
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,12 +302,37 @@ def _audit(points: DataFrame, counted: DataFrame) -> float:
                 if own.num_rows:
                     near = _matrix(own.column("unit"), np.float64) @ units.T >= LINK
                     near &= np.asarray(own.column("node"))[:, None] != ids[None, :]
-                    n = np.asarray(own.column("copies")) @ near
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["node", "n"])
+                    n = (np.asarray(own.column("copies")) @ near).astype(np.int64)
+                    some = n > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some])], ["node", "n"])
 
-    truth = points.mapInArrow(apply, "node long, n long").groupBy("node").agg(F.sum("n").alias("true"))
-    both = truth.join(counted, "node", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+    return points.mapInArrow(apply, "node long, n long").groupBy("node").agg(F.sum("n").alias("true"))
+
+
+def audit(points: DataFrame, totals: DataFrame, reached: DataFrame) -> float:
+    """Of the nodes of a sample that link with any row, the share with all their links in totals (node, n).
+
+    Nodes in components of over HOT nodes and all others count apart, and the smaller share is given. Nodes are drawn by
+    hash until MET others with links are met, or all are drawn; where there is no link at all, the share is 1.
+    """
+    sizes = reached.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > HOT)
+    hot = reached.join(sizes, "component").select("node", F.lit(True).alias("hot"))
+    known = materialize(totals.join(hot, "node", "left").select("node", "n", F.coalesce("hot", F.lit(False)).alias("hot")))
+    count = points.count()
+    met, whole = {True: 0, False: 0}, {True: 0, False: 0}
+    last, size = 0.0, AUDITED
+    while last < 1 and met[False] < MET and count:
+        to = min(1.0, last + size / count)
+        place = (F.xxhash64(F.lit(7), "node") / 2.0**64) + 0.5
+        sample = points.filter((place >= last) & (place < to) if to < 1 else place >= last).select("node", "dim", "unit")
+        both = _truth(points, sample).join(known, "node", "left").select(
+            F.coalesce("hot", F.lit(False)).alias("hot"), (F.coalesce("n", F.lit(0)) >= F.col("true")).alias("whole")
+        )
+        for row in both.groupBy("hot").agg(F.count(F.lit(1)).alias("met"), F.count_if("whole").alias("whole")).collect():
+            met[row.hot] += row.met
+            whole[row.hot] += row.whole
+        last, size = to, min(2 * size, DRAWN)
+    return min((whole[k] / met[k] for k in met if met[k]), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -313,14 +343,16 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     """
     owners, points = nodes(vectors)
     pairs = materialize(descend(points, materialize(first_pairs(points, range(ORDERS)).distinct())))
-    for attempt in range(ATTEMPTS):
-        counted = materialize(enlarge(points, pairs))
+    orders = ORDERS
+    while True:
+        reached = materialize(components(pairs))
+        counted = materialize(enlarge(points, reached))
         totals = materialize(counted.groupBy("node").agg(F.sum("n").alias("n")))
-        if attempt == ATTEMPTS - 1 or _audit(points, totals) >= RECALL:
+        if audit(points, totals, reached) >= RECALL:
             break
-        more = range(ORDERS + attempt * MORE_ORDERS, ORDERS + (attempt + 1) * MORE_ORDERS)
-        further = descend(points, materialize(first_pairs(points, more).distinct()))
+        further = descend(points, materialize(first_pairs(points, range(orders, 2 * orders)).distinct()))
         pairs = materialize(pairs.unionByName(further).distinct())
+        orders *= 2
     labels = materialize(components(counted.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))))
     per_node = materialize(
         points.select("node")

@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from journeylens.llm import byte_bpe, packing, pii, quality_rules, resampling, secrets, toxicity, warc
 from journeylens.llm.components import components
+from journeylens.llm import knn_graph
 from journeylens.llm.knn_graph import near_duplicates
 
 DOCS = "doc_id long, text string, n string"
@@ -314,5 +315,23 @@ def test_near_duplicate_vectors(spark):
     assert near_duplicates(empty).count() == 0
 
 
+def test_audit_sees_lost_pairs_beside_a_large_group(spark):
+    """300 near copies with all their links found, and 600 pairs of which none is found, or all."""
+    draw = np.random.default_rng(9)
+    pairs = np.repeat(draw.standard_normal((600, 32)), 2, axis=0)
+    x = np.concatenate([np.repeat(draw.standard_normal((1, 32)), 300, axis=0), pairs])
+    x += 0.01 * draw.standard_normal(x.shape)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    points = spark.createDataFrame(
+        [(i, 1, 32, v.tolist()) for i, v in enumerate(x)], "node long, copies long, dim int, unit array<double>"
+    )
+    links = [(i, 299 if i < 300 else 1) for i in range(len(x))]
+    component = [(i, 0 if i < 300 else i - i % 2) for i in range(len(x))]
+    for known, least, most in ((300, 0.0, 0.0), (900, 0.2, 0.8), (len(x), 1.0, 1.0)):
+        totals = spark.createDataFrame(links[:known], "node long, n long")
+        reached = spark.createDataFrame(component[:known], "node long, component long")
+        assert least <= knn_graph.audit(points, totals, reached) <= most
+
+
 def test_pattern_is_the_one_of_the_vocabulary():
     assert regex.compile(public_tokenizers.PATTERN).findall("it's 5") == ["it", "'s", " 5"]
