@@ -1,13 +1,15 @@
 """Near-duplicate embeddings by NN-descent over a neighbour graph.
 
 1. Equal vectors are one node. Several orders of random-hyperplane codes put nodes of small angles side by side; each
-   node is compared with the next WINDOW ones of each order, which gives the first neighbour lists.
+   node is compared with the next ones of each order, which gives the first neighbour lists. Orders and places compared
+   grow with the logarithm of the number of nodes.
 2. NN-descent: the members of each list are compared with each other (neighbours of neighbours), the best NEIGHBOURS of each
-   node stay, until the lists hardly change.
+   node stay, however far, so that a pair among unrelated vectors is reached over common neighbours too; until the lists
+   hardly change.
 3. Where all of a list is linked, more links may exist than it holds. So lists are enlarged to all nodes reached by
    links and compared again, block by block, in double precision; this gives the links and their numbers.
 4. A sample of vectors is compared with all rows: of those with links, the share that has all of them. Orders are added
-   until that share is reached; every result has passed this audit.
+   with twice the window, and the lists descend further, until that share is reached; every result has passed this audit.
 
 Cosines are first taken in single precision with some slack, and linked in double precision only.
 """
@@ -27,10 +29,10 @@ from .components import components
 
 LINK = 0.9
 SLACK = 1e-4
-#: Pairs below this cosine are no help in finding links and leave the graph.
-FLOOR = 0.5
-ORDERS, CODE_BITS, WINDOW = 12, 48, 8
-NEIGHBOURS, ROUNDS, SETTLED = 8, 4, 0.01
+#: Least orders and places compared in each; of those below LINK, so many closest start a list.
+ORDERS, CODE_BITS, WINDOW, STARTS = 12, 48, 8, 2
+#: Members of a list, and the share of new ones in lists not full of links at which the descent ends.
+NEIGHBOURS, SETTLED = 8, 0.01
 BLOCK = 512
 #: Vectors of the first draw of the audit and of a later one at most, the vectors with links that it must meet (or else
 #: it draws all), and the share of them that must have all their links.
@@ -106,24 +108,34 @@ def _coded(orders: range):
     return apply
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares each row of an ordered stream with the WINDOW rows before it."""
-    rest = None
-    for batch in batches:
-        rows = pa.Table.from_batches([*(rest.to_batches() if rest else []), batch]).combine_chunks()
-        done = rest.num_rows if rest else 0
-        part, node = rows["part"].to_numpy(), rows["node"].to_numpy()
-        for group in np.unique(part):
-            at = np.flatnonzero(part == group)
-            x = _matrix(rows["unit"].combine_chunks().take(pa.array(at)) if len(at) < len(part) else rows["unit"].combine_chunks())
-            for d in range(1, WINDOW + 1):
-                if len(at) > d:
-                    close = np.einsum("ij,ij->i", x[d:], x[:-d])
-                    good = (close >= FLOOR) & (at[d:] >= done) & (node[at[d:]] != node[at[:-d]])
-                    if good.any():
-                        a, b = node[at[d:]][good], node[at[:-d]][good]
-                        yield _pairs(a, b, close[good])
-        rest = rows.slice(max(0, rows.num_rows - WINDOW))
+def _neighbours(window: int):
+    """Compares each row of an ordered stream with the `window` rows before it; gives all that may link, and STARTS others."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([*(rest.to_batches() if rest else []), batch]).combine_chunks()
+            done = rest.num_rows if rest else 0
+            part, node = rows["part"].to_numpy(), rows["node"].to_numpy()
+            for group in np.unique(part):
+                at = np.flatnonzero(part == group)
+                wide = min(window, len(at) - 1)
+                if wide < 1:
+                    continue
+                x = _matrix(rows["unit"].combine_chunks().take(pa.array(at)) if len(at) < len(part) else rows["unit"].combine_chunks())
+                close = np.full((len(at), wide), -2, np.float32)
+                for d in range(1, wide + 1):
+                    close[d:, d - 1] = np.einsum("ij,ij->i", x[d:], x[:-d])
+                good = close >= LINK - SLACK
+                best = np.argsort(-close, axis=1)[:, :STARTS]
+                good[np.arange(len(at))[:, None], best] = True
+                good &= (close > -2) & (at >= done)[:, None]
+                i, back = np.nonzero(good)
+                if len(i):
+                    yield _pairs(node[at[i]], node[at[i - back - 1]], close[i, back])
+            rest = rows.slice(max(0, rows.num_rows - window))
+
+    return apply
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, close: np.ndarray) -> pa.RecordBatch:
@@ -132,12 +144,13 @@ def _pairs(a: np.ndarray, b: np.ndarray, close: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def first_pairs(points: DataFrame, orders: range) -> DataFrame:
+def first_pairs(points: DataFrame, orders: range, window: int) -> DataFrame:
     coded = points.select("node", "dim", "unit").mapInArrow(
         _coded(orders), "part long, code long, node long, unit array<float>"
     )
     ordered = coded.repartitionByRange("part", "code", "node").sortWithinPartitions("part", "code", "node")
-    return ordered.mapInArrow(_neighbours, "a long, b long, close float")
+    pairs = ordered.mapInArrow(_neighbours(window), "a long, b long, close float")
+    return pairs.groupBy("a", "b").agg(F.max("close").alias("close"))
 
 
 def best_lists(pairs: DataFrame) -> DataFrame:
@@ -150,7 +163,8 @@ def best_lists(pairs: DataFrame) -> DataFrame:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs within each list of a stream ordered by list; a list has NEIGHBOURS + 1 members at most."""
+    """The pairs within each list of a stream ordered by list that may link or are closer than the last in the list of one
+    of both; a list has NEIGHBOURS + 1 members at most."""
     rest = None
     last = False
     stream = iter(batches)
@@ -168,42 +182,64 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         rows = rows.slice(0, cut)
         owner, node = rows["u"].to_numpy(), rows["member"].to_numpy()
-        units = rows["unit"].combine_chunks()
+        units, least = rows["unit"].combine_chunks(), rows["least"].to_numpy()
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         out = []
         for start, end in zip(starts, np.r_[starts[1:], len(owner)]):
             if end - start > 2:
                 x = _matrix(units.slice(start, end - start))
                 close = x @ x.T
-                i, j = np.nonzero(np.triu(close >= FLOOR, 1))
+                wanted = np.minimum(least[start:end], LINK - SLACK)
+                i, j = np.nonzero(np.triu((close > wanted[:, None]) | (close > wanted[None, :]), 1))
                 out.append((node[start + i], node[start + j], close[i, j]))
         if out:
             yield _pairs(*(np.concatenate(c) for c in zip(*out)))
 
 
-def descend(points: DataFrame, pairs: DataFrame) -> DataFrame:
-    """NN-descent from some pairs (a, b, close); gives all pairs it came across that may link, and the first ones."""
+def _last(lists: DataFrame) -> DataFrame:
+    """Rows (member, least): the closeness of the last in a node's list, -2 while the list has room."""
+    full = F.count(F.lit(1)) >= NEIGHBOURS
+    return lists.groupBy(F.col("u").alias("member")).agg(F.when(full, F.min("close")).otherwise(-2.0).cast("float").alias("least"))
+
+
+def descend(points: DataFrame, pairs: DataFrame, lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """NN-descent from some pairs (a, b, close) and earlier lists.
+
+    Gives all pairs it came across that may link, and the first ones; and the lists (u, v, close).
+    """
+
+    def known() -> DataFrame:
+        return lists.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "close")
+
+    def merged(more: DataFrame) -> DataFrame:
+        return materialize(best_lists(known().unionByName(more).groupBy("a", "b").agg(F.max("close").alias("close"))))
+
     narrow = materialize(points.select(F.col("node").alias("member"), F.col("unit").cast("array<float>").alias("unit")))
     linked = [pairs.filter(F.col("close") >= LINK - SLACK).select("a", "b")]
-    lists = materialize(best_lists(pairs))
-    for turn in range(ROUNDS):
-        members = lists.select("u", F.col("v").alias("member")).unionByName(
-            lists.select("u", F.col("u").alias("member")).distinct()
+    before, lists = lists, materialize(best_lists(pairs)) if lists is None else merged(pairs)
+    while True:
+        # Lists without a new member were compared before.
+        fresh = lists if before is None else materialize(lists.join(before, ["u", "v"], "left_anti"))
+        last = materialize(_last(lists))
+        if before is not None:
+            open_lists = lists.join(last.filter(F.col("least") < LINK).select(F.col("member").alias("u")), "u", "left_semi")
+            open_fresh = fresh.join(last.filter(F.col("least") < LINK).select(F.col("member").alias("u")), "u", "left_semi")
+            if open_fresh.count() <= SETTLED * open_lists.count():
+                break
+        owners = fresh.select("u").distinct()
+        members = lists.join(owners, "u", "left_semi").select("u", F.col("v").alias("member")).unionByName(
+            owners.select("u", F.col("u").alias("member"))
         )
         found = materialize(
-            members.join(narrow, "member").repartition("u").sortWithinPartitions("u", "member")
+            members.join(last, "member").join(narrow, "member").repartition("u").sortWithinPartitions("u", "member")
             .mapInArrow(_joined, "a long, b long, close float").groupBy("a", "b").agg(F.max("close").alias("close"))
         )
         linked.append(found.filter(F.col("close") >= LINK - SLACK).select("a", "b"))
-        known = lists.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "close")
-        merged = known.unionByName(found).groupBy("a", "b").agg(F.max("close").alias("close"))
-        before, lists = lists, materialize(best_lists(merged))
-        if turn == ROUNDS - 1 or lists.join(before, ["u", "v"], "left_anti").count() <= SETTLED * lists.count():
-            break
+        before, lists = lists, merged(found)
     out = linked[0]
     for more in linked[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out.distinct(), lists
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,15 +378,18 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     different lengths with each other. Rows without an id have no component and are kept.
     """
     owners, points = nodes(vectors)
-    pairs = materialize(descend(points, materialize(first_pairs(points, range(ORDERS)).distinct())))
-    orders = ORDERS
+    size = points.count().bit_length()
+    orders, window = max(ORDERS, size), max(WINDOW, size)
+    links, lists = descend(points, materialize(first_pairs(points, range(orders), window)))
+    pairs = materialize(links)
     while True:
         reached = materialize(components(pairs))
         counted = materialize(enlarge(points, reached))
         totals = materialize(counted.groupBy("node").agg(F.sum("n").alias("n")))
         if audit(points, totals, reached) >= RECALL:
             break
-        further = descend(points, materialize(first_pairs(points, range(orders, 2 * orders)).distinct()))
+        window *= 2
+        further, lists = descend(points, materialize(first_pairs(points, range(orders, 2 * orders), window)), lists)
         pairs = materialize(pairs.unionByName(further).distinct())
         orders *= 2
     labels = materialize(components(counted.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))))
