@@ -343,12 +343,11 @@ def test_descent_reaches_pairs_among_unrelated_vectors(spark):
         [(i, 1, 24, v.tolist()) for i, v in enumerate(x)], "node long, copies long, dim int, unit array<double>"
     )
     first = knn_graph.first_pairs(points, range(1), 8)
-    links, lists = knn_graph.descend(points, first)
+    links, _ = knn_graph.descend(points, first)
     near = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= knn_graph.LINK, 1)))}
     started = {(r.a, r.b) for r in first.filter(first.close >= knn_graph.LINK).collect()}
     found = {(r.a, r.b) for r in links.collect()} & near
     assert len(found) > len(started & near) + 30 and len(started & near) < 0.8 * len(near)
-    assert lists.groupBy("u").count().filter("count < 8").count() == 0
 
 
 def test_pattern_is_the_one_of_the_vocabulary():
