@@ -13,8 +13,6 @@ from ..functions.fields import journey_id
 from ..names import COHORT, JOURNEY, MODELS, USER, VISIT_TS
 
 POSITION_SHARES = (0.3, 0.3, 0.4)
-# Longest list in one output row; longer journeys go on in further rows.
-LIST_TOUCHES = 10_000
 SCORE_DIGITS = 6
 
 
@@ -73,14 +71,15 @@ def journeys(touches: DataFrame) -> DataFrame:
     )
 
 
-def journey_scores(credited: DataFrame, list_touches: int = LIST_TOUCHES) -> DataFrame:
+def journey_scores(credited: DataFrame, list_touches: int | None = None) -> DataFrame:
     """One row per journey with its touches in order and their credits.
 
-    `touches` is an array of structs. Lists are cut into parts of `list_touches` touches, so
-    that no row grows without bound: part 0, 1, ... in order make up the whole journey.
+    `touches` is an array of structs. On request lists are cut into parts of `list_touches`
+    touches: part 0, 1, ... in order make up the whole journey.
     """
     touch = F.struct("position", VISIT_TS, "channel", *credit_columns(credited))
-    part = F.floor((F.col("position") - 1) / list_touches).cast("int").alias("part")
+    part = F.floor((F.col("position") - 1) / list_touches) if list_touches else F.lit(0)
+    part = part.cast("int").alias("part")
     lists = credited.groupBy(*JOURNEY, part).agg(
         F.sort_array(F.collect_list(touch)).alias("touches"),
         F.max("conversion_value").alias("conversion_value"),

@@ -205,6 +205,12 @@ def score_rows(s: Stages) -> DataFrame:
     return models.text_form(s.scores)
 
 
+def touch_counts(s: Stages) -> DataFrame:
+    rows = models.journeys(s.credited)
+    named = fields.journey_id(F.col(USER), F.col("journey_no")).alias("journey_id")
+    return rows.select(named, *COHORT, F.col("num_touchpoints").cast("long").alias("num_touchpoints"))
+
+
 def effect_ltv_rows(s: Stages) -> DataFrame:
     rows = s.scores.filter("conversion_value = 1").join(s.valued.select(*JOURNEY, ltv.PRODUCT, ltv.LTV), JOURNEY)
     return rows.select("journey_id", *COHORT, ltv.PRODUCT, "part", ltv.effect_ltv_text().alias("removal_effect_ltv"))
@@ -452,9 +458,7 @@ _BUILD: dict[str, Callable[[Stages], DataFrame]] = {
     "removal_effect_raw": lambda s: markov.removal_effects(s.raw_effects),
     "attr_markov": lambda s: model_shares(s, "markov"),
     "journey_scores": score_rows,
-    "num_touchpoints": lambda s: models.text_form(s.scores).select(
-        "journey_id", *COHORT, models.touchpoint_count(F.col("channels_agg")).cast("long").alias("num_touchpoints")
-    ),
+    "num_touchpoints": touch_counts,
     "rolling_cohort_90": rolling_totals,
     "rolling_cohort_90_effects": rolling_effects,
     "removal_effect_ltv": effect_ltv_rows,

@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from helpers import by, same_rows, visits
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from journeylens.names import COHORT, JOURNEY, MODELS, USER
 from journeylens.operators import journeys, markov, models, windows
+from journeylens.plans.queries import _BUILD
 
 SCORES = [MODELS[m] for m in ("last_click", "first_click", "position_based", "time_decay")]
 
@@ -108,6 +110,15 @@ def test_long_journeys_continue_in_further_rows(spark):
     assert by(scores, "part", "channels_agg", "num_touchpoints") == {0: ("A > B", 5), 1: ("C > D", 5), 2: ("E", 5)}
 
 
+def test_a_hot_journey_is_one_row_with_all_touches(spark):
+    start = datetime(2024, 1, 20)
+    rows = [("u", str(start + timedelta(seconds=i)), "A", int(i == 11_999)) for i in range(12_000)]
+    credited = credits(spark, rows)
+    stages = SimpleNamespace(credited=credited, scores=models.journey_scores(credited))
+    assert [len(r.touches) for r in stages.scores.collect()] == [12_000]
+    assert [r.num_touchpoints for r in _BUILD["num_touchpoints"](stages).collect()] == [12_000]
+
+
 def test_look_back_counts_both_ends(spark):
     conversion = datetime(2024, 3, 31, 12)
     ages = [0, 30, 31, 32, 61, 62, 91, 92]
