@@ -2,9 +2,11 @@
 
 Base entities are e-mail addresses, IPv4 addresses, card and phone numbers. They are the seeds of a pattern-instance
 graph over all documents: an instance is an identifier-like token (four digits or more) or a base entity, a pattern is
-the pair of words before it. A pattern's confidence is the mean score of its different instances, an instance's score
-that of its best supported pattern, and seeds score 1; both are refreshed ROUNDS times by joins and aggregations of the
-edge table. Tokens that no base kind covers and that stand in a supported, confident pattern are further spans.
+the pair of words before it. Seeds score 1; any other instance scores, in a pattern, the best confidence it has from
+other accepted patterns, so no pattern vouches for itself. A pattern's confidence is the mean score of its different
+instances, its support their sum; with enough of both it is accepted, and its instances count in further patterns. Joins
+and aggregations of the edge table repeat this until nothing changes. Tokens that no base kind covers and that stand in
+an accepted pattern are further spans.
 """
 
 from __future__ import annotations
@@ -21,10 +23,12 @@ from .common import SPACE, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
-ROUNDS = 3
-#: A pattern is supported by so many different seeds, and found confident from this mean score on.
+#: A pattern is supported by so many different seeds, or by instances whose scores sum to it, and found confident from
+#: this mean score on.
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.6
+#: Growth of the summed confidences below which a round has changed nothing.
+SETTLED = 1e-3
 #: Digits and characters of an identifier-like token, and how far back its pattern may reach.
 MIN_DIGITS, MAX_LENGTH, REACH = 4, 80, 120
 ROWS = 256
@@ -135,28 +139,37 @@ def scan(documents: DataFrame) -> DataFrame:
     )
 
 
-def confident_patterns(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Rows (pattern, confidence) of the supported patterns that reach MIN_CONFIDENCE."""
+def confident_patterns(scanned: DataFrame) -> DataFrame:
+    """Rows (pattern, confidence) of the supported patterns that reach MIN_CONFIDENCE.
+
+    Scores only grow from round to round, so the accepted patterns do too, and the rounds end.
+    """
     seeds = scanned.select(F.inline("seeds")).withColumn("seed", F.lit(1))
     others = scanned.select(F.inline("others")).select("pattern", "instance", F.lit(0).alias("seed"))
     edges = materialize(seeds.unionByName(others).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    support = materialize(
-        edges.groupBy("pattern").agg(F.sum("seed").alias("seeds")).filter(F.col("seeds") >= MIN_SEEDS).select("pattern")
-    )
-    live = materialize(edges.join(support, "pattern").withColumn("score", F.col("seed").cast("double")))
-    for _ in range(rounds):
-        patterns = materialize(live.groupBy("pattern").agg(F.avg("score").alias("confidence")))
-        best = materialize(
-            live.filter("seed = 0").join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
-        )
-        live = materialize(
-            live.select("pattern", "instance", "seed")
-            .join(best, "instance", "left")
-            .select("pattern", "instance", "seed", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("best")).alias("score"))
+    scored = edges.withColumn("score", F.col("seed").cast("double"))
+    before = (0, 0.0)
+    while True:
+        rated = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.sum("score").alias("support"))
+        enough = (F.col("support") >= MIN_SEEDS) & (F.col("confidence") >= MIN_CONFIDENCE)
+        patterns = materialize(rated.filter(enough).select("pattern", "confidence"))
+        count, total = patterns.agg(F.count(F.lit(1)), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if count == before[0] and total - before[1] < SETTLED:
+            return patterns
+        before = (count, total)
+        held = materialize(edges.filter("seed = 0").join(patterns, "pattern").select("instance", "pattern", "confidence"))
+        best = materialize(held.groupBy("instance").agg(F.max(F.struct("confidence", "pattern")).alias("best")))
+        second = (
+            held.join(best, "instance").filter(F.col("pattern") != F.col("best.pattern"))
+            .groupBy("instance").agg(F.max("confidence").alias("second"))
+        )
+        ranked = materialize(best.join(second, "instance", "left"))
+        elsewhere = F.when(F.col("best.pattern") == F.col("pattern"), F.col("second")).otherwise(F.col("best.confidence"))
+        scored = materialize(
+            edges.join(ranked, "instance", "left").select(
+                "pattern", "instance", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce(elsewhere, F.lit(0.0))).alias("score")
+            )
         )
-    return materialize(
-        live.groupBy("pattern").agg(F.avg("score").alias("confidence")).filter(F.col("confidence") >= MIN_CONFIDENCE)
-    )
 
 
 def further_spans(scanned: DataFrame, patterns: DataFrame) -> DataFrame:

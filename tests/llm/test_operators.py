@@ -181,6 +181,18 @@ def test_contexts_and_redaction(spark, awkward, nothing):
     assert pii.redact(awkward).count() == len(AWKWARD) and pii.find(nothing).count() == 0
 
 
+def test_contexts_grow_over_accepted_identifiers_only(spark):
+    """Planted numbers in a context without seeds are reached over shared ones; years beside a few seeds are not taken."""
+    texts = [f"passport number u{i}@x.org" for i in range(20)] + [f"passport number AB1000{i}" for i in range(5)]
+    texts += [f"member code AB1000{i}" for i in range(5)] + ["member code ZZ99999"]
+    texts += [f"published in v{i}@x.org" for i in range(3)] + [f"published in {1990 + i}" for i in range(9)]
+    rows = [(i, t, "x") for i, t in enumerate(texts)]
+    found = {r.doc_id for r in pii.find(spark.createDataFrame(rows, DOCS)).collect() if any(s.kind == pii.CONTEXT for s in r.spans)}
+    planted = {i for i, t in enumerate(texts) if "AB1000" in t or "ZZ" in t}
+    precision, recall = len(found & planted) / max(len(found), 1), len(found & planted) / len(planted)
+    assert (precision, recall) == (1.0, 1.0)
+
+
 def test_secrets(spark, awkward, nothing):
     patterns = [
         ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"),
