@@ -175,7 +175,7 @@ def prefixes(documents: DataFrame) -> DataFrame:
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From postings sorted by (token, part, n, gid): a row per posting in a list of its token with others,
     with its neighbour in it if the sizes allow a link."""
-    rest = np.empty((5, 0), np.int64)
+    rest, split = np.empty((5, 0), np.int64), None
 
     def emit(rows: np.ndarray) -> pa.RecordBatch:
         token, part, n, gid, at = rows
@@ -198,6 +198,9 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate([rest, np.stack([np.asarray(c) for c in batch.columns]).astype(np.int64)], axis=1)
         if not rows.shape[1]:
             continue
+        # Later rows of a list in pieces are pieces too, even a last one alone.
+        if split is not None:
+            rows[1, rows[0] == split] = np.maximum(rows[1, rows[0] == split], 0)
         last = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
         cut = int(np.argmax(last))
         if cut:
@@ -209,6 +212,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             piece[1] = np.maximum(piece[1], 0)
             yield emit(piece)
             rest[1] = np.maximum(rest[1], 0)
+            split = rest[0, 0]
     if rest.shape[1]:
         yield emit(rest)
 

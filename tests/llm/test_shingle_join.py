@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+
 from journeylens.llm import shingle_join
 from journeylens.llm.shingle_join import near_copies
 
@@ -83,3 +85,12 @@ def test_ids_null_or_shared_and_extra_columns(spark):
 
 def test_empty_table(spark):
     assert near_copies(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_last_row_of_a_list_in_pieces_stays(monkeypatch):
+    monkeypatch.setattr(shingle_join, "LIST_ROWS", 2)
+    names = ["token", "part", "n", "gid", "at"]
+    rows = [(5, -1, 9, gid, 0) for gid in range(10)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names) for part in (rows[:9], rows[9:])]
+    out = [r for b in shingle_join._listed(iter(batches)) for r in b.to_pylist()]
+    assert sorted(r["gid"] for r in out) == list(range(10)) and all(r["many"] for r in out)
