@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, oracles, packing, pii, quality_rules, resampling, secrets, toxicity, warc
+from . import byte_bpe, centroids, oracles, packing, pii, quality_rules, resampling, secrets, suffix_array, toxicity, warc, word_automaton
 from .common import table
 from .knn_graph import near_duplicates
 from .shingle_join import near_copies
@@ -87,10 +87,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_automaton.draw(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark", "text"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.without_repeats(_documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_digest(*centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_quality_rules, op2_pii, op3_ngram_jaccard_join, op4_warc, op5_byte_bpe, op6_toxicity,
         op7_embedding_near_dedup, op8_best_fit_packing, op9_quality_classifier, op10_secret_scan,
+        op11_target_resampling, op12_suffix_dedup, op13_centroid_clusters,
     )
     return {query.__name__: query for query in named}
 
@@ -100,4 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_ngram_jaccard_join": oracles.NEAR_COPIES,
         "op4_warc": oracles.ARCHIVED,
         "op7_embedding_near_dedup": oracles.NEAR_DUPLICATES,
+        "op11_target_resampling": oracles.TARGET_RESAMPLING,
+        "op12_suffix_dedup": oracles.REPEATED_PASSAGES,
+        "op13_centroid_clusters": oracles.centroid_clusters(),
     }
