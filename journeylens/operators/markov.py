@@ -4,8 +4,9 @@ A journey is a walk (start) -> channels -> (conversion) or (null); steps from a
 itself are left out. The removal effect of a channel is the relative loss of conversion
 probability when visits to it end in (null) (Anderl et al., "Mapping the customer journey",
 2016). With Q the steps between channels, N = (I - Q)^-1 and v the conversion
-probabilities, it equals N[start, k] v[k] / (N[k, k] v[start]): one solution per cohort
-instead of one per channel.
+probabilities, it equals N[start, k] v[k] / (N[k, k] v[start]): one solution instead of one
+per channel. Channels that no steps connect do not see each other in N, so each connected group
+is solved apart, by sparse elimination of its strongly connected parts (see `sparse`).
 """
 
 from __future__ import annotations
@@ -20,15 +21,16 @@ from pyspark.sql import functions as F
 
 from ..names import COHORT, CONVERSION, FLAG, JOURNEY, MODELS, NULL_STATE, START
 from ..runtime import materialize
+from . import sparse
+from .groups import connected_groups
 
 # Executors need not have this package: the solver travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(sparse)
 
-# Numbers that a task holds for the states of its block at a time.
-BLOCK_NUMBERS = 1 << 22
-BLOCK_STATES = 256
-EFFECT_SCHEMA = (
-    "run_date date, conversion_type string, conversion_window int, channel string, removal_effect_raw double"
+ENDS = [CONVERSION, NULL_STATE]
+SOLVED_SCHEMA = (
+    "run_date date, conversion_type string, conversion_window int, channel string, reached double, value double, won double"
 )
 PAIR_SALTS = 16
 
@@ -92,92 +94,66 @@ def unpivot_matrix(wide: DataFrame, ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, columns, "destination", "probability")
 
 
-def _summed(step, first: np.ndarray) -> np.ndarray:
-    """first + step(first) + step(step(first)) + ... to the last bit: until further terms change nothing."""
-    total, term = first.copy(), first
-    while True:
-        term = step(term)
-        more = total + term
-        if (more == total).all():
-            return total
-        total = more
-
-
-def _visits_and_values(
-    n: int, rows: np.ndarray, columns: np.ndarray, weight: np.ndarray, wins: np.ndarray, block: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row 0 of N, its diagonal at the states of `block`, and N times `wins`, for N = (I - Q)^-1.
-
-    Q is given by its entries (row, column, weight). Each is a sum over the lengths of walks; one more length costs
-    one product with the sparse Q.
-    """
-    first = np.zeros(n)
-    first[0] = 1
-    visits = _summed(lambda x: np.bincount(columns, weight * x[rows], n), first)
-    value = _summed(lambda x: np.bincount(rows, weight * x[columns], n), wins)
-    order = np.argsort(rows, kind="stable")
-    rows, columns, weight = rows[order], columns[order], weight[order, None]
-    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
-    again = np.ones(len(block))
-    width = max(1, BLOCK_NUMBERS // max(n, len(rows)))
-
-    def longer(x: np.ndarray) -> np.ndarray:
-        out = np.zeros_like(x)
-        if len(starts):
-            out[rows[starts]] = np.add.reduceat(weight * x[columns], starts, axis=0)
-        return out
-
-    for at in range(0, len(block), width):
-        own = block[at : at + width]
-        unit = np.zeros((n, len(own)))
-        unit[own, np.arange(len(own))] = 1
-        again[at : at + width] = _summed(longer, unit)[own, np.arange(len(own))]
-    return visits, again, value
-
-
 def _solve(frame: pd.DataFrame) -> pd.DataFrame:
-    """Removal effects of one block of a cohort's states, from all of its steps."""
-    ends = [CONVERSION, NULL_STATE]
-    channels = sorted((set(frame.source) | set(frame.destination)) - {START, *ends})
-    index = {state: i for i, state in enumerate([START, *channels])}
-    weight = (frame.steps / frame.groupby("source").steps.transform("sum")).to_numpy()
-    rows = frame.source.map(index).to_numpy()
-    inner = (~frame.destination.isin(ends)).to_numpy()
-    targets = frame.destination[inner].map(index).to_numpy().astype(int)
-    wins = np.zeros(len(index))
-    won = (frame.destination == CONVERSION).to_numpy()
-    wins[rows[won]] = weight[won]
-    key = frame.iloc[0]
-    block = np.arange(1, len(index))[int(key.block) :: int(key.blocks)]
-    visits, again, value = _visits_and_values(len(index), rows[inner], targets, weight[inner], wins, block)
-    if value[0] > 0:
-        effect = visits[block] * value[block] / (again * value[0])
-    else:
-        effect = np.full(len(block), None, dtype=object)
+    """Visits, returns and values of the channels of one group, from all steps that touch it."""
+    inner = frame[~frame.source.eq(START) & ~frame.destination.isin(ENDS)]
+    channels = sorted((set(frame.source) | set(frame.destination)) - {START, *ENDS})
+    index = {channel: i for i, channel in enumerate(channels)}
+    out: list[dict[int, float]] = [{} for _ in channels]
+    for source, destination, p in zip(inner.source, inner.destination, inner.probability):
+        out[index[source]][index[destination]] = p
+    starts, wins, leave = np.zeros(len(channels)), np.zeros(len(channels)), np.zeros(len(channels))
+    for source, destination, p in frame[["source", "destination", "probability"]].itertuples(index=False):
+        if source == START:
+            starts[index[destination]] += p
+        elif destination in ENDS:
+            leave[index[source]] += p
+            if destination == CONVERSION:
+                wins[index[source]] += p
+    visits, again, value = sparse.solve(out, wins, starts, leave)
     return pd.DataFrame(
         {
-            "run_date": key.run_date,
-            "conversion_type": key.conversion_type,
-            "conversion_window": key.conversion_window,
-            "channel": [channels[i - 1] for i in block],
-            "removal_effect_raw": effect,
+            **{key: frame[key].iloc[0] for key in COHORT},
+            "channel": channels, "reached": visits / again, "value": value, "won": starts * value,
         }
+    )
+
+
+def channel_groups(steps: DataFrame) -> DataFrame:
+    """Rows (COHORT, channel, group): channels of one cohort that steps connect, the ends left out, share a group.
+
+    What the chain does in a group depends on the steps of the group alone. Nodes go by a hash of cohort and channel;
+    of equal hashes two groups would be solved together, with the same result.
+    """
+    start, end = F.col("source") == START, F.col("destination").isin(ENDS)
+    node = lambda name: F.xxhash64(*COHORT, name)
+    touched = steps.filter(~(start & end)).select(
+        *COHORT,
+        F.when(start, F.col("destination")).otherwise(F.col("source")).alias("channel"),
+        F.when(end, F.col("source")).otherwise(F.col("destination")).alias("other"),
     )
+    links = touched.select(node("channel").alias("a"), node("other").alias("b"))
+    groups = connected_groups(links)
+    channels = touched.select(*COHORT, F.explode(F.array("channel", "other")).alias("channel")).distinct()
+    return channels.join(groups, node("channel") == F.col("node")).select(*COHORT, "channel", "group")
 
 
-def removal_effects_raw(steps: DataFrame, block_states: int = BLOCK_STATES) -> DataFrame:
+def removal_effects_raw(steps: DataFrame) -> DataFrame:
     """Unrounded effect per cohort and channel; NULL in a cohort without conversions.
 
-    The states of a cohort are solved in blocks, each in a task of its own that holds the cohort's steps and its block.
-    `steps` should be a written table: it is read for the sizes, then for the solution.
+    Each connected group of a cohort's channels is solved in a task of its own, which holds the steps of that group;
+    the probability of a conversion is summed over the groups. `steps` should be a written table.
     """
-    sizes = steps.groupBy(*COHORT).agg(
-        F.greatest(F.ceil((F.count_distinct("source") - 1) / block_states), F.lit(1)).cast("int").alias("blocks")
-    )
-    dealt = steps.join(materialize(sizes), COHORT).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
-    return dealt.groupBy(*COHORT, "block").applyInPandas(_solve, EFFECT_SCHEMA)
+    known = probabilities(steps)
+    start, end = F.col("source") == START, F.col("destination").isin(ENDS)
+    at = F.when(start, F.col("destination")).otherwise(F.col("source"))
+    groups = materialize(channel_groups(steps))
+    dealt = known.filter(~(start & end)).withColumn("channel", at).join(groups, [*COHORT, "channel"])
+    solved = materialize(dealt.drop("channel", "steps").groupBy(*COHORT, "group").applyInPandas(_solve, SOLVED_SCHEMA))
+    direct = known.filter(start & (F.col("destination") == CONVERSION)).select(*COHORT, F.col("probability").alias("won"))
+    won = solved.select(*COHORT, "won").unionByName(direct).groupBy(*COHORT).agg(F.sum("won").alias("converted"))
+    effect = F.when(F.col("converted") > 0, F.col("reached") * F.col("value") / F.col("converted"))
+    return solved.join(won, COHORT).select(*COHORT, "channel", effect.alias("removal_effect_raw"))
 
 
 def share_of_total(df: DataFrame, column: str, keys: list[str] = COHORT) -> DataFrame:

@@ -3,11 +3,12 @@ from datetime import date
 
 import numpy as np
 import pytest
-from helpers import by, same_rows, visits
+from helpers import by, visits
 from pyspark.sql import functions as F
 
 from journeylens.names import COHORT, CONVERSION, MODELS, NULL_STATE, START
-from journeylens.operators import journeys, markov
+from journeylens.operators import journeys, markov, sparse
+from journeylens.operators.groups import connected_groups
 
 SCHEMA = "run_date date, conversion_type string, conversion_window int, source string, destination string, steps long"
 
@@ -61,35 +62,73 @@ def random_chain(rng, channels):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_blocks_agree_with_removal_one_at_a_time(spark, seed):
+def test_agrees_with_removal_one_at_a_time(spark, seed):
     counts = random_chain(random.Random(seed), 5)
     counts.setdefault((START, CONVERSION), 0)
     counts = {edge: n for edge, n in counts.items() if n}
+    # A second, unconnected group of channels in the same cohort.
+    counts |= {(START, "x"): 3, ("x", "y"): 3, ("y", "x"): 1, ("y", CONVERSION): 2, (START, CONVERSION): 2}
     steps = chain(spark, counts).unionByName(chain(spark, TWO_CHANNELS, 60))
-    dense = markov.removal_effects_raw(steps)
-    for block_states in (1, 4):
-        same_rows(dense, markov.removal_effects_raw(steps, block_states))
+    raw = markov.removal_effects_raw(steps)
+    assert raw.count() == 9
     base = removed(counts, None)
-    for channel, (effect,) in by(dense.filter("conversion_window = 30"), "channel", "removal_effect_raw").items():
+    for channel, (effect,) in by(raw.filter("conversion_window = 30"), "channel", "removal_effect_raw").items():
         assert effect == pytest.approx(1 - removed(counts, channel) / base)
 
 
-@pytest.mark.parametrize("numbers", [1, 500, 10**9])
-def test_sums_over_walks_give_the_entries_of_the_inverse(monkeypatch, numbers):
+@pytest.mark.parametrize("most_fill", [0, 4, 10**9])
+@pytest.mark.parametrize("n, density, leaves", [(1, 1, 0.5), (40, 0.05, 0.3), (60, 0.06, 0.3), (60, 0.1, 1e-7), (50, 0.5, 0.1)])
+def test_sparse_solution_gives_the_entries_of_the_inverse(n, density, leaves, most_fill):
     rng = np.random.default_rng(7)
-    n = 60
-    matrix = np.where(rng.random((n, n)) < 0.06, rng.random((n, n)), 0)
+    matrix = np.where(rng.random((n, n)) < density, rng.random((n, n)), 0)
     np.fill_diagonal(matrix, 0)
-    matrix /= matrix.sum(axis=1, keepdims=True) + 0.3
-    wins = rng.random(n)
+    total = matrix.sum(axis=1) + leaves
+    matrix, leave = matrix / total[:, None], leaves / total
+    wins, starts = leave * rng.random(n), rng.random(n)
     inverse = np.linalg.inv(np.eye(n) - matrix)
-    monkeypatch.setattr(markov, "BLOCK_NUMBERS", numbers)
-    block = np.arange(0, n, 3)
-    rows, columns = np.nonzero(matrix)
-    visits, again, value = markov._visits_and_values(n, rows, columns, matrix[rows, columns], wins, block)
-    np.testing.assert_allclose(visits, inverse[0])
-    np.testing.assert_allclose(again, np.diag(inverse)[block])
-    np.testing.assert_allclose(value, inverse @ wins)
+    out = [{int(j): matrix[i, j] for j in np.flatnonzero(matrix[i])} for i in range(n)]
+    visits, again, value = sparse.solve(out, wins, starts, leave, most_fill)
+    digits = 1e-9 if leaves > 1e-3 else 1e-5
+    np.testing.assert_allclose(visits, starts @ inverse, rtol=digits)
+    np.testing.assert_allclose(again, np.diag(inverse), rtol=digits)
+    np.testing.assert_allclose(value, inverse @ wins, rtol=digits)
+
+
+def test_walks_that_hardly_ever_end():
+    """Two states that pass walks on to each other a million million times: known in closed form."""
+    e = 1e-12
+    visits, again, value = sparse.solve([{1: 1 - e}, {0: 1.0}], np.array([e, 0.0]), np.array([1.0, 0.0]), np.array([e, 0.0]))
+    np.testing.assert_allclose(visits, [1 / e, 1 / e * (1 - e)], rtol=1e-9)
+    np.testing.assert_allclose(again, [1 / e, 1 / e], rtol=1e-9)
+    np.testing.assert_allclose(value, [1, 1], rtol=1e-9)
+
+
+def test_strong_parts_come_before_what_leads_to_them():
+    rng = random.Random(4)
+    out = [[rng.randrange(30) for _ in range(rng.randrange(3))] for _ in range(30)]
+    reach = {(i, j) for i in range(30) for j in out[i]} | {(i, i) for i in range(30)}
+    for k in range(30):
+        reach |= {(i, j) for i in range(30) for j in range(30) if (i, k) in reach and (k, j) in reach}
+    parts = sparse.strong_parts(out)
+    assert sorted(x for part in parts for x in part) == list(range(30))
+    number = {x: i for i, part in enumerate(parts) for x in part}
+    for i in range(30):
+        for j in range(30):
+            assert (number[i] == number[j]) == ((i, j) in reach and (j, i) in reach)
+            assert (i, j) not in reach or number[j] <= number[i]
+
+
+def test_connected_groups(spark):
+    rng = random.Random(6)
+    pairs = [(i, i + 1) for i in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(7, 7), (5000, 5000)]
+    pairs += [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(90)]
+    label = {v: v for p in pairs for v in p}
+    for _ in range(250):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    found = dict(connected_groups(spark.createDataFrame(pairs, "a long, b long")).collect())
+    assert set(found) == set(label)
+    assert len({(found[v], label[v]) for v in label}) == len(set(found.values())) == len(set(label.values()))
 
 
 def test_many_states(spark):
@@ -107,10 +146,9 @@ def test_many_states(spark):
 
 def test_no_conversions(spark):
     steps = chain(spark, {(START, "A"): 2, ("A", NULL_STATE): 2})
-    for options in ({}, {"block_states": 1}):
-        raw = markov.removal_effects_raw(steps, **options)
-        assert by(raw, "channel", "removal_effect_raw") == {"A": (None,)}
-        assert by(markov.removal_effects(raw), "channel", "removal_effect") == {"A": (None,)}
+    raw = markov.removal_effects_raw(steps)
+    assert by(raw, "channel", "removal_effect_raw") == {"A": (None,)}
+    assert by(markov.removal_effects(raw), "channel", "removal_effect") == {"A": (None,)}
 
 
 def test_edges_leave_out_steps_to_the_same_channel(spark):
