@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import NO_TOUCHPOINT
-from ..names import COHORT, CONV_TS, FLAG, TOUCHPOINT, USER, VISIT_TS
+from ..names import CONV_TS, FLAG, TOUCHPOINT, USER, VISIT_TS, WINDOWS
 from ..runtime import HOT_KEY_ROWS, hot_keys
 from .scan import ordered_scan
 from .windows import explode_windows
@@ -15,6 +15,8 @@ SPLIT_KEYS = ["run_date", "conversion_type", USER]
 CHUNK_SECONDS = 60
 
 DECAY, DECAY_HOURS = 0.6, 7
+# Rules whose converting visits may differ between the windows of one cohort: each window is ordered on its own.
+OWN_MAXIMUM = {"conversion_time"}
 
 
 def flag_rule(rule: str) -> tuple[Column | None, Column]:
@@ -30,7 +32,7 @@ def flag_rule(rule: str) -> tuple[Column | None, Column]:
     return rules[rule]
 
 
-def touches(
+def touches_once(
     visits: DataFrame,
     rule: str = "last_visit",
     channel: str = TOUCHPOINT,
@@ -38,36 +40,59 @@ def touches(
     decay_hours: int = DECAY_HOURS,
     hot_rows: int | None = HOT_KEY_ROWS,
     keep: tuple[str, ...] = (),
+    windows: tuple[int, ...] = tuple(WINDOWS),
 ) -> DataFrame:
-    """Order each user's visits, cut journeys after conversions, place each touch.
+    """Order each user's visits once, cut journeys after conversions, place each touch in every window.
 
-    `visits` holds the cohort key, either with `conversion_window` or with the list
-    `conversion_windows`. The rows are shuffled once, by date, type and user; windows are
-    exploded afterwards, and every later window function reuses that partitioning. Users
-    with more than `hot_rows` rows are split by time instead (see `ordered_scan`).
+    `visits` holds the cohort key: `conversion_window`, or the list `conversion_windows` of nested windows (each
+    holding the last visits of the next), and `run_date`, or the list `run_dates`. The rows are shuffled once, by date, type and user, or with
+    `run_dates` by type and user, the dates being exploded afterwards; every window function reuses that partitioning.
+    The narrower windows of a cohort hold the last visits of the widest one, so one order serves them all: a row
+    carries its places in the list `placed`, one entry per window. Users with more than `hot_rows` rows are split by
+    time instead (see `ordered_scan`).
     """
-    windows = [c for c in ("conversion_window", "conversion_windows") if c in visits.columns]
-    if "run_date" not in visits.columns:
+    listed = [c for c in ("conversion_window", "conversion_windows", "run_dates") if c in visits.columns]
+    keys = [k for k in SPLIT_KEYS if k != "run_date" or "run_dates" not in listed]
+    if "run_date" not in visits.columns and "run_dates" not in listed:
         visits = visits.withColumn("run_date", F.to_date(CONV_TS))
+    if "conversion_windows" in listed and rule in OWN_MAXIMUM:
+        visits = explode_windows(visits)
+        listed = ["conversion_window" if c == "conversion_windows" else c for c in listed]
     rows = visits.filter(F.col(USER).isNotNull() & F.col("conversion_type").isNotNull()).select(
-        *SPLIT_KEYS, *windows, VISIT_TS, CONV_TS, F.col(FLAG).cast("int").alias("recorded_"),
+        *keys, *listed, VISIT_TS, CONV_TS, F.col(FLAG).cast("int").alias("recorded_"),
         F.coalesce(F.col(channel), F.lit(NO_TOUCHPOINT)).alias("channel"), *keep,
     )
-    arguments = (rule, decay, decay_hours)
-    hot = hot_keys(rows, SPLIT_KEYS, hot_rows) if hot_rows else None
+    arguments = (keys, rule, decay, decay_hours, windows if "conversion_windows" in listed else None)
+    hot = hot_keys(rows, keys, hot_rows) if hot_rows else None
     if hot is None or hot.isEmpty():
         return _place(rows, None, *arguments)
-    usual = _place(rows.join(hot, SPLIT_KEYS, "left_anti"), None, *arguments)
+    usual = _place(rows.join(hot, keys, "left_anti"), None, *arguments)
     minutes = F.floor(F.unix_micros(VISIT_TS) / (CHUNK_SECONDS * 1_000_000))
-    busy = rows.join(hot, SPLIT_KEYS, "left_semi").withColumn("chunk_", minutes)
+    busy = rows.join(hot, keys, "left_semi").withColumn("chunk_", minutes)
     return usual.unionByName(_place(busy, "chunk_", *arguments).drop("chunk_"))
 
 
-def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_hours: int) -> DataFrame:
-    rows = rows.repartition(*SPLIT_KEYS, *([chunk] if chunk else []))
-    if "conversion_windows" in rows.columns:
-        rows = explode_windows(rows)
-    by_user = COHORT + [USER]
+def per_window(placed: DataFrame) -> DataFrame:
+    """One row per touch and window."""
+    if "placed" not in placed.columns:
+        return placed
+    return placed.withColumn("placed", F.explode("placed")).select("*", "placed.*").drop("placed")
+
+
+def touches(visits: DataFrame, *arguments, **options) -> DataFrame:
+    """`touches_once`, one row per touch and window."""
+    return per_window(touches_once(visits, *arguments, **options))
+
+
+def _place(
+    rows: DataFrame, chunk: str | None, keys: list[str], rule: str, decay: float, decay_hours: int,
+    nested: tuple[int, ...] | None,
+) -> DataFrame:
+    rows = rows.repartition(*keys, *([chunk] if chunk else []))
+    if "run_dates" in rows.columns:
+        rows = rows.withColumn("run_date", F.explode("run_dates")).drop("run_dates")
+    by_user = SPLIT_KEYS + ["conversion_window"] * (nested is None)
+    held = {w: F.array_contains("conversion_windows", w) if nested else F.lit(True) for w in nested or (0,)}
     maximum, converting = flag_rule(rule)
     # Of visits at the same time the converting one comes last, then the channel decides. What
     # still ties is interchangeable: the maximum rules flag by time and recorded flag alone.
@@ -75,22 +100,24 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
     if maximum is not None:
         rows = ordered_scan(rows, by_user, order, total={"last_": ("max", maximum)}, chunk=chunk)
     rows = rows.withColumn(FLAG, F.when(converting, 1).otherwise(0)).drop("last_")
-    # The rank settles the order of interchangeable rows for all that follows.
+    # The rank settles the order of interchangeable rows for all that follows. Conversions before a window begins are
+    # those of rows outside it.
     rows = ordered_scan(
         rows,
         by_user,
         order,
-        before={"journey_no": F.col(FLAG), "rank_": F.lit(1)},
+        before={"journey_": F.col(FLAG), "rank_": F.lit(1)},
         following={"next_channel": F.col("channel")},
+        total={f"earlier_{w}": ("sum", F.when(inside, 0).otherwise(F.col(FLAG))) for w, inside in held.items()},
         chunk=chunk,
     )
     rows = ordered_scan(
         rows,
-        by_user + ["journey_no"],
+        by_user + ["journey_"],
         ["rank_"],
-        before={"position": F.lit(1)},
+        before={f"position_{w}": F.when(inside, 1).otherwise(0) for w, inside in held.items()},
         total={
-            "touch_count": ("sum", F.lit(1)),
+            **{f"count_{w}": ("sum", F.when(inside, 1).otherwise(0)) for w, inside in held.items()},
             "conversion_value": ("max", F.col(FLAG)),
             "journey_end": ("max", F.col(VISIT_TS)),
         },
@@ -101,12 +128,25 @@ def _place(rows: DataFrame, chunk: str | None, rule: str, decay: float, decay_ho
     )
     rows = rows.withColumns(
         {
-            "position": F.col("position") + 1,
             "next_channel": F.when(F.col(FLAG) == 0, F.col("next_channel")),
             "decay_weight": F.pow(F.lit(decay), periods),
         }
     )
-    rows = ordered_scan(
-        rows, by_user + ["journey_no"], ["rank_"], total={"decay_total": ("sum", F.col("decay_weight"))}, chunk=chunk
-    )
-    return rows.drop("recorded_", "rank_")
+    weights = {f"decay_{w}": ("sum", F.when(inside, F.col("decay_weight")).otherwise(0.0)) for w, inside in held.items()}
+    rows = ordered_scan(rows, by_user + ["journey_"], ["rank_"], total=weights, chunk=chunk)
+
+    def place(w: int) -> dict[str, Column]:
+        return {
+            "journey_no": F.col("journey_") - F.col(f"earlier_{w}"),
+            "position": F.col(f"position_{w}") + 1,
+            "touch_count": F.col(f"count_{w}"),
+            "decay_total": F.col(f"decay_{w}"),
+        }
+
+    if nested:
+        entry = lambda w: F.struct(F.lit(w).alias("conversion_window"), *(v.alias(k) for k, v in place(w).items()))
+        rows = rows.withColumn("placed", F.array_compact(F.array(*(F.when(x, entry(w)) for w, x in held.items()))))
+    else:
+        rows = rows.withColumns(place(0))
+    own = [f"{name}_{w}" for name in ("earlier", "position", "count", "decay") for w in held]
+    return rows.drop("recorded_", "rank_", "journey_", "conversion_windows", *own)

@@ -68,13 +68,20 @@ def explode_windows(windowed: DataFrame) -> DataFrame:
 def rolling_cohorts(visits: DataFrame, conversion_type: str = "Subscription", days: int = 90) -> DataFrame:
     """Cohorts of every conversion date D: conversions and visits of [D - days, D].
 
-    Visits of conversions of day D itself count as converting. Each row is repeated for the
-    at most `days` + 1 dates it counts for, then kept for dates that occur.
+    Each row is kept once, with the list `run_dates` of the at most `days` + 1 dates that it counts for and that occur;
+    the list is exploded after the shuffle by user (see `touches_once`). The dates are collected: one per day of data.
     """
     visited, converted = F.to_date(VISIT_TS), F.to_date(CONV_TS)
-    dates = visits.select(converted.alias("run_date")).distinct()
-    from_, to = F.greatest(visited, converted), F.date_add(F.least(visited, converted), days)
-    spread = visits.filter((F.col("conversion_type") == conversion_type) & (from_ <= to)).withColumn(
-        "run_date", F.explode(F.sequence(from_, to))
-    )
-    return spread.join(dates, "run_date", "left_semi").withColumn("conversion_window", F.lit(days))
+    dates = sorted(row.day for row in visits.select(converted.alias("day")).distinct().collect() if row.day)
+    if not dates:
+        return visits.limit(0).withColumns({"run_dates": F.array(F.lit(None).cast("date")), "conversion_window": F.lit(days)})
+    span = (dates[-1] - dates[0]).days + 1
+    missing = sorted({dates[0] + timedelta(i) for i in range(span)} - set(dates))
+    from_ = F.greatest(visited, converted, F.lit(dates[0]))
+    to = F.least(F.date_add(F.least(visited, converted), days), F.lit(dates[-1]))
+    listed = F.sequence(from_, to)
+    if missing:
+        listed = F.array_except(listed, F.array(*map(F.lit, missing)))
+    rows = visits.filter((F.col("conversion_type") == conversion_type) & (from_ <= to))
+    rows = rows.withColumns({"run_dates": listed, "conversion_window": F.lit(days)})
+    return rows.filter(F.size("run_dates") > 0)

@@ -6,9 +6,10 @@ import pytest
 from helpers import by, same_rows, visits
 from pyspark.sql import functions as F
 
-from journeylens.names import COHORT, JOURNEY, MODELS, USER
+from journeylens.names import COHORT, JOURNEY, MODELS, USER, WINDOWS
 from journeylens.operators import journeys, markov, models, windows
 from journeylens.plans.queries import _BUILD
+from journeylens.runtime import materialize
 
 SCORES = [MODELS[m] for m in ("last_click", "first_click", "position_based", "time_decay")]
 
@@ -92,6 +93,50 @@ def test_split_users_keep_several_windows_apart(spark):
     same_rows(journeys.touches(rows, "as_is", hot_rows=None), journeys.touches(rows, "as_is", hot_rows=10))
 
 
+def nested_visits(spark):
+    """Random visits over 91 days before one noon; some users are in the widest window only."""
+    rng = random.Random(11)
+    noon = datetime(2024, 1, 20, 12)
+    rows = []
+    for user in range(25):
+        oldest = rng.choice([20, 50, 91])
+        for _ in range(rng.randint(1, 12)):
+            time = noon - timedelta(days=rng.randint(0, oldest), hours=rng.randint(0, 5))
+            rows.append((f"u{user}", str(time), rng.choice("ABC"), int(rng.random() < 0.3)))
+    frame = visits(spark, rows).drop("conversion_window")
+    age = F.date_diff("conversion_visit_timestamp", "attribution_visit_start_time")
+    held = F.array_compact(F.array(*[F.when(age <= days, name) for name, days in WINDOWS.items()]))
+    return frame.withColumn("conversion_windows", held)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 5])
+@pytest.mark.parametrize("rule", ["last_visit", "last_visit_only", "as_is", "conversion_day", "conversion_time"])
+def test_one_order_serves_all_windows(spark, rule, hot_rows):
+    rows = nested_visits(spark)
+    apart = journeys.touches(windows.explode_windows(rows), rule, hot_rows=None)
+    together = journeys.touches(rows, rule, hot_rows=hot_rows)
+    same_rows(apart.select(*sorted(apart.columns)), together.select(*sorted(apart.columns)))
+    counts = [together.filter(F.col("conversion_window") == w).count() for w in WINDOWS]
+    assert counts[0] < counts[1] < counts[2]
+
+
+def test_touches_are_ordered_and_kept_once(spark):
+    rows = materialize(nested_visits(spark))
+    once = journeys.touches_once(rows, "as_is", hot_rows=None)
+    assert once.count() == rows.count()
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+
+
+def test_rolling_rows_are_shuffled_unexploded(spark):
+    rows = materialize(visits(spark, [("u", f"2024-01-{d:02d} 01:00:00", "A", 1) for d in range(1, 20)], kind="Subscription"))
+    rolled = windows.rolling_cohorts(rows.drop("conversion_window"))
+    plan = models.with_credits(journeys.touches(rolled, "conversion_day", hot_rows=None))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    # From the top: the dates are made after the only shuffle.
+    assert plan.count("Exchange") == 1 and plan.index("Generate explode(run_dates") < plan.index("Exchange")
+
+
 def test_credits_sum_to_conversions(spark):
     placed = journeys.touches(random_visits(spark), "as_is")
     steps = markov.edges(placed)
@@ -143,7 +188,8 @@ def test_rolling_cohorts(spark):
     b = visits(spark, [("u", "2024-01-11 01:00:00", "B", 0)], "2024-01-12 01:00:00", "Subscription")
     c = visits(spark, [("w", "2024-01-13 01:00:00", "C", 1)], "2024-01-13 01:00:00", "Trial")
     rolled = windows.rolling_cohorts(a.unionByName(b).unionByName(c).drop("conversion_window"), days=2)
-    pairs = {(row.touchpoint, row.run_date.day) for row in rolled.collect()}
+    assert rolled.count() == 2  # rows are not repeated
+    pairs = {(row.touchpoint, day.day) for row in rolled.collect() for day in row.run_dates}
     # Day 13 has a trial only, but is a cohort of its own; A is too old for it.
     assert pairs == {("A", 10), ("A", 12), ("B", 12), ("B", 13)}
     flags = by(journeys.touches(rolled, "conversion_day"), ["channel", "run_date"], "converting_visit")
