@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..names import COHORT, CONVERSION, FLAG, JOURNEY, MODELS, NULL_STATE, START
-from ..runtime import materialize
+from ..runtime import HOT_KEY_ROWS, materialize
 from . import sparse
 from .groups import connected_groups
 
@@ -33,6 +33,8 @@ SOLVED_SCHEMA = (
     "run_date date, conversion_type string, conversion_window int, channel string, reached double, value double, won double"
 )
 PAIR_SALTS = 16
+# Removal effects that are sent to every task: some 150 bytes each, 40 MB at most.
+FEW_WEIGHTS = 250_000
 
 
 def edges(touches: DataFrame) -> DataFrame:
@@ -88,10 +90,23 @@ def dense_transitions(steps: DataFrame) -> DataFrame:
     )
 
 
-def unpivot_matrix(wide: DataFrame, ids: list[str]) -> DataFrame:
-    """A wide matrix, one column per destination, in long form."""
-    columns = [c for c in wide.columns if c not in ids]
-    return wide.unpivot(ids, columns, "destination", "probability")
+def sparse_rows(steps: DataFrame) -> DataFrame:
+    """The matrix by rows: per source a map of the probabilities that are not zero, and `width`, the destinations of the cohort.
+
+    No column per destination is ever made, so there may be any number of them.
+    """
+    given = transitions(steps)
+    width = steps.groupBy(*COHORT).agg(F.count_distinct("destination").alias("width"))
+    rows = given.groupBy(*COHORT, "source").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("destination", "probability")))).alias("row")
+    )
+    return rows.join(width, COHORT)
+
+
+def melt(rows: DataFrame) -> DataFrame:
+    """`sparse_rows` in long form; `zeros` counts the entries of the source's row that are left out."""
+    zeros = (F.col("width") - F.size("row")).alias("zeros")
+    return rows.select(*COHORT, "source", zeros, F.explode("row").alias("destination", "probability"))
 
 
 def _solve(frame: pd.DataFrame) -> pd.DataFrame:
@@ -175,11 +190,22 @@ def drop_zero(effects: DataFrame) -> DataFrame:
     return effects.filter("removal_effect != 0")
 
 
-def with_markov_credit(touches: DataFrame, raw: DataFrame) -> DataFrame:
-    """Share of a converting journey in proportion to the removal effects of its touches."""
+def with_markov_credit(touches: DataFrame, raw: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Share of a converting journey in proportion to the removal effects of its touches.
+
+    The weights of a journey are summed by a window, so touches laid out by user (`materialize_by`) are not shuffled;
+    journeys of more than `hot_rows` touches are summed by an aggregation and joined, which adaptive execution splits.
+    `raw` should be a written table: it is broadcast where its rows are few.
+    """
     weights = raw.select(*COHORT, "channel", F.col("removal_effect_raw").alias("weight_"))
+    if weights.limit(FEW_WEIGHTS + 1).count() <= FEW_WEIGHTS:
+        weights = F.broadcast(weights)
     weighed = touches.join(weights, [*COHORT, "channel"], "left")
-    totals = weighed.groupBy(*JOURNEY).agg(F.sum("weight_").alias("weights_"))
     share = F.try_divide(F.col("weight_"), F.col("weights_"))
     credit = F.when(F.col("conversion_value") == 1, share).otherwise(0.0)
-    return weighed.join(totals, JOURNEY).withColumn(MODELS["markov"], credit).drop("weight_", "weights_")
+    long = F.col("touch_count") > hot_rows
+    summed = weighed.filter(~long).withColumn("weights_", F.sum("weight_").over(Window.partitionBy(*JOURNEY)))
+    if not touches.filter(long).isEmpty():
+        totals = weighed.filter(long).groupBy(*JOURNEY).agg(F.sum("weight_").alias("weights_"))
+        summed = summed.unionByName(weighed.filter(long).join(totals, JOURNEY))
+    return summed.withColumn(MODELS["markov"], credit).drop("weight_", "weights_")

@@ -12,9 +12,9 @@ from ..names import COHORT, CONV_TS, TOUCHPOINT
 from ..operators import ltv as value
 from ..operators import markov, marts, models, timing
 from ..operators.classify import classify
-from ..operators.journeys import touches
+from ..operators.journeys import SPLIT_KEYS, per_window, touches_once
 from ..operators.windows import conversion_windows
-from ..runtime import materialize
+from ..runtime import materialize, materialize_by
 from ..sinks import tables as sinks
 from ..sources.tables import recent_ltv, run_dates
 
@@ -44,14 +44,14 @@ def reported_type(df: DataFrame) -> DataFrame:
 def attribute(windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", channel: str = TOUCHPOINT) -> Results:
     """All results from visits in their conversion windows.
 
-    Touches and step counts feed several results, so both are written once.
+    Touches and step counts feed several results, so both are written once, a touch once for all windows.
     """
-    placed = materialize(touches(windowed, rule, channel))
+    placed = per_window(materialize_by(touches_once(windowed, rule, channel), SPLIT_KEYS))
     steps = materialize(markov.edges(placed))
     raw = materialize(markov.removal_effects_raw(steps))
     credited = materialize(models.with_credits(markov.with_markov_credit(placed, raw)))
     scores = models.journey_scores(credited)
-    valued = materialize(value.journey_ltv(models.journeys(credited), windowed, ltv))
+    valued = materialize(value.journey_ltv(models.journeys(placed), windowed, ltv))
     averages = value.average_ltv(credited, valued)
     totals = models.channel_totals(credited)
     effects = value.join_average_ltv(markov.removal_effects(raw), averages)

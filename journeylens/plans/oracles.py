@@ -1,8 +1,7 @@
 """The same results in DuckDB SQL over the benchmark tables, for checking.
 
 Written independently of the DataFrame code where it matters: journeys by plain window
-functions, removal effects by taking out one channel at a time, labels by joining sources
-with a table of tests. Only fixed values (names, patterns, labels) are shared.
+functions, removal effects from dense inverses, labels by joining sources with a table of tests. Only fixed values (names, patterns, labels) are shared.
 """
 
 from __future__ import annotations
@@ -13,12 +12,10 @@ from ..functions.labels import PRODUCT_NAMES, PRODUCT_PATTERNS, PRODUCT_TERMS
 from ..operators import appevents as app
 from ..operators import classify as rules
 from ..sources import sample
-from .stages import touchpoint_case
 
 AS_OF = "DATE '2024-01-31'"
 COHORT = "run_date, conversion_type, conversion_window"
 JOURNEY = f"{COHORT}, user_guid, journey_no"
-ROUNDS = 11
 
 
 def text(value: str | None) -> str:
@@ -239,16 +236,20 @@ def window_rows(source: str, columns: str) -> str:
             AND CAST(c.conversion_visit_timestamp AS DATE) >= {AS_OF} - 15)"""
 
 
+TOUCHPOINT = " || ' | ' || ".join(
+    ["media_type", "channel", "platform", "visit_traffic_source_name", "visit_device_type", "geo_country_name",
+     "user_cohort_primary", product_label()]
+)
 PIECES["windowed"] = f"""
-    SELECT *, {touchpoint_case()} AS label FROM ({window_rows('frequent', 'v.*')})
+    SELECT *, {TOUCHPOINT} AS label FROM ({window_rows('classified', 'v.*')})
     WHERE run_date BETWEEN {AS_OF} - 15 AND {AS_OF} - 1"""
 
 PIECES["rolling"] = """
-    SELECT v.*, d.run_date, 90 AS conversion_window, visit_traffic_source_name AS label
-    FROM frequent v JOIN (SELECT DISTINCT CAST(conversion_visit_timestamp AS DATE) AS run_date FROM frequent) d
+    SELECT v.*, d.run_date, 90 AS conversion_window, TOUCHPOINT_ AS label
+    FROM classified v JOIN (SELECT DISTINCT CAST(conversion_visit_timestamp AS DATE) AS run_date FROM classified) d
         ON CAST(conversion_visit_timestamp AS DATE) BETWEEN d.run_date - 90 AND d.run_date
         AND CAST(attribution_visit_start_time AS DATE) BETWEEN d.run_date - 90 AND d.run_date
-    WHERE conversion_type = 'Subscription'"""
+    WHERE conversion_type = 'Subscription'""".replace("TOUCHPOINT_", TOUCHPOINT)
 
 USER_MAX = f"max({{}}) OVER (PARTITION BY {COHORT}, user_guid)"
 FLAGS = {
@@ -283,10 +284,20 @@ def touches(source: str, flag: str, tie: str = "converting_visit") -> str:
 PIECES["touches"] = touches("windowed", FLAGS["last_visit"])
 PIECES["rolling_touches"] = touches("rolling", FLAGS["conversion_day"], "flag")
 
-# ---- Markov chain: one channel removed at a time, powers by squaring ------------------------------
+# ---- Markov chain: dense inverses of small groups of channels -------------------------------------
+#
+# Visits without a touchpoint meet in one channel; without it the channels fall into small groups, each inverted by
+# Gauss-Jordan elimination over nested lists. That channel, the hub, then adds a product of a column and a row.
+
+HUB = "'-'"
 
 
 def markov_pieces(prefix: str, source: str) -> None:
+    def weighted(name: str, columns: str, join: str, where: str) -> None:
+        PIECES[f"{prefix}mk_{name}"] = f"""
+            SELECT {', '.join(f'm.{c.strip()}' for c in COHORT.split(','))}, {columns} AS channel, sum(m.x * q.p) AS value
+            FROM {prefix}mk_inverse m JOIN {prefix}probs q ON {same(COHORT, 'm', 'q')} AND {join} WHERE {where} GROUP BY ALL"""
+
     PIECES[f"{prefix}edges"] = f"""
         SELECT {COHORT}, source, destination, count(*) AS steps FROM (
             SELECT {COHORT}, '(start)' AS source, channel AS destination FROM {source} WHERE position = 1
@@ -296,49 +307,85 @@ def markov_pieces(prefix: str, source: str) -> None:
         ) WHERE source <> destination GROUP BY ALL"""
     PIECES[f"{prefix}probs"] = f"""
         SELECT *, steps / sum(steps) OVER (PARTITION BY {COHORT}, source) AS p FROM {prefix}edges"""
-    PIECES[f"{prefix}removals"] = f"""
-        SELECT DISTINCT {COHORT}, source AS removed FROM {prefix}edges"""
-    # Removing (start) stands for removing nothing.
-    PIECES[f"{prefix}p0"] = f"""
-        SELECT {COHORT}, removed, source AS i, destination AS j, p AS x
-        FROM {prefix}probs JOIN {prefix}removals USING ({COHORT})
-        WHERE destination NOT IN ('(conversion)', '(null)')
-            AND (removed = '(start)' OR (source <> removed AND destination <> removed))"""
-    PIECES[f"{prefix}a0"] = f"""
-        SELECT {COHORT}, removed, '(start)' AS j, CAST(1 AS DOUBLE) AS x FROM {prefix}removals"""
-    for n in range(ROUNDS):
-        PIECES[f"{prefix}a{n + 1}"] = f"""
-            SELECT {COHORT}, removed, j, sum(x) AS x FROM (
-                SELECT * FROM {prefix}a{n}
-                UNION ALL
-                SELECT {COHORT}, removed, p.j, sum(a.x * p.x)
-                FROM {prefix}a{n} a JOIN (SELECT {COHORT}, removed, i AS k, j, x FROM {prefix}p{n}) p
-                    ON {same(COHORT + ', removed', 'a', 'p')} AND a.j = p.k
-                GROUP BY ALL
-            ) GROUP BY ALL""".replace(
-            f"SELECT {COHORT}, removed, p.j, sum", f"SELECT a.{COHORT.replace(', ', ', a.')}, a.removed, p.j, sum"
-        )
-        if n + 1 < ROUNDS:
-            PIECES[f"{prefix}p{n + 1}"] = f"""
-            SELECT a.{COHORT.replace(', ', ', a.')}, a.removed, a.i, b.j, sum(a.x * b.x) AS x
-            FROM {prefix}p{n} a JOIN {prefix}p{n} b ON {same(COHORT + ', removed', 'a', 'b')} AND a.j = b.i
-            GROUP BY ALL"""
-    PIECES[f"{prefix}wins"] = f"""
-        SELECT a.{COHORT.replace(', ', ', a.')}, a.removed, sum(a.x * p.p) AS won
-        FROM {prefix}a{ROUNDS} a JOIN {prefix}probs p ON {same(COHORT, 'a', 'p')} AND a.j = p.source
-        WHERE p.destination = '(conversion)' AND (a.removed = '(start)' OR p.source <> a.removed) GROUP BY ALL"""
+    PIECES[f"{prefix}mk_channels"] = f"SELECT DISTINCT {COHORT}, channel FROM {source} WHERE channel <> {HUB}"
+    PIECES[f"{prefix}mk_links"] = f"""
+        SELECT {COHORT}, source AS a, destination AS b FROM {prefix}edges
+        WHERE source NOT IN ({HUB}, '(start)') AND destination NOT IN ({HUB}, '(conversion)', '(null)')
+        UNION SELECT {COHORT}, destination, source FROM {prefix}edges
+        WHERE source NOT IN ({HUB}, '(start)') AND destination NOT IN ({HUB}, '(conversion)', '(null)')"""
+    PIECES[f"{prefix}mk_numbered"] = f"""
+        SELECT *, row_number() OVER (PARTITION BY {COHORT}, grp ORDER BY channel) AS k FROM (
+            WITH RECURSIVE reach AS (
+                SELECT {COHORT}, channel AS a, channel AS b FROM {prefix}mk_channels
+                UNION
+                SELECT r.run_date, r.conversion_type, r.conversion_window, r.a, l.b
+                FROM reach r JOIN {prefix}mk_links l ON {same(COHORT, 'r', 'l')} AND r.b = l.a)
+            SELECT {COHORT}, a AS channel, min(b) AS grp FROM reach GROUP BY ALL)"""
+    PIECES[f"{prefix}mk_inverse"] = f"""
+        WITH pairs AS (
+            SELECT {COHORT}, grp, i.k AS i, j.k AS j, i.channel AS source, j.channel AS destination
+            FROM {prefix}mk_numbered i JOIN {prefix}mk_numbered j USING ({COHORT}, grp)),
+        filled AS (
+            SELECT {COHORT}, grp, i, j, (i = j)::DOUBLE AS unit, (i = j)::DOUBLE - coalesce(p, 0) AS x
+            FROM pairs LEFT JOIN {prefix}probs USING ({COHORT}, source, destination)),
+        matrices AS (
+            SELECT {COHORT}, grp, list(r ORDER BY i) AS m FROM (
+                SELECT {COHORT}, grp, i, list_concat(list(x ORDER BY j), list(unit ORDER BY j)) AS r FROM filled GROUP BY ALL)
+            GROUP BY ALL),
+        inverted AS (
+            SELECT {COHORT}, grp, len(m) AS n, list_reduce(
+                list_transform(range(1, len(m) + 1), lambda k: [[k::DOUBLE]]),
+                lambda a, e: list_transform(range(1, len(a) + 1), lambda i:
+                    list_transform(range(1, len(a[1]) + 1), lambda c: CASE WHEN i = e[1][1]
+                        THEN a[i][c] / a[i][i]
+                        ELSE a[i][c] - a[i][e[1][1]::INT] * a[e[1][1]::INT][c] / a[e[1][1]::INT][e[1][1]::INT] END)),
+                m) AS m
+            FROM matrices)
+        SELECT {COHORT}, x.channel AS i, y.channel AS j, m[x.k::INT][(n + y.k)::INT] AS x
+        FROM inverted JOIN {prefix}mk_numbered x USING ({COHORT}, grp) JOIN {prefix}mk_numbered y USING ({COHORT}, grp)"""
+    weighted("to_hub", "m.i", "q.source = m.j", f"q.destination = {HUB}")
+    weighted("to_win", "m.i", "q.source = m.j", "q.destination = '(conversion)'")
+    weighted("from_hub", "m.j", "q.destination = m.i", f"q.source = {HUB}")
+    weighted("from_start", "m.j", "q.destination = m.i", "q.source = '(start)'")
+    PIECES[f"{prefix}mk_parts"] = f"""
+        SELECT n.run_date, n.conversion_type, n.conversion_window, n.channel, d.x AS own, coalesce(b.value, 0) AS to_hub,
+            coalesce(w.value, 0) AS to_win, coalesce(h.value, 0) AS from_hub, coalesce(s.value, 0) AS from_start
+        FROM {prefix}mk_numbered n
+        JOIN {prefix}mk_inverse d ON {same(COHORT, 'n', 'd')} AND d.i = n.channel AND d.j = n.channel
+        {' '.join(f"LEFT JOIN {prefix}mk_{name} {x} ON {same(COHORT + ', channel', 'n', x)}" for name, x in
+                  (('to_hub', 'b'), ('to_win', 'w'), ('from_hub', 'h'), ('from_start', 's')))}"""
+    PIECES[f"{prefix}mk_hub"] = f"""
+        SELECT {COHORT}, 1 - sum(p * to_hub) FILTER (source = {HUB}) AS stays_out,
+            coalesce(sum(p * to_win) FILTER (source = {HUB}), 0) AS value, coalesce(sum(p * to_hub) FILTER (source = '(start)'), 0) AS visits
+        FROM (
+            SELECT {COHORT}, source, p, coalesce(to_hub, (destination = {HUB})::INT) AS to_hub,
+                coalesce(to_win, (destination = '(conversion)')::INT) AS to_win
+            FROM {prefix}probs LEFT JOIN (SELECT {COHORT}, channel AS destination, to_hub, to_win FROM {prefix}mk_parts)
+                USING ({COHORT}, destination)
+            WHERE source IN ({HUB}, '(start)'))
+        GROUP BY ALL HAVING count(*) FILTER (source = {HUB}) > 0"""
+    PIECES[f"{prefix}mk_solved"] = f"""
+        SELECT {COHORT}, channel, own + coalesce(to_hub * from_hub / stays_out, 0) AS again,
+            to_win + coalesce(to_hub * value / stays_out, 0) AS value, from_start + coalesce(from_hub * visits / stays_out, 0) AS visits
+        FROM {prefix}mk_parts LEFT JOIN {prefix}mk_hub USING ({COHORT})
+        UNION ALL SELECT {COHORT}, {HUB}, 1 / stays_out, value / stays_out, visits / stays_out FROM {prefix}mk_hub"""
+    PIECES[f"{prefix}mk_won"] = f"""
+        SELECT {COHORT}, sum(p * coalesce(value, (destination = '(conversion)')::INT)) AS won
+        FROM {prefix}probs LEFT JOIN (SELECT {COHORT}, channel AS destination, value FROM {prefix}mk_solved)
+            USING ({COHORT}, destination)
+        WHERE source = '(start)' GROUP BY ALL"""
     PIECES[f"{prefix}raw"] = f"""
-        SELECT {COHORT}, r.removed AS channel,
-            CASE WHEN b.base > 0 THEN 1 - coalesce(w.won, 0) / b.base END AS effect
-        FROM {prefix}removals r LEFT JOIN {prefix}wins w USING ({COHORT}, removed)
-        LEFT JOIN (SELECT {COHORT}, won AS base FROM {prefix}wins WHERE removed = '(start)') b USING ({COHORT})
-        WHERE r.removed <> '(start)'"""
+        SELECT {COHORT}, channel, CASE WHEN won > 0 THEN visits * value / (again * won) END AS effect
+        FROM {prefix}mk_solved JOIN {prefix}mk_won USING ({COHORT})"""
     PIECES[f"{prefix}effects"] = f"""
         SELECT {COHORT}, channel, rounded / nullif(sum(rounded) OVER (PARTITION BY {COHORT}), 0) * 100 AS removal_effect,
             rounded AS removal_effect_raw
         FROM (SELECT *, round_even(round(effect, 9), 3) AS rounded FROM {prefix}raw)"""
 
 
+PIECES["platform_rows"] = "SELECT * REPLACE (platform AS label) FROM windowed"
+PIECES["platform_touches"] = touches("platform_rows", FLAGS["last_visit"])
+markov_pieces("platform_", "platform_touches")
 markov_pieces("", "touches")
 markov_pieces("rolling_", "rolling_touches")
 
@@ -535,10 +582,6 @@ VISIT_18 = (
     "segment_audience, b2c_abstraction_datasource, b2b_b2c, product_name, b2c_product_name_and_term, geo_country_name, "
     "conversion_visit_timestamp, converting_visit"
 )
-TOUCHPOINT = " || ' | ' || ".join(
-    ["media_type", "channel", "platform", "visit_traffic_source_name", "visit_device_type", "geo_country_name",
-     "user_cohort_primary", product_label()]
-)
 
 
 def window_query(name: int) -> str:
@@ -725,10 +768,9 @@ _BODY: dict[str, str] = {
     "union_all_literal": f"""SELECT product_arrangement_id AS id FROM visits WHERE converting_visit = 1
         UNION ALL SELECT NULL FROM (SELECT DISTINCT {CONV_DATE} FROM visits WHERE converting_visit = 1)""",
     "filter_downstream": "SELECT product_arrangement_id AS id FROM visits WHERE converting_visit = 1",
-    "melt_matrix": f"""SELECT {COHORT}, s.source, d.destination, coalesce(round_even(p, 3), 0) AS probability
-        FROM (SELECT DISTINCT {COHORT}, source FROM edges) s
-        CROSS JOIN (SELECT DISTINCT destination FROM edges) d
-        LEFT JOIN probs p USING ({COHORT}, source, destination)""",
+    "melt_matrix": f"""SELECT {COHORT}, source, destination, round_even(p, 3) AS probability, width - count(*) OVER (
+            PARTITION BY {COHORT}, source) AS zeros
+        FROM probs JOIN (SELECT {COHORT}, count(DISTINCT destination) AS width FROM edges GROUP BY ALL) USING ({COHORT})""",
     "explode_rows": f"""SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, {COHORT}, position, channel
         FROM touches""",
     "type_window_slices": f"""SELECT conversion_window, conversion_type, count(*) AS touches,
@@ -769,15 +811,15 @@ _BODY["full_run"] = f"""
     UNION ALL SELECT 'mart_channel', n FROM full_channels
     UNION ALL SELECT 'mart_removal_ltv', n FROM full_channels"""
 
-_STATES = f"""SELECT {COHORT}, source AS state FROM edges UNION SELECT {COHORT}, destination FROM edges
-    UNION SELECT {COHORT}, e FROM edges, (VALUES ('(null)'), ('(conversion)')) t(e)"""
+_STATES = f"""SELECT {COHORT}, source AS state FROM platform_edges UNION SELECT {COHORT}, destination FROM platform_edges
+    UNION SELECT {COHORT}, e FROM platform_edges, (VALUES ('(null)'), ('(conversion)')) t(e)"""
 _BODY["markov_matrix_dense"] = f"""
     SELECT {COHORT}, source, destination,
         CASE WHEN source = destination AND source IN ('(null)', '(conversion)') THEN 1
             ELSE coalesce(round_even(p, 3), 0) END AS probability
     FROM (SELECT {COHORT}, state AS source FROM ({_STATES}))
     JOIN (SELECT {COHORT}, state AS destination FROM ({_STATES})) USING ({COHORT})
-    LEFT JOIN probs USING ({COHORT}, source, destination)"""
+    LEFT JOIN platform_probs USING ({COHORT}, source, destination)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 
 from .. import checks
 from ..functions import fields, labels
-from ..names import COHORT, CONV_TS, FLAG, JOURNEY, MODELS, USER, VISIT_TS
+from ..names import COHORT, CONV_TS, FLAG, JOURNEY, MODELS, TOUCHPOINT, USER, VISIT_TS
 from ..operators import appevents, classify, journeys, ltv, markov, marts, models, timing, windows
 from ..runtime import materialize, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables
 from .attribution import attribute
-from .stages import AS_OF, CHANNEL, Stages, stages
+from .stages import AS_OF, Stages, stages
 
 FIRST_RUN, LAST_RUN = AS_OF - timedelta(15), AS_OF - timedelta(1)
 ONE_DAY = date(2024, 1, 20)
@@ -119,7 +119,7 @@ def delimited_part_pick(s: Stages) -> DataFrame:
 
 
 def flagged(s: Stages, rule: str, visits: DataFrame | None = None) -> DataFrame:
-    placed = journeys.touches(s.windowed if visits is None else visits, rule, CHANNEL)
+    placed = journeys.touches(s.windowed if visits is None else visits, rule)
     return placed.groupBy(*COHORT, USER).agg(
         F.count(F.lit(1)).alias("visits"), F.sum(FLAG).cast("long").alias("conversions"),
         F.max("journey_no").alias("last_journey"),
@@ -224,9 +224,9 @@ def exploded_ltv(s: Stages) -> DataFrame:
 
 
 def rolling_touches(s: Stages) -> DataFrame:
-    labelled = s.classified.withColumn(CHANNEL, F.col("visit_traffic_source_name"))
+    labelled = s.classified.withColumn(TOUCHPOINT, labels.touchpoint_label())
     rows = windows.rolling_cohorts(labelled, "Subscription", ROLLING_DAYS)
-    return journeys.touches(rows, "conversion_day", CHANNEL)
+    return journeys.touches(rows, "conversion_day")
 
 
 def rolling_totals(s: Stages) -> DataFrame:
@@ -241,14 +241,14 @@ def rolling_effects(s: Stages) -> DataFrame:
 
 
 def dense_matrix(s: Stages) -> DataFrame:
-    return markov.dense_transitions(s.steps)
+    """All pairs of platforms; of whole touchpoints there are too many for a dense matrix."""
+    placed = journeys.touches(s.windowed, channel="platform")
+    return markov.dense_transitions(materialize(markov.edges(placed)))
 
 
 def melted_matrix(s: Stages) -> DataFrame:
-    """Pivot the transition probabilities wide, then back to long."""
-    given = markov.transitions(s.steps)
-    wide = given.groupBy(*COHORT, "source").pivot("destination").agg(F.first("probability")).fillna(0.0)
-    return markov.unpivot_matrix(wide, [*COHORT, "source"])
+    """The transition probabilities as rows of a sparse matrix, then back to long."""
+    return markov.melt(markov.sparse_rows(s.steps))
 
 
 def removal_effect_only(s: Stages) -> DataFrame:
@@ -291,7 +291,7 @@ def share_of_total(s: Stages) -> DataFrame:
 def union_cohorts(s: Stages) -> DataFrame:
     """Trials and subscriptions attributed apart, then put together."""
     parts = [
-        models.channel_totals(models.with_credits(journeys.touches(tables.of_type(s.windowed, kind), channel=CHANNEL)))
+        models.channel_totals(models.with_credits(journeys.touches(tables.of_type(s.windowed, kind))))
         for kind in ("Trial", "Subscription")
     ]
     return parts[0].unionByName(parts[1])

@@ -9,38 +9,16 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import ltv, markov, models
 from ..operators.classify import classify, source_dictionary
-from ..operators.journeys import touches
+from ..operators.journeys import SPLIT_KEYS, per_window, touches_once
 from ..operators.windows import conversion_windows
-from ..runtime import materialize, tune
+from ..runtime import materialize, materialize_by, tune
 from ..sources import sample
 from ..sources.tables import recent_ltv, run_dates
 
 AS_OF = date(2024, 1, 31)
-# The benchmark's models run on one touchpoint per source name: few channels, so that SQL can
-# follow. Each exercises one rule of the marts; one name holds the delimiter.
-TOUCHPOINTS = {
-    "Google Organic": "organic | search | google | Google Organic | desktop | GB | new | Standard Monthly",
-    "Paid Media_H1_Search_Google_UK_x": "paid media | ppc | search | Paid H1 | mobile | US | new | Premium Annual",
-    "LinkedIn": "organic | social free | linkedin | LinkedIn | desktop | GB | active | Others",
-    "Weekly Newsletter": "email | email | newsletter | Weekly | tablet | GB | lapsed | Standard Annual",
-    "Direct": "direct | direct | direct | Direct | mobile | JP | new | Premium Monthly",
-    "Paid Media_Display_DV360_UK_a_b": "paid media | display | dv360 | Display | desktop | GB | new | FT Weekend",
-    "example.org": "unclassified referrer | referrer | web | example | org | mobile | FR | active | Others",
-    "App Push": "ft app | push notification | push | App Push | mobile | GB | active | Digital Edition",
-    "Affiliate One": "affiliates | affiliates | affiliates | Affiliate One | desktop | DE | lapsed | Newspaper",
-    "Social": "unclassified social | social_free | facebook | Social | mobile | GB | new | FT Edit",
-    "Barrier page": "editorial email | barrier | barrier | Barrier page | desktop | GB | active | Standard Monthly",
-}
-CHANNEL = "label"
-
-
-def touchpoint_case() -> str:
-    arms = " ".join(f"when '{name}' then '{label}'" for name, label in TOUCHPOINTS.items())
-    return f"case visit_traffic_source_name {arms} end"
 
 
 class Stages:
@@ -73,12 +51,15 @@ class Stages:
 
     @cached_property
     def windowed(self) -> DataFrame:
-        recent = run_dates(conversion_windows(self.classified, AS_OF), AS_OF)
-        return materialize(recent.withColumn(CHANNEL, F.expr(touchpoint_case())))
+        return materialize(run_dates(conversion_windows(self.classified, AS_OF), AS_OF))
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        return materialize_by(touches_once(self.windowed), SPLIT_KEYS)
 
     @cached_property
     def touches(self) -> DataFrame:
-        return materialize(touches(self.windowed, channel=CHANNEL))
+        return per_window(self.placed)
 
     @cached_property
     def steps(self) -> DataFrame:
@@ -90,7 +71,7 @@ class Stages:
 
     @cached_property
     def credited(self) -> DataFrame:
-        return materialize(models.with_credits(markov.with_markov_credit(self.touches, self.raw_effects)))
+        return models.with_credits(markov.with_markov_credit(self.touches, self.raw_effects))
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -102,7 +83,7 @@ class Stages:
 
     @cached_property
     def valued(self) -> DataFrame:
-        return materialize(ltv.journey_ltv(models.journeys(self.credited), self.windowed, self.recent_ltv))
+        return materialize(ltv.journey_ltv(models.journeys(self.touches), self.windowed, self.recent_ltv))
 
     @cached_property
     def averages(self) -> DataFrame:

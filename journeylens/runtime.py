@@ -63,6 +63,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`materialize` as a table bucketed by `keys`, so that windows and aggregations whose keys hold them need no shuffle."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"journeylens_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, *keys).option("path", scratch_path(spark)).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_KEY_ROWS) -> DataFrame:
     """Keys with more than `limit` rows: at most rows / limit of them, so a small table."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))

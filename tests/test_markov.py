@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from journeylens.names import COHORT, CONVERSION, MODELS, NULL_STATE, START
 from journeylens.operators import journeys, markov, sparse
 from journeylens.operators.groups import connected_groups
+from journeylens.runtime import materialize, materialize_by
 
 SCHEMA = "run_date date, conversion_type string, conversion_window int, source string, destination string, steps long"
 
@@ -185,6 +186,22 @@ def test_markov_credit(spark):
     assert credit == {("u", "A"): (0.5,), ("u", "B"): (0.5,), ("w", "A"): (0.0,)}
 
 
-def test_unpivot(spark):
-    wide = spark.createDataFrame([("A", 0.5, 0.5)], "source string, B double, C double")
-    assert by(markov.unpivot_matrix(wide, ["source"]), "destination", "probability") == {"B": (0.5,), "C": (0.5,)}
+def test_sparse_rows_keep_any_number_of_destinations(spark):
+    counts = {(START, f"c{i}"): 1 for i in range(12_000)} | {("c0", "c1"): 3, ("c0", CONVERSION): 1}
+    rows = markov.sparse_rows(chain(spark, counts))
+    assert by(rows, "source", "width")["c0"] == (12_001,)
+    found = by(markov.melt(rows), ["source", "destination"], "probability", "zeros")
+    assert len(found) == 12_002 and found[("c0", "c1")] == (0.75, 11_999) and found[(START, "c7")][1] == 1
+
+
+def test_credit_does_not_shuffle_touches_laid_out_by_user(spark):
+    rows = [("u", "2024-01-20 01:00:00", "A", 0), ("u", "2024-01-20 02:00:00", "B", 1), ("w", "2024-01-20 02:00:00", "A", 0)]
+    stored = materialize_by(journeys.touches_once(visits(spark, rows)), journeys.SPLIT_KEYS)
+    placed = journeys.per_window(stored)
+    raw = materialize(markov.removal_effects_raw(materialize(markov.edges(placed))))
+    credited = markov.with_markov_credit(placed, raw)
+    plan = credited._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1 and "Window" in plan
+    assert by(credited, ["user_guid", "channel"], MODELS["markov"]) == {("u", "A"): (0.5,), ("u", "B"): (0.5,), ("w", "A"): (0.0,)}
+    split = markov.with_markov_credit(placed, raw, hot_rows=1)
+    assert by(split, ["user_guid", "channel"], MODELS["markov"]) == by(credited, ["user_guid", "channel"], MODELS["markov"])
