@@ -147,8 +147,9 @@ def channel_groups(steps: DataFrame) -> DataFrame:
         F.when(start, F.col("destination")).otherwise(F.col("source")).alias("channel"),
         F.when(end, F.col("source")).otherwise(F.col("destination")).alias("other"),
     )
-    links = touched.select(node("channel").alias("a"), node("other").alias("b"))
-    groups = connected_groups(links)
+    links = touched.select(*COHORT, node("channel").alias("a"), node("other").alias("b"))
+    # Groups never cross cohorts: dealt by cohort, one pass finds them.
+    groups = connected_groups(links.repartition(*COHORT).select("a", "b"))
     channels = touched.select(*COHORT, F.explode(F.array("channel", "other")).alias("channel")).distinct()
     return channels.join(groups, node("channel") == F.col("node")).select(*COHORT, "channel", "group")
 

@@ -387,7 +387,9 @@ PIECES["platform_rows"] = "SELECT * REPLACE (platform AS label) FROM windowed"
 PIECES["platform_touches"] = touches("platform_rows", FLAGS["last_visit"])
 markov_pieces("platform_", "platform_touches")
 markov_pieces("", "touches")
-markov_pieces("rolling_", "rolling_touches")
+PIECES["rolling_part_rows"] = "SELECT * REPLACE (concat_ws(' | ', media_type, channel, platform) AS label) FROM rolling"
+PIECES["rolling_part_touches"] = touches("rolling_part_rows", FLAGS["conversion_day"], "flag")
+markov_pieces("rolling_part_", "rolling_part_touches")
 
 LAST, FIRST, POSITION, DECAY, MARKOV = (
     "attribution_last_click_heuristic", "attribution_first_click_heuristic", "attribution_position_based_heuristic",
@@ -570,7 +572,7 @@ def query(body: str) -> str:
 
 
 def rounded(columns: list[str]) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"round(round({c}, 9), 6) AS {c}" for c in columns)
 
 
 KEYS_OUT = "user_guid, attribution_visit_start_time, conversion_visit_timestamp, conversion_type"
@@ -608,7 +610,7 @@ def share_query(score: str, piece: str = "heuristic") -> str:
 
 TOTALS = f"SELECT {COHORT}, channels, {rounded(SCORES)} FROM totals"
 HEURISTIC_TOTALS = f"""SELECT {COHORT}, channel AS channels,
-    {', '.join(f'round(sum({s}), 6) AS {s}' for s in SCORES[:4])} FROM {{}} GROUP BY ALL"""
+    {', '.join(f'round(round(sum({s}), 9), 6) AS {s}' for s in SCORES[:4])} FROM {{}} GROUP BY ALL"""
 DEDUP_LTV = products("product_arrangement_id, is_app_conversion")
 
 _BODY: dict[str, str] = {
@@ -626,7 +628,7 @@ _BODY: dict[str, str] = {
         WHERE {CONV_DATE} BETWEEN DATE '2024-01-10' AND DATE '2024-01-25' GROUP BY ALL""",
     "write_replace_cohort": TOTALS,
     "write_replace_day": f"""SELECT channels, {COHORT},
-        round({LAST} * CASE WHEN run_date = DATE '2024-01-20' THEN 2 ELSE 1 END, 6) AS {LAST} FROM totals""",
+        round(round({LAST} * CASE WHEN run_date = DATE '2024-01-20' THEN 2 ELSE 1 END, 9), 6) AS {LAST} FROM totals""",
     "write_append": f"{TOTALS} UNION ALL {TOTALS}",
     "write_truncate": f"SELECT {STAGE}, run_date, median(time_to_convert) AS median_days FROM stage_rows GROUP BY conversion_type, run_date",
     "write_skip_empty": """SELECT * FROM (VALUES ('filled', true), ('empty', false)) t(input, written),
@@ -650,7 +652,7 @@ _BODY: dict[str, str] = {
     "parse_channels": f"SELECT * EXCLUDE (channel_name) FROM (SELECT channels, {COHORT}, {PART_NAMES} FROM mart)",
     "channel_name_middle": f"SELECT channels, {COHORT}, channel_name FROM mart",
     "clean_media": f"SELECT channels, {COHORT}, cleaned_media_channel, cleaned_media_type, cleaned_platform FROM mart",
-    "trial_direct": f"""SELECT {COHORT}, trial_direct, count(*) AS channels, round(sum({LAST}), 6) AS last_click
+    "trial_direct": f"""SELECT {COHORT}, trial_direct, count(*) AS channels, round(round(sum({LAST}), 9), 6) AS last_click
         FROM mart GROUP BY ALL""",
     "app_group": f"""SELECT app_id, {app_group(app.PLAIN_EDITION)} AS plain_group,
         {app_group(app.BRANDED_EDITION)} AS branded_group, count(*) AS events FROM app_events GROUP BY ALL""",
@@ -665,9 +667,9 @@ _BODY: dict[str, str] = {
     "flag_converting_by_conv_ts": flag_query("conversion_time"),
     "flag_last_visit_only": flag_query("last_visit_only"),
     "flag_by_conversion_date": flag_query("conversion_day"),
-    "sanitize_columns": f"""SELECT channels, {COHORT}, round({POSITION}, 6) AS attribution_position_based_heuristic,
-        round({DECAY}, 6) AS attribution_time_decay_heuristic FROM totals""",
-    "dots_to_underscores": f"SELECT channels, {COHORT}, round({LAST}, 6) AS attribution_last_click_heuristic FROM totals",
+    "sanitize_columns": f"""SELECT channels, {COHORT}, round(round({POSITION}, 9), 6) AS attribution_position_based_heuristic,
+        round(round({DECAY}, 9), 6) AS attribution_time_decay_heuristic FROM totals""",
+    "dots_to_underscores": f"SELECT channels, {COHORT}, round(round({LAST}, 9), 6) AS attribution_last_click_heuristic FROM totals",
     "user_from_journey_id": f"""SELECT {COHORT}, count(*) AS journeys, count(*) FILTER (journey_no = 0) AS first_journeys,
         count(DISTINCT user_guid) AS users FROM (SELECT DISTINCT {JOURNEY} FROM rolling_touches) GROUP BY ALL""",
     "conversion_type_split": f"""SELECT {CONV_DATE} AS run_date, conversion_type, {COUNTS} FROM visits
@@ -744,7 +746,7 @@ _BODY: dict[str, str] = {
     "num_touchpoints": f"SELECT journey_id, {COHORT}, num_touchpoints FROM texts",
     "rolling_cohort_90": HEURISTIC_TOTALS.format("rolling_heuristic"),
     "rolling_cohort_90_effects": f"""SELECT {COHORT}, channel, {rounded(['removal_effect', 'removal_effect_raw'])}
-        FROM rolling_effects""",
+        FROM rolling_part_effects""",
     "removal_effect_ltv": "SELECT * FROM effect_texts",
     "explode_channel_ltv": f"""SELECT {COHORT}, channel, count(*) AS touches,
         round(sum(round(c.{MARKOV} * ltv_acquisition_capped_12m, 6)), 6) AS total_ltv
@@ -758,7 +760,7 @@ _BODY: dict[str, str] = {
         max(journey_no) AS last_journey FROM rolling_touches GROUP BY ALL""",
     "touch_lead": f"SELECT {JOURNEY}, position, channel, next_channel FROM touches",
     "share_of_total": f"""SELECT {COHORT}, channels,
-        round({LAST} / nullif(sum({LAST}) OVER (PARTITION BY {COHORT}), 0) * 100, 6) AS {LAST} FROM totals""",
+        round(round({LAST} / nullif(sum({LAST}) OVER (PARTITION BY {COHORT}), 0) * 100, 9), 6) AS {LAST} FROM totals""",
     "sort_user_time": f"""SELECT {JOURNEY}, position, attribution_visit_start_time, channel FROM touches""",
     "order_dates": f"SELECT DISTINCT {CONV_DATE} AS conversion_date FROM visits ORDER BY 1",
     "top1_per_user": """SELECT user_guid, conversion_visit_timestamp, product_arrangement_id FROM visits
@@ -774,7 +776,7 @@ _BODY: dict[str, str] = {
     "explode_rows": f"""SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, {COHORT}, position, channel
         FROM touches""",
     "type_window_slices": f"""SELECT conversion_window, conversion_type, count(*) AS touches,
-        count(DISTINCT channel) AS channels, round(sum({MARKOV}), 6) AS credit FROM credited GROUP BY ALL""",
+        count(DISTINCT channel) AS channels, round(round(sum({MARKOV}), 9), 6) AS credit FROM credited GROUP BY ALL""",
     "json_fields": f"""SELECT event_time, customer_user_id,
         TRY_CAST({json_text('AFEventParamRevenue')} AS BIGINT) AS AFEventParamRevenue,
         round(TRY_CAST({json_text('af_revenue')} AS DOUBLE), 6) AS af_revenue,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +28,12 @@ VISIT_KEYS = [USER, VISIT_TS, CONV_TS, "conversion_type"]
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Doubles rounded to what summation order leaves alone; timestamps without zone."""
+    """Doubles rounded to what summation order leaves alone, in two steps, as halves would fall either way; timestamps without zone."""
     columns = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, DIGITS)
+            column = F.round(F.round(column, DIGITS + 3), DIGITS)
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         columns.append(column.alias(field.name))
@@ -223,8 +223,8 @@ def exploded_ltv(s: Stages) -> DataFrame:
     )
 
 
-def rolling_touches(s: Stages) -> DataFrame:
-    labelled = s.classified.withColumn(TOUCHPOINT, labels.touchpoint_label())
+def rolling_touches(s: Stages, label: Column | None = None) -> DataFrame:
+    labelled = s.classified.withColumn(TOUCHPOINT, labels.touchpoint_label() if label is None else label)
     rows = windows.rolling_cohorts(labelled, "Subscription", ROLLING_DAYS)
     return journeys.touches(rows, "conversion_day")
 
@@ -236,7 +236,9 @@ def rolling_totals(s: Stages) -> DataFrame:
 
 
 def rolling_effects(s: Stages) -> DataFrame:
-    steps = materialize(markov.edges(rolling_touches(s)))
+    # By channel and platform: whole touchpoints of 90 days make groups that SQL takes minutes to invert.
+    label = F.concat_ws(" | ", "media_type", "channel", "platform")
+    steps = materialize(markov.edges(rolling_touches(s, label)))
     return markov.removal_effects(materialize(markov.removal_effects_raw(steps)))
 
 

@@ -7,8 +7,7 @@ from helpers import by, visits
 from pyspark.sql import functions as F
 
 from journeylens.names import COHORT, CONVERSION, MODELS, NULL_STATE, START
-from journeylens.operators import journeys, markov, sparse
-from journeylens.operators.groups import connected_groups
+from journeylens.operators import groups, journeys, markov, sparse
 from journeylens.runtime import materialize, materialize_by
 
 SCHEMA = "run_date date, conversion_type string, conversion_window int, source string, destination string, steps long"
@@ -119,7 +118,10 @@ def test_strong_parts_come_before_what_leads_to_them():
             assert (i, j) not in reach or number[j] <= number[i]
 
 
-def test_connected_groups(spark):
+@pytest.mark.parametrize("nodes", [3, 10**6])
+def test_connected_groups(spark, monkeypatch, nodes):
+    monkeypatch.setattr(groups, "FOREST_NODES", nodes)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
     rng = random.Random(6)
     pairs = [(i, i + 1) for i in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(7, 7), (5000, 5000)]
     pairs += [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(90)]
@@ -127,7 +129,8 @@ def test_connected_groups(spark):
     for _ in range(250):
         for a, b in pairs:
             label[a] = label[b] = min(label[a], label[b])
-    found = dict(connected_groups(spark.createDataFrame(pairs, "a long, b long")).collect())
+    found = dict(groups.connected_groups(spark.createDataFrame(pairs, "a long, b long").repartition(3)).collect())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert set(found) == set(label)
     assert len({(found[v], label[v]) for v in label}) == len(set(found.values())) == len(set(label.values()))
 
