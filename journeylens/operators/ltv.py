@@ -82,7 +82,7 @@ def effect_ltv(ltv: Column = None) -> Column:
 def effect_ltv_text(digits: int = SCORE_DIGITS) -> Column:
     """`channel: value > channel: value`; NULL without value or share."""
     parts = F.transform(
-        effect_ltv(), lambda t: F.concat(t["channel"], F.lit(": "), F.format_string(f"%.{digits}f", F.round(t["ltv"], digits)))
+        effect_ltv(), lambda t: F.concat(t["channel"], F.lit(": "), F.format_string(f"%.{digits}f", F.round(F.round(t["ltv"], digits + 3), digits)))
     )
     known = F.forall(effect_ltv(), lambda t: t["ltv"].isNotNull())
     return F.when(known, F.concat_ws(" > ", parts))

@@ -90,7 +90,7 @@ def journey_scores(credited: DataFrame, list_touches: int | None = None) -> Data
 
 def score_text(column: str, digits: int = SCORE_DIGITS) -> Column:
     """The credits of a journey as `0.300000 > 0.700000`."""
-    values = F.transform("touches", lambda t: F.format_string(f"%.{digits}f", F.round(t[column], digits)))
+    values = F.transform("touches", lambda t: F.format_string(f"%.{digits}f", F.round(F.round(t[column], digits + 3), digits)))
     return F.concat_ws(" > ", values)
 
 

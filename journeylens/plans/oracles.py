@@ -59,18 +59,26 @@ def product_label() -> str:
 # Named pieces; each may use the ones before it.
 PIECES: dict[str, str] = {}
 
+
+def six(value: str) -> str:
+    """Six digits, in decimals, where halves are exact."""
+    return f"CAST(round(CAST({value} AS DECIMAL(38, 9)), 6) AS DOUBLE)"
+
 PIECES["conv"] = """
     SELECT user_id, conversion_type, ts AS conversion_ts, event_id AS conversion_id, value AS conversion_value
     FROM (
-        SELECT *, CASE event_type WHEN 'signup' THEN 'Trial' ELSE 'Subscription' END AS conversion_type,
+        SELECT *, CASE event_type WHEN 'signup' THEN 'Trial' WHEN 'purchase' THEN 'Subscription' ELSE 'registration' END
+                AS conversion_type,
             row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
-        FROM events WHERE event_type IN ('signup', 'purchase')
+        FROM events WHERE event_type IN ('signup', 'purchase') OR (event_type = 'view' AND event_id % 40 = 3)
     ) WHERE rn = 1"""
 
 PIECES["visits"] = f"""
     SELECT 'u' || e.user_id AS user_guid,
-        e.ts AS attribution_visit_start_time,
-        {pick([k for k, _ in sample.SOURCES])} AS visit_traffic_source_type,
+        CASE WHEN e.ts < c.conversion_ts THEN e.ts - to_days((30 * (event_id % 4))::INT) ELSE e.ts END
+            AS attribution_visit_start_time,
+        CASE WHEN event_id = {sample.RARE_EVENT} THEN 'Rare' ELSE {pick([k for k, _ in sample.SOURCES])} END
+            AS visit_traffic_source_type,
         {SOURCE_NAME} AS visit_traffic_source_name,
         {pick(sample.DEVICES)} AS visit_device_type,
         event_id % 2 = 0 AS is_campaign_landing,
@@ -87,12 +95,14 @@ PIECES["visits"] = f"""
         conversion_ts AS conversion_visit_timestamp,
         CAST(event_id = conversion_id AS BIGINT) AS converting_visit,
         conversion_type,
-        conversion_id AS product_arrangement_id,
+        CASE WHEN conversion_id % 13 <> 5 THEN conversion_id END AS product_arrangement_id,
         {pick(sample.USER_COHORTS, 'e.user_id')} AS user_cohort_primary,
         {pick(['digital', 'print'], 'conversion_id')} AS b2c_product_type,
         conversion_id % 2 = 1 AS is_app_conversion,
         {pick(['core', 'bundle', 'add-on'], 'conversion_id')} AS product_type
-    FROM events e JOIN conv c ON e.user_id = c.user_id AND e.ts <= c.conversion_ts
+    FROM events e JOIN conv c ON e.user_id = c.user_id AND (e.ts <= c.conversion_ts
+        OR (conversion_id % 3 = 0 AND CAST(e.ts AS DATE) = CAST(c.conversion_ts AS DATE)))
+    JOIN (VALUES (1), (2)) f(copies) ON copies = 1 OR event_id % 17 = 0
     LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25"""
 
 PIECES["user_ltv"] = """
@@ -447,13 +457,13 @@ PIECES["effects_ltv"] = f"SELECT * FROM effects LEFT JOIN averages USING ({COHOR
 PIECES["texts"] = f"""
     SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, user_guid, 0 AS part,
         string_agg(channel, ' > ' ORDER BY position) AS channels_agg, max(conversion_value) AS conversion_value,
-        {', '.join(f"string_agg(printf('%.6f', round({s}, 6)), ' > ' ORDER BY position) AS {s}" for s in SCORES)},
+        {', '.join(f"string_agg(printf('%.6f', {six(s)}), ' > ' ORDER BY position) AS {s}" for s in SCORES)},
         count(*) AS num_touchpoints, {COHORT}, journey_no
     FROM credited GROUP BY {JOURNEY}"""
 PIECES["effect_texts"] = f"""
     SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, {COHORT}, product_arrangement_id, 0 AS part,
         CASE WHEN bool_and(c.{MARKOV} * ltv_acquisition_capped_12m IS NOT NULL) THEN
-            string_agg(channel || ': ' || printf('%.6f', round(c.{MARKOV} * ltv_acquisition_capped_12m, 6)), ' > '
+            string_agg(channel || ': ' || printf('%.6f', {six(f'c.{MARKOV} * ltv_acquisition_capped_12m')}), ' > '
                 ORDER BY position) END AS removal_effect_ltv
     FROM credited c JOIN valued v USING ({JOURNEY}) WHERE c.conversion_value = 1
     GROUP BY {JOURNEY}, product_arrangement_id, ltv_acquisition_capped_12m"""
@@ -537,7 +547,7 @@ DAILY_PURCHASES = f"""SELECT {PURCHASE_DIMS}, count(*) AS total_purchases, count
 
 # ---- timing ----------------------------------------------------------------------------------------------
 
-STAGE = "CASE conversion_type WHEN 'Trial' THEN 'trial' ELSE 'subscriber' END AS stage"
+STAGE = "CASE conversion_type WHEN 'Trial' THEN 'trial' WHEN 'Subscription' THEN 'subscriber' ELSE conversion_type END AS stage"
 PIECES["time_to_convert"] = """
     SELECT conversion_type, user_guid, CASE WHEN converted - reference >= 1 THEN converted - reference END AS time_to_convert
     FROM (
@@ -572,7 +582,7 @@ def query(body: str) -> str:
 
 
 def rounded(columns: list[str]) -> str:
-    return ", ".join(f"round(round({c}, 9), 6) AS {c}" for c in columns)
+    return ", ".join(f"{six(c)} AS {c}" for c in columns)
 
 
 KEYS_OUT = "user_guid, attribution_visit_start_time, conversion_visit_timestamp, conversion_type"
@@ -610,7 +620,7 @@ def share_query(score: str, piece: str = "heuristic") -> str:
 
 TOTALS = f"SELECT {COHORT}, channels, {rounded(SCORES)} FROM totals"
 HEURISTIC_TOTALS = f"""SELECT {COHORT}, channel AS channels,
-    {', '.join(f'round(round(sum({s}), 9), 6) AS {s}' for s in SCORES[:4])} FROM {{}} GROUP BY ALL"""
+    {', '.join(six(f'sum({s})') + f' AS {s}' for s in SCORES[:4])} FROM {{}} GROUP BY ALL"""
 DEDUP_LTV = products("product_arrangement_id, is_app_conversion")
 
 _BODY: dict[str, str] = {
@@ -628,7 +638,7 @@ _BODY: dict[str, str] = {
         WHERE {CONV_DATE} BETWEEN DATE '2024-01-10' AND DATE '2024-01-25' GROUP BY ALL""",
     "write_replace_cohort": TOTALS,
     "write_replace_day": f"""SELECT channels, {COHORT},
-        round(round({LAST} * CASE WHEN run_date = DATE '2024-01-20' THEN 2 ELSE 1 END, 9), 6) AS {LAST} FROM totals""",
+        {six(LAST)} * CASE WHEN run_date = DATE '2024-01-20' THEN 2 ELSE 1 END AS {LAST} FROM totals""",
     "write_append": f"{TOTALS} UNION ALL {TOTALS}",
     "write_truncate": f"SELECT {STAGE}, run_date, median(time_to_convert) AS median_days FROM stage_rows GROUP BY conversion_type, run_date",
     "write_skip_empty": """SELECT * FROM (VALUES ('filled', true), ('empty', false)) t(input, written),
@@ -652,7 +662,7 @@ _BODY: dict[str, str] = {
     "parse_channels": f"SELECT * EXCLUDE (channel_name) FROM (SELECT channels, {COHORT}, {PART_NAMES} FROM mart)",
     "channel_name_middle": f"SELECT channels, {COHORT}, channel_name FROM mart",
     "clean_media": f"SELECT channels, {COHORT}, cleaned_media_channel, cleaned_media_type, cleaned_platform FROM mart",
-    "trial_direct": f"""SELECT {COHORT}, trial_direct, count(*) AS channels, round(round(sum({LAST}), 9), 6) AS last_click
+    "trial_direct": f"""SELECT {COHORT}, trial_direct, count(*) AS channels, {six(f'sum({LAST})')} AS last_click
         FROM mart GROUP BY ALL""",
     "app_group": f"""SELECT app_id, {app_group(app.PLAIN_EDITION)} AS plain_group,
         {app_group(app.BRANDED_EDITION)} AS branded_group, count(*) AS events FROM app_events GROUP BY ALL""",
@@ -667,9 +677,9 @@ _BODY: dict[str, str] = {
     "flag_converting_by_conv_ts": flag_query("conversion_time"),
     "flag_last_visit_only": flag_query("last_visit_only"),
     "flag_by_conversion_date": flag_query("conversion_day"),
-    "sanitize_columns": f"""SELECT channels, {COHORT}, round(round({POSITION}, 9), 6) AS attribution_position_based_heuristic,
-        round(round({DECAY}, 9), 6) AS attribution_time_decay_heuristic FROM totals""",
-    "dots_to_underscores": f"SELECT channels, {COHORT}, round(round({LAST}, 9), 6) AS attribution_last_click_heuristic FROM totals",
+    "sanitize_columns": f"""SELECT channels, {COHORT}, {six(POSITION)} AS attribution_position_based_heuristic,
+        {six(DECAY)} AS attribution_time_decay_heuristic FROM totals""",
+    "dots_to_underscores": f"SELECT channels, {COHORT}, {six(LAST)} AS attribution_last_click_heuristic FROM totals",
     "user_from_journey_id": f"""SELECT {COHORT}, count(*) AS journeys, count(*) FILTER (journey_no = 0) AS first_journeys,
         count(DISTINCT user_guid) AS users FROM (SELECT DISTINCT {JOURNEY} FROM rolling_touches) GROUP BY ALL""",
     "conversion_type_split": f"""SELECT {CONV_DATE} AS run_date, conversion_type, {COUNTS} FROM visits
@@ -749,7 +759,7 @@ _BODY: dict[str, str] = {
         FROM rolling_part_effects""",
     "removal_effect_ltv": "SELECT * FROM effect_texts",
     "explode_channel_ltv": f"""SELECT {COHORT}, channel, count(*) AS touches,
-        round(sum(round(c.{MARKOV} * ltv_acquisition_capped_12m, 6)), 6) AS total_ltv
+        {six('sum(' + six(f'c.{MARKOV} * ltv_acquisition_capped_12m') + ')')} AS total_ltv
         FROM credited c JOIN valued v USING ({JOURNEY})
         WHERE c.conversion_value = 1 AND ltv_acquisition_capped_12m IS NOT NULL GROUP BY ALL""",
     "source_frequency": """SELECT visit_traffic_source_type, source_frequency, count(*) AS visits FROM (
@@ -760,7 +770,7 @@ _BODY: dict[str, str] = {
         max(journey_no) AS last_journey FROM rolling_touches GROUP BY ALL""",
     "touch_lead": f"SELECT {JOURNEY}, position, channel, next_channel FROM touches",
     "share_of_total": f"""SELECT {COHORT}, channels,
-        round(round({LAST} / nullif(sum({LAST}) OVER (PARTITION BY {COHORT}), 0) * 100, 9), 6) AS {LAST} FROM totals""",
+        {six(f'{LAST} / nullif(sum({LAST}) OVER (PARTITION BY {COHORT}), 0) * 100')} AS {LAST} FROM totals""",
     "sort_user_time": f"""SELECT {JOURNEY}, position, attribution_visit_start_time, channel FROM touches""",
     "order_dates": f"SELECT DISTINCT {CONV_DATE} AS conversion_date FROM visits ORDER BY 1",
     "top1_per_user": """SELECT user_guid, conversion_visit_timestamp, product_arrangement_id FROM visits
@@ -769,14 +779,15 @@ _BODY: dict[str, str] = {
     "union_cohorts": HEURISTIC_TOTALS.format("heuristic"),
     "union_all_literal": f"""SELECT product_arrangement_id AS id FROM visits WHERE converting_visit = 1
         UNION ALL SELECT NULL FROM (SELECT DISTINCT {CONV_DATE} FROM visits WHERE converting_visit = 1)""",
-    "filter_downstream": "SELECT product_arrangement_id AS id FROM visits WHERE converting_visit = 1",
+    "filter_downstream": """SELECT product_arrangement_id AS id FROM visits
+        WHERE converting_visit = 1 AND product_arrangement_id IS NOT NULL""",
     "melt_matrix": f"""SELECT {COHORT}, source, destination, round_even(p, 3) AS probability, width - count(*) OVER (
             PARTITION BY {COHORT}, source) AS zeros
         FROM probs JOIN (SELECT {COHORT}, count(DISTINCT destination) AS width FROM edges GROUP BY ALL) USING ({COHORT})""",
     "explode_rows": f"""SELECT 'id:' || user_guid || '_J:' || journey_no AS journey_id, {COHORT}, position, channel
         FROM touches""",
     "type_window_slices": f"""SELECT conversion_window, conversion_type, count(*) AS touches,
-        count(DISTINCT channel) AS channels, round(round(sum({MARKOV}), 9), 6) AS credit FROM credited GROUP BY ALL""",
+        count(DISTINCT channel) AS channels, {six(f'sum({MARKOV})')} AS credit FROM credited GROUP BY ALL""",
     "json_fields": f"""SELECT event_time, customer_user_id,
         TRY_CAST({json_text('AFEventParamRevenue')} AS BIGINT) AS AFEventParamRevenue,
         round(TRY_CAST({json_text('af_revenue')} AS DOUBLE), 6) AS af_revenue,
@@ -805,7 +816,8 @@ PIECES["full_channels"] = f"SELECT count(*) AS n FROM (SELECT DISTINCT {COHORT},
 _BODY["full_run"] = f"""
     SELECT 'user_journeys' AS result, count(*) AS rows FROM valued
     UNION ALL SELECT 'channel_level', n FROM full_channels
-    UNION ALL SELECT 'transitions', count(DISTINCT ({COHORT}, channel, coalesce(next_channel, '(conversion)')))
+    UNION ALL SELECT 'transitions', count(DISTINCT ({COHORT}, channel,
+            coalesce(next_channel, CASE WHEN flag = 1 THEN '(conversion)' ELSE '(null)' END)))
         FILTER (channel IS DISTINCT FROM next_channel)
         + count(DISTINCT ({COHORT}, channel)) FILTER (position = 1) FROM full_touches
     UNION ALL SELECT 'removal_effects', n FROM full_channels

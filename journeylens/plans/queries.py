@@ -68,7 +68,7 @@ def rewritten_day(s: Stages, write: Callable[[DataFrame, str], object]) -> DataF
 def write_skip_empty(s: Stages) -> DataFrame:
     path = scratch_path(s.spark)
     totals = materialize(s.totals.select("channels", *COHORT, MODELS["last_click"]))
-    nothing = totals.filter("conversion_type = 'registration'")
+    nothing = totals.filter("conversion_type = 'Renewal'")
     rows = [(sinks.skip_empty(totals, path), "filled"), (sinks.skip_empty(nothing, path), "empty")]
     wrote = F.create_map(*[F.lit(x) for name_and_flag in rows for x in name_and_flag[::-1]])
     kept = s.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("kept_rows"))
@@ -291,12 +291,12 @@ def share_of_total(s: Stages) -> DataFrame:
 
 
 def union_cohorts(s: Stages) -> DataFrame:
-    """Trials and subscriptions attributed apart, then put together."""
+    """The types of conversion attributed apart, then put together."""
     parts = [
         models.channel_totals(models.with_credits(journeys.touches(tables.of_type(s.windowed, kind))))
-        for kind in ("Trial", "Subscription")
+        for kind in ("Trial", "Subscription", "registration")
     ]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def union_literal(s: Stages) -> DataFrame:

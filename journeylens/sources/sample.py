@@ -27,6 +27,7 @@ SOURCES = [
     ("Barrier", "Barrier page"),
     (None, None),
 ]
+RARE_EVENT = 77
 DEVICES = ["desktop", "mobile", "tablet"]
 CAMPAIGNS = ["onsite sale", "ppc push", "organic social", "video", "newsletter", None, "Paid Media - SEM"]
 GROUPINGS = ["organic growth", "brand", None, "retention"]
@@ -80,10 +81,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def conversions(log: DataFrame) -> DataFrame:
-    """The first signup and the first purchase of each user and day."""
-    kind = "case event_type when 'signup' then 'Trial' when 'purchase' then 'Subscription' end"
+    """The first signup, purchase and registration of each user and day; every fortieth view is a registration."""
+    kind = "case event_type when 'signup' then 'Trial' when 'purchase' then 'Subscription' else 'registration' end"
     days = (
-        log.filter("event_type in ('signup', 'purchase')")
+        log.filter("event_type in ('signup', 'purchase') or event_type = 'view' and event_id % 40 = 3")
         .groupBy("user_id", F.to_date("ts").alias("day"), F.expr(kind).alias("conversion_type"))
         .agg(F.expr("min(struct(ts, event_id, value))").alias("first"))
     )
@@ -94,9 +95,10 @@ def conversions(log: DataFrame) -> DataFrame:
 
 
 def visits(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per conversion and visit of its user up to the conversion.
+    """One row per conversion and visit of its user up to the conversion, or to the end of its day for every third one.
 
-    A user has at most one conversion per day and type, so a visit meets a number of
+    Earlier visits go back up to 90 days further, so that the windows differ. Every seventeenth visit is there twice,
+    every thirteenth conversion has no product, and one source type is seen a few times only. A user has at most one conversion per day and type, so a visit meets a number of
     conversions bounded by the days of the log, never by the user's rows.
     """
     log = events(spark, folder)
@@ -104,13 +106,17 @@ def visits(spark: SparkSession, folder: str) -> DataFrame:
         "bigint(n_nationkey) as nation_key", "n_name as geo_country_name"
     )
     # Rows multiply here, so both sides are shuffled even where one would fit a broadcast.
-    pairs = log.join(conversions(log).hint("shuffle_hash"), "user_id").filter("ts <= conversion_ts")
+    pairs = log.join(conversions(log).hint("shuffle_hash"), "user_id").filter(
+        "ts <= conversion_ts or conversion_id % 3 = 0 and to_date(ts) = to_date(conversion_ts)"
+    )
+    pairs = pairs.withColumn("ts", F.expr("if(ts < conversion_ts, ts - make_interval(0, 0, 0, int(30 * (event_id % 4))), ts)"))
+    pairs = pairs.withColumn("copy", F.expr("explode(if(event_id % 17 = 0, array(1, 2), array(1)))"))
     pairs = pairs.withColumn("nation_key", F.expr("user_id % 25")).join(nations, "nation_key", "left")
     source_name = pick([name for _, name in SOURCES])
     table = pairs.selectExpr(
         "'u' || user_id as user_guid",
         "ts as attribution_visit_start_time",
-        pick([kind for kind, _ in SOURCES]) + " as visit_traffic_source_type",
+        f"if(event_id = {RARE_EVENT}, 'Rare', {pick([kind for kind, _ in SOURCES])}) as visit_traffic_source_type",
         source_name + " as visit_traffic_source_name",
         pick(DEVICES) + " as visit_device_type",
         "event_id % 2 = 0 as is_campaign_landing",
@@ -127,7 +133,7 @@ def visits(spark: SparkSession, folder: str) -> DataFrame:
         "conversion_ts as conversion_visit_timestamp",
         "if(event_id = conversion_id, 1, 0) as converting_visit",
         "conversion_type",
-        "conversion_id as product_arrangement_id",
+        "if(conversion_id % 13 = 5, null, conversion_id) as product_arrangement_id",
         pick(USER_COHORTS, "user_id") + " as user_cohort_primary",
         pick(["digital", "print"], "conversion_id") + " as b2c_product_type",
         "conversion_id % 2 = 1 as is_app_conversion",
