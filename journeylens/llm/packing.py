@@ -48,18 +48,19 @@ class WordTokenizer:
     """Ids of whole texts, as little-endian 32-bit numbers, through the ids of their words.
 
     The tokenizer drops white space and never merges across it, so the text may be cut at spaces and line ends. A word
-    that ends in signs has the ids of the letters before them, then those of the signs.
+    that ends in signs has the ids of the letters before them, then those of the signs, unless its lower-case form ends
+    in a mark that the signs would join. Words that may hold a special token stay whole: they are found in them as
+    in any text.
     """
 
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
     def _parts(self, word: str) -> tuple[str, ...]:
         base = word.rstrip(_SIGNS)
-        if not base or not base[-1].isalpha():
+        if "<|" in word or not base or not base.lower()[-1].isalpha():
             return (word,)
         plain = base.lower() if max(base) < "\u0100" else base
         return (plain, word[len(base) :]) if len(base) < len(word) else (plain,)
