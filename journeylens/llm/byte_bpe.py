@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes become characters from here on: letters that no normaliser or white-space rule touches.
 FIRST_CHARACTER = 0x100
@@ -170,7 +171,29 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 ids = [encoder.encode(text.as_py() or "") for text in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, ids array<int>")
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return own.mapInArrow(apply, "doc_id long, ids array<int>")
+
+
+def round_trip(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Rows (doc_id, ids, bytes): `encode`, and the bytes that the ids decode to, in one pass."""
+    model = documents.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(model.value, pattern)
+        tokens = token_bytes(encoder.processor)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                ids = [encoder.encode(text.as_py() or "") for text in part.column(1)]
+                texts = [b"".join(map(tokens.__getitem__, own)) for own in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.binary())],
+                    ["doc_id", "ids", "bytes"],
+                )
+
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return own.mapInArrow(apply, "doc_id long, ids array<int>, bytes binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -185,4 +208,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 texts = [b"".join(map(tokens.__getitem__, ids.as_py() or ())) for ids in part.column(1)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(apply, "doc_id long, ids array<int>, bytes binary")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(apply, "doc_id long, ids array<int>, bytes binary")

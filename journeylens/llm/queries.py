@@ -52,8 +52,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(encoded, ranks).select(
+    return byte_bpe.round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
