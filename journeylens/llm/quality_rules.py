@@ -8,7 +8,7 @@ classes among all labels. Every text is read whole, in Arrow batches, against fi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,6 +177,29 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> tu
     return weights, *calibrate(z, held, weight / weight.mean())
 
 
+def rate(texts: Iterable[str | None], fitted: tuple[np.ndarray, float, float] | None) -> list[tuple]:
+    """The counts of the base rules and the probability of label 1, for each text."""
+    rows = []
+    for text in texts:
+        text = text or ""
+        words = text.encode("utf-8", "replace").split()
+        hashes = word_hashes(words)
+        chance = None
+        if fitted:
+            weights, slope, shift = fitted
+            z = weights[-1]
+            if len(hashes):
+                z += _SCALE * weights[word_buckets(hashes)].mean()
+            total = grams = 0
+            for buckets in character_buckets(text):
+                total += weights[BUCKETS + buckets].sum()
+                grams += len(buckets)
+            z += _SCALE * total / max(grams, 1)
+            chance = 1 / (1 + np.exp(-np.clip(slope * z + shift, -30, 30)))
+        rows.append((*counts(text, words, hashes), chance))
+    return rows
+
+
 def score(documents: DataFrame, model: tuple[np.ndarray, float, float] | None) -> DataFrame:
     """Rows (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, probability), one per document.
 
@@ -186,27 +209,8 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float, float] | None) -
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "probability"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in batches:
-            rows = []
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                words = text.encode("utf-8", "replace").split()
-                hashes = word_hashes(words)
-                chance = None
-                if fitted:
-                    weights, slope, shift = fitted
-                    z = weights[-1]
-                    if len(hashes):
-                        z += _SCALE * weights[word_buckets(hashes)].mean()
-                    total = grams = 0
-                    for buckets in character_buckets(text):
-                        total += weights[BUCKETS + buckets].sum()
-                        grams += len(buckets)
-                    z += _SCALE * total / max(grams, 1)
-                    chance = 1 / (1 + np.exp(-np.clip(slope * z + shift, -30, 30)))
-                rows.append((*counts(text, words, hashes), chance))
-            columns = list(zip(*rows)) or [()] * 6
+            columns = list(zip(*rate((t.as_py() for t in batch.column(1)), shared.value))) or [()] * 6
             kinds = [pa.int64()] * 5 + [pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names
@@ -216,6 +220,23 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float, float] | None) -
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, schema)
 
 
+def keep(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of documents that `judge` keeps, all columns, filtered in place: no text is shuffled."""
+    shared = documents.sparkSession.sparkContext.broadcast(train(documents.select("doc_id", "text"), labels))
+    at = documents.columns.index("text")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rated = rate((t.as_py() for t in batch.column(at)), shared.value)
+            kept = [
+                n >= MIN_WORDS and 100 * repeated <= MAX_REPEATED_PERCENT * n and (chance is None or chance >= KEEP_FROM)
+                for n, _, _, _, repeated, chance in rated
+            ]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return documents.mapInArrow(apply, documents.schema)
+
+
 def judge(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """`score` with base_failed (too few words, or too many that repeat) and kept (neither that nor judged poor).
 
