@@ -22,6 +22,8 @@ BUCKETS = 1 << 16
 SEED = 20240131
 #: Standard errors by which the share to keep lies above the share of good labels, so that good documents stay.
 MARGIN = 1.0
+#: Documents labelled good that the target model is counted from at most, those of the smallest hashes of their ids.
+TARGET_DOCUMENTS = 20_000
 CHARACTERS = 1 << 20
 _REPEAT = np.uint64(1)
 
@@ -62,7 +64,9 @@ def good_ids(labels: DataFrame) -> DataFrame:
 
 def log_ratios(documents: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """The log ratio of each bucket; None if no document is labelled good."""
-    marked = documents.select("doc_id", "text").join(good_ids(labels), "doc_id", "left")
+    taken = good_ids(labels).filter("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCUMENTS)
+    # Bounded by TARGET_DOCUMENTS, so texts need not move.
+    marked = documents.select("doc_id", "text").join(F.broadcast(taken), "doc_id", "left")
     counted = marked.select((F.coalesce("good", F.lit(0)) == 1).alias("good"), "text").mapInArrow(
         _count, "bucket long, target long, raw long"
     )
@@ -76,24 +80,25 @@ def log_ratios(documents: DataFrame, labels: DataFrame) -> np.ndarray | None:
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
+def keys(ids: pa.Array, texts: pa.Array, ratio: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log weight, key and rank key of each text: the key is weight plus noise, rank_key orders keys as longs."""
+    weight = np.array([0.0 if ratio is None else sum(ratio[b].sum() for b in buckets(t.as_py() or "")) for t in texts], float)
+    drawn = ids.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
+    chance = ((mix(drawn + np.uint64(SEED)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+    key = weight - np.log(-np.log(chance))
+    bits = (key + 0.0).view(np.int64)
+    return weight, key, np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+
+
 def weigh(documents: DataFrame, ratios: np.ndarray | None) -> DataFrame:
-    """Rows (doc_id, log_weight, gumbel_key, rank_key): the key is weight plus noise, rank_key orders keys as longs."""
+    """Rows (doc_id, log_weight, gumbel_key, rank_key), see `keys`."""
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = shared.value
         for batch in batches:
-            weight = np.array(
-                [0.0 if ratio is None else sum(ratio[b].sum() for b in buckets(t.as_py() or "")) for t in batch.column(1)]
-            )
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            chance = ((mix(ids + np.uint64(SEED)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-            key = weight - np.log(-np.log(chance))
-            bits = (key + 0.0).view(np.int64)
-            rank = np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+            found = keys(batch.column(0), batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(weight), pa.array(key), pa.array(rank)],
-                ["doc_id", "log_weight", "gumbel_key", "rank_key"],
+                [batch.column(0), *map(pa.array, found)], ["doc_id", "log_weight", "gumbel_key", "rank_key"]
             )
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -115,6 +120,27 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
     return low, above
 
 
+def _cut(
+    documents: DataFrame, labels: DataFrame, share: float | None, raw: DataFrame | None
+) -> tuple[np.ndarray | None, DataFrame, tuple[int, int] | None, bool]:
+    """The log ratios, the weighed documents, and the last kept (rank key, -1 - id); without those, whether all stay."""
+    ratios = log_ratios(documents if raw is None else raw, labels)
+    weighed = materialize(weigh(documents, ratios))
+    total = weighed.count()
+    if share is None:
+        mine = good_ids(labels).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+        good, n = mine.agg(F.coalesce(F.sum("good"), F.lit(0)), F.count(F.lit(1))).first()
+        p = (good + 1) / (n + 2)
+        share = min(1.0, p + MARGIN * (p * (1 - p) / (n + 2)) ** 0.5) if n else 1.0
+    k = min(total, -int(-(share * total) // 1))
+    if k == total or k <= 0:
+        return ratios, weighed, None, k == total
+    cut, above = kth_largest(weighed, "rank_key", k)
+    ties = weighed.filter(F.col("rank_key") == cut).select((-1 - F.coalesce("doc_id", F.lit(-1))).alias("back"))
+    last, _ = kth_largest(ties, "back", k - above)
+    return ratios, weighed, (cut, last), False
+
+
 def resample(documents: DataFrame, labels: DataFrame, share: float | None = None, raw: DataFrame | None = None) -> DataFrame:
     """Rows (doc_id, log_weight, gumbel_key, kept), one per document; k is the share of the documents, rounded up.
 
@@ -123,22 +149,26 @@ def resample(documents: DataFrame, labels: DataFrame, share: float | None = None
     The models are counted over `raw` (doc_id, text) where documents are only what an earlier filter left of it: without
     the rejected text target and raw hardly differ, and the weights would be noise.
     """
-    weighed = materialize(weigh(documents, log_ratios(documents if raw is None else raw, labels)))
-    total = weighed.count()
-    if share is None:
-        mine = good_ids(labels).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
-        good, n = mine.agg(F.coalesce(F.sum("good"), F.lit(0)), F.count(F.lit(1))).first()
-        p = (good + 1) / (n + 2)
-        share = min(1.0, p + MARGIN * (p * (1 - p) / (n + 2)) ** 0.5) if n else 1.0
-    k = min(total, -int(-(share * total) // 1))
-    if k == total:
-        kept = F.lit(True)
-    elif k <= 0:
-        kept = F.lit(False)
-    else:
-        cut, above = kth_largest(weighed, "rank_key", k)
-        ties = weighed.filter(F.col("rank_key") == cut).select((-1 - F.coalesce("doc_id", F.lit(-1))).alias("back"))
-        last, _ = kth_largest(ties, "back", k - above)
-        on_edge = (F.col("rank_key") == cut) & ((-1 - F.coalesce("doc_id", F.lit(-1))) >= last)
-        kept = (F.col("rank_key") > cut) | on_edge
+    _, weighed, least, every = _cut(documents, labels, share, raw)
+    kept = F.lit(every)
+    if least:
+        on_edge = (F.col("rank_key") == least[0]) & ((-1 - F.coalesce("doc_id", F.lit(-1))) >= least[1])
+        kept = (F.col("rank_key") > least[0]) | on_edge
     return weighed.select("doc_id", "log_weight", "gumbel_key", kept.alias("kept"))
+
+
+def keep(documents: DataFrame, labels: DataFrame, share: float | None = None, raw: DataFrame | None = None) -> DataFrame:
+    """The rows of documents that `resample` keeps, all columns, weighed again and filtered in place."""
+    ratios, _, least, every = _cut(documents.select("doc_id", "text"), labels, share, raw)
+    if least is None:
+        return documents if every else documents.limit(0)
+    shared = documents.sparkSession.sparkContext.broadcast(ratios)
+    at, id_at = documents.columns.index("text"), documents.columns.index("doc_id")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, _, rank = keys(batch.column(id_at), batch.column(at), shared.value)
+            back = -1 - batch.column(id_at).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array((rank > least[0]) | ((rank == least[0]) & (back >= least[1]))))
+
+    return documents.mapInArrow(apply, documents.schema)
