@@ -185,9 +185,10 @@ def _runs(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorts one bucket and marks each suffix by its neighbours; one more row tells of the bucket's ends."""
     names = [column.partition(" ")[0] for column in SORTED.split(", ")]
-    rows = pa.Table.from_batches(list(batches)).combine_chunks()
-    if not rows.num_rows:
+    held = list(batches)
+    if not sum(batch.num_rows for batch in held):
         return
+    rows = pa.Table.from_batches(held).combine_chunks()
     bucket = TaskContext.get().partitionId()
     a, x = (rows[name].to_numpy() for name in ("a", "x"))
     order = multikey_quicksort([a, x])
