@@ -285,7 +285,6 @@ def test_packing(spark, awkward, nothing, monkeypatch):
     texts = ["Hello, World!! it's Fine...", "ΑΣ ΟΔΟΣ́ Ünï. don't 12ab,", "<|endoftext|> x", "á b c %%% d%e"]
     docs = awkward.unionByName(spark.createDataFrame([(100 + i, t, "x") for i, t in enumerate(texts)], DOCS))
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack_documents(docs.dropDuplicates(), WORDS, with_ids=True).collect()
     known = {i: t for i, t, _ in AWKWARD} | {100 + i: t for i, t in enumerate(texts)}
     by_doc = {}
