@@ -12,30 +12,30 @@ from journeylens.llm.shingle_join import near_copies
 from journeylens.runtime import materialize
 
 
-def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The documents whose ids a stage keeps. Rows that repeat an id stay if one of them is kept."""
-    kept = materialize(verdicts.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-
-
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
-    return _only(docs, quality_rules.judge(docs.select("doc_id", "text"), labels))
+    return quality_rules.keep(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Judges what the rules left by models of the good text and of all raw text, before any filter."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
     raw = table(spark, sf_dir, "documents", "doc_id", "text")
-    return _only(docs, resampling.resample(docs.select("doc_id", "text"), labels, raw=raw))
+    return resampling.keep(docs, labels, raw=raw)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies; of rows that repeat its id, one."""
+    """The document of the smallest id of each group of near copies; of rows that repeat its id, that of the least text,
+    then of the least other columns. Rows without an id are in no group and stay."""
     found = near_copies(docs.select("doc_id", "text"))
-    first = found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    kept = _only(docs, first)
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    dropped = materialize(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct())
+    # One plan at every size: the dropped ids may be broadcast here and too many there.
+    kept = docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    least = kept.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id_")).agg(
+        F.min_by(row, F.struct(F.col("text"), F.to_json(row))).alias("row")
+    )
+    one = least.select(*(F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)))
+    return one.unionByName(kept.filter("doc_id is null"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
