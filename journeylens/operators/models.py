@@ -94,18 +94,18 @@ def score_text(column: str, digits: int = SCORE_DIGITS) -> Column:
     return F.concat_ws(" > ", values)
 
 
-def text_form(scores: DataFrame) -> DataFrame:
-    """Lists as text: `channels_agg` and one text per model."""
+def with_texts(scores: DataFrame) -> DataFrame:
+    """Adds the lists as text: `channels_agg` and one text per model."""
     present = scores.schema["touches"].dataType.elementType.names
-    models = [name for name in MODELS.values() if name in present]
-    return scores.select(
-        "journey_id", USER, "part",
-        F.concat_ws(" > ", F.col("touches.channel")).alias("channels_agg"),
-        "conversion_value",
-        *[score_text(name).alias(name) for name in models],
-        "num_touchpoints",
-        *COHORT,
-    )
+    texts = {name: score_text(name) for name in MODELS.values() if name in present}
+    return scores.withColumns({"channels_agg": F.concat_ws(" > ", F.col("touches.channel")), **texts})
+
+
+def text_form(scores: DataFrame) -> DataFrame:
+    """`with_texts` without the lists."""
+    models = [name for name in MODELS.values() if name in scores.schema["touches"].dataType.elementType.names]
+    columns = ["journey_id", USER, "part", "channels_agg", "conversion_value", *models, "num_touchpoints", *COHORT]
+    return with_texts(scores).select(*columns)
 
 
 def touchpoint_count(channels: Column) -> Column:

@@ -25,8 +25,10 @@ def converters(visits: DataFrame, as_of: date, days: int = RUN_DAYS) -> DataFram
     return converting.select(USER, CONV_TS).distinct()
 
 
-def conversion_windows(visits: DataFrame, as_of: date, windows: dict[int, int] = WINDOWS) -> DataFrame:
-    """Visits of recent converters, with the list of windows each visit falls into.
+def conversion_windows(
+    visits: DataFrame, as_of: date, windows: dict[int, int] = WINDOWS, days: int = RUN_DAYS
+) -> DataFrame:
+    """Visits of converters of the last `days` days, with the list of windows each visit falls into.
 
     One pass serves all windows: the widest one filters, the list says which narrower ones
     hold the row too. The list is exploded only after the shuffle by user.
@@ -34,16 +36,16 @@ def conversion_windows(visits: DataFrame, as_of: date, windows: dict[int, int] =
     widest = max(windows.values())
     # Both bounds are on raw columns, so they reach the scan; the one on visits follows from the other.
     recent = visits.filter(
-        (F.col(CONV_TS) >= _midnight(as_of - timedelta(RUN_DAYS)))
-        & (F.col(VISIT_TS) >= _midnight(as_of - timedelta(RUN_DAYS + widest)))
+        (F.col(CONV_TS) >= _midnight(as_of - timedelta(days)))
+        & (F.col(VISIT_TS) >= _midnight(as_of - timedelta(days + widest)))
     )
-    wanted = converters(visits, as_of)
+    wanted = converters(visits, as_of, days)
     visited, converted = F.to_date(VISIT_TS), F.to_date(CONV_TS)
     inside = recent.filter(
         (visited <= converted) & (visited >= F.date_sub(converted, widest))
     )
     held = F.array_compact(
-        F.array(*[F.when(visited >= F.date_sub(converted, days), name) for name, days in windows.items()])
+        F.array(*[F.when(visited >= F.date_sub(converted, back), name) for name, back in windows.items()])
     )
     return (
         inside.join(wanted, [USER, CONV_TS], "left_semi")

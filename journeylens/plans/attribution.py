@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..names import COHORT, CONV_TS, TOUCHPOINT
+from .. import checks
+from ..functions.labels import touchpoint_label
+from ..names import COHORT, CONV_TS, TOUCHPOINT, WINDOWS
 from ..operators import ltv as value
-from ..operators import markov, marts, models, timing
+from ..operators import appevents, markov, marts, models, timing
 from ..operators.classify import classify
-from ..operators.journeys import SPLIT_KEYS, per_window, touches_once
-from ..operators.windows import conversion_windows
+from ..operators.journeys import SPLIT_KEYS, per_window, touches, touches_once
+from ..operators.windows import conversion_windows, rolling_cohorts
 from ..runtime import materialize, materialize_by
 from ..sinks import tables as sinks
-from ..sources.tables import recent_ltv, run_dates
+from ..sources.tables import RUN_DAYS, recent_ltv, run_dates
 
 
 @dataclass
@@ -41,8 +44,10 @@ def reported_type(df: DataFrame) -> DataFrame:
     return df.withColumn("conversion_type", kind.otherwise(F.col("conversion_type")))
 
 
-def attribute(windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", channel: str = TOUCHPOINT) -> Results:
-    """All results from visits in their conversion windows.
+def attribute(
+    windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", channel: str = TOUCHPOINT, extra: tuple[str, ...] = ()
+) -> Results:
+    """All results from visits in their conversion windows; `extra` are further columns of the products.
 
     Touches and step counts feed several results, so both are written once, a touch once for all windows.
     """
@@ -51,14 +56,14 @@ def attribute(windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", cha
     raw = materialize(markov.removal_effects_raw(steps))
     credited = materialize(models.with_credits(markov.with_markov_credit(placed, raw)))
     scores = models.journey_scores(credited)
-    valued = materialize(value.journey_ltv(models.journeys(placed), windowed, ltv))
+    valued = materialize(value.journey_ltv(models.journeys(placed), windowed, ltv, extra))
     averages = value.average_ltv(credited, valued)
     totals = models.channel_totals(credited)
     effects = value.join_average_ltv(markov.removal_effects(raw), averages)
     keys = [*COHORT, "user_guid", "journey_no"]
-    per_journey = valued.select(*keys, value.PRODUCT, value.LTV)
+    per_journey = valued.select(*keys, value.PRODUCT, value.LTV, *extra)
     user_rows = scores.filter("conversion_value = 1").join(per_journey, keys)
-    user_rows = user_rows.withColumn("removal_effect_ltv", value.effect_ltv())
+    user_rows = models.with_texts(user_rows.withColumn("removal_effect_ltv", value.effect_ltv()))
     mart = marts.channel_mart(totals)
     return Results(
         user_journeys=reported_type(user_rows),
@@ -71,15 +76,94 @@ def attribute(windowed: DataFrame, ltv: DataFrame, rule: str = "last_visit", cha
     )
 
 
-def run(visits: DataFrame, ltv: DataFrame, as_of: date, output: str) -> dict[str, str]:
-    """Classify, window, attribute and write; the last 15 days are replaced on every run."""
+# The data tests of the marts.
+MART_RULES = {
+    "mart_channel": (["run_date", "conversion_window"], {"conversion_type": ["Trial", "Subscription", "Registration"]}),
+    "mart_removal_ltv": (["run_date"], {"conversion_type": ["Trial", "Subscription", "Registration"]}),
+}
+
+
+def publish(tables: dict[str, DataFrame], output: str, writers: dict[str, Callable[[DataFrame, str], None]]) -> dict[str, str]:
+    """Write all tables aside, counting the violations of their rules on the way, then replace what they stand for.
+
+    Nothing is replaced unless every table was written and no rule is broken.
+    """
+    staged, watches = {}, []
+    for name, table in tables.items():
+        if name in MART_RULES:
+            table, watch = checks.observed(table, *MART_RULES[name])
+            watches.append(watch)
+        staged[name] = materialize(table)
+    for watch in watches:
+        checks.require_observed(watch)
+    paths = {name: f"{output}/{name}" for name in tables}
+    for name, table in staged.items():
+        writers.get(name, sinks.replace_cohorts)(table, paths[name])
+    return paths
+
+
+def run(
+    visits: DataFrame,
+    ltv: DataFrame,
+    as_of: date,
+    output: str,
+    days: int = RUN_DAYS,
+    types: tuple[str, ...] | None = None,
+    rule: str = "last_visit",
+    windows: dict[int, int] = WINDOWS,
+    extra: tuple[str, ...] = (),
+    mean_values: bool = False,
+) -> dict[str, str]:
+    """Classify, window, attribute, check and write; the last `days` days are replaced on every run.
+
+    A back-fill is a run of more days. `types` limits the types of conversion, `windows` the look-backs (name to days),
+    `rule` says which visits convert, `extra` adds columns of the product join, and with `mean_values` several values of
+    one order count as their mean.
+    """
+    if types:
+        visits = visits.filter(F.col("conversion_type").isin(*types))
     # Conversions outside the run dates are filtered at the scan, before copies are dropped.
-    classified = materialize(run_dates(classify(visits), as_of))
-    windowed = materialize(conversion_windows(classified, as_of).withColumn("run_date", F.to_date(CONV_TS)))
-    results = attribute(windowed, recent_ltv(ltv, as_of))
-    paths = {}
-    for name, table in vars(results).items():
-        paths[name] = f"{output}/{name}"
-        write = sinks.replace_days if name == "conversion_time" else sinks.replace_cohorts
-        write(table, paths[name])
+    classified = materialize(run_dates(classify(visits), as_of, days))
+    found = conversion_windows(classified, as_of, windows, days)
+    windowed = materialize(found.withColumn("run_date", F.to_date(CONV_TS)))
+    values = recent_ltv(ltv, as_of, days)
+    results = attribute(windowed, value.mean_ltv(values) if mean_values else values, rule, extra=extra)
+    return publish(vars(results), output, {"conversion_time": sinks.replace_days})
+
+
+def run_rolling(visits: DataFrame, output: str, conversion_type: str = "Subscription", days: int = 90) -> dict[str, str]:
+    """Cohorts of every conversion date over the `days` before it: four tables, replaced by cohort."""
+    labelled = materialize(classify(visits).withColumn(TOUCHPOINT, touchpoint_label()))
+    placed = materialize(touches(rolling_cohorts(labelled, conversion_type, days), "conversion_day"))
+    steps = materialize(markov.edges(placed))
+    raw = materialize(markov.removal_effects_raw(steps))
+    credited = materialize(models.with_credits(markov.with_markov_credit(placed, raw)))
+    tables = {
+        "rolling_transitions": markov.transitions(steps),
+        "rolling_removal_effects": markov.removal_effects(raw),
+        "rolling_user_journeys": models.with_texts(models.journey_scores(credited)),
+        "rolling_channel_level": models.channel_totals(credited),
+    }
+    return publish(tables, output, {})
+
+
+def run_app_events(events: DataFrame, output: str) -> dict[str, str]:
+    """The four daily tables of the app, their days replaced."""
+    daily = {
+        "daily_installs": appevents.daily_installs,
+        "daily_engagement": appevents.daily_engagement,
+        "daily_subscription_events": appevents.daily_subscription_events,
+        "daily_purchases": appevents.daily_purchases,
+    }
+    paths = {name: f"{output}/{name}" for name in daily}
+    for name, build in daily.items():
+        sinks.write_mart(build(events), paths[name], sinks.MART_CLUSTERS[name])
     return paths
+
+
+def run_median_history(visits: DataFrame, first: date, last: date, output: str) -> str:
+    """Median days to convert of every conversion date of a span; the table is replaced whole."""
+    path = f"{output}/median_history"
+    medians = timing.median_days_by_date(visits).filter(F.col("run_date").between(F.lit(first), F.lit(last)))
+    sinks.truncate(materialize(medians), path)
+    return path

@@ -643,8 +643,17 @@ _BODY: dict[str, str] = {
     "write_truncate": f"SELECT {STAGE}, run_date, median(time_to_convert) AS median_days FROM stage_rows GROUP BY conversion_type, run_date",
     "write_skip_empty": """SELECT * FROM (VALUES ('filled', true), ('empty', false)) t(input, written),
         (SELECT count(*) AS kept_rows FROM totals)""",
-    "mart_partitioned": f"""SELECT event_date, count(*) AS groups, CAST(sum(total_purchases) AS BIGINT) AS purchases
-        FROM ({DAILY_PURCHASES}) GROUP BY ALL""",
+    "mart_partitioned": f"""
+        SELECT 'daily_installs' AS mart, {DIMS}, count(*) AS total, count(DISTINCT user_id) AS users, NULL AS event_name,
+            NULL AS payment_method_type, NULL AS purchase_type, NULL AS currency, CAST(NULL AS DOUBLE) AS total_revenue
+        FROM installs GROUP BY {DIMS}
+        UNION ALL BY NAME SELECT 'daily_engagement' AS mart, {DIMS}, event_name, count(*) AS total,
+            count(DISTINCT user_id) AS users FROM engagement GROUP BY {DIMS}, event_name
+        UNION ALL BY NAME SELECT 'daily_subscription_events' AS mart, {DIMS}, event_name, payment_method_type,
+            count(*) AS total, count(DISTINCT user_id) AS users
+        FROM subscription_events GROUP BY {DIMS}, event_name, payment_method_type
+        UNION ALL BY NAME SELECT 'daily_purchases' AS mart, {PURCHASE_DIMS}, total_purchases AS total,
+            unique_purchasers AS users, round(total_revenue, 6) AS total_revenue FROM ({DAILY_PURCHASES})""",
     "view_vs_table": """SELECT kind, count(*) AS orders, round(sum(ltv_acquisition_capped_12m), 6) AS total_ltv
         FROM recent_ltv, (VALUES ('view'), ('table')) t(kind) GROUP BY ALL""",
     "touchpoint_label": f"SELECT {KEYS_OUT}, {TOUCHPOINT} AS touchpoint FROM classified",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..operators import appevents, classify, journeys, ltv, markov, marts, model
 from ..runtime import materialize, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables
-from .attribution import attribute
+from .attribution import attribute, run_app_events
 from .stages import AS_OF, Stages, stages
 
 FIRST_RUN, LAST_RUN = AS_OF - timedelta(15), AS_OF - timedelta(1)
@@ -76,12 +77,14 @@ def write_skip_empty(s: Stages) -> DataFrame:
 
 
 def mart_partitioned(s: Stages) -> DataFrame:
-    path = scratch_path(s.spark)
-    sinks.write_mart(appevents.daily_purchases(s.app_events), path, sinks.MART_CLUSTERS["daily_purchases"])
-    back = s.spark.read.parquet(path)
-    return back.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("groups"), F.sum("total_purchases").alias("purchases")
-    )
+    """All rows of the four daily tables, written and read back, with the columns that any of them has."""
+    parts = []
+    for name, path in run_app_events(s.app_events, scratch_path(s.spark)).items():
+        back = s.spark.read.parquet(path).withColumn("mart", F.lit(name))
+        rows = {"installs": "total", "total_events": "total", "total_purchases": "total"}
+        users = {"unique_user_installs": "users", "unique_users": "users", "unique_purchasers": "users"}
+        parts.append(back.withColumnsRenamed(rows | users))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def view_vs_table(s: Stages) -> DataFrame:

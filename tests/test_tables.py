@@ -10,7 +10,8 @@ from journeylens import checks
 from journeylens.functions import fields, labels
 from journeylens.names import USER, VISIT_TS
 from journeylens.operators import appevents, journeys, ltv, models, timing
-from journeylens.plans.attribution import attribute, reported_type, run
+from journeylens.operators import ltv as value_columns
+from journeylens.plans.attribution import attribute, reported_type, run, run_median_history, run_rolling
 from journeylens.runtime import materialize, scratch_path, scratch_root
 from journeylens.sinks import tables as sinks
 from journeylens.sources import tables
@@ -216,16 +217,20 @@ def test_scratch_is_the_folder_of_the_session(spark):
     assert scratch_root(spark) == configured.rstrip("/") if configured else scratch_root(spark)
 
 
-def test_daily_run_writes_all_tables_twice_alike(spark):
+def daily_visits(spark, kind="Trial"):
     users = []
     for u in range(12):
         users += [(f"u{u}", "2024-01-19 01:00:00", None, 0), (f"u{u}", "2024-01-20 12:00:00", None, 1)]
-    base = with_product(visits(spark, users).drop("touchpoint", "conversion_window"))
+    base = with_product(visits(spark, users, kind=kind).drop("touchpoint", "conversion_window"))
     constant = {"b2b_b2c": "B2C", "visit_traffic_source_type": "Search", "visit_traffic_source_name": "Bing",
                 "segment_name": "s", "segment_campaign_name": "c", "segment_campaign_grouping": "g", "segment_channel": "h",
                 "visit_device_type": "mobile", "geo_country_name": "GB", "product_name": "FT Weekend", "user_cohort_primary": "new",
                 "b2c_product_type": "x", "b2c_product_name_and_term": "y"}
-    rows = base.select("*", F.lit(False).alias("is_campaign_landing"), *[F.lit(v).alias(k) for k, v in constant.items()])
+    return base.select("*", F.lit(False).alias("is_campaign_landing"), *[F.lit(v).alias(k) for k, v in constant.items()])
+
+
+def test_daily_run_writes_all_tables_twice_alike(spark):
+    rows = daily_visits(spark)
     path = scratch_path(spark)
     value = orders(spark, [("u1", 8.0, "2024-01-20", 1)])
     paths = run(rows, value, date(2024, 1, 31), path)
@@ -238,6 +243,56 @@ def test_daily_run_writes_all_tables_twice_alike(spark):
     assert mart == {w: (touchpoint, "organic search", 4.0) for w in (30, 60, 90)}
 
 
+def test_run_arguments(spark):
+    rows = daily_visits(spark).unionByName(daily_visits(spark, "Subscription")).withColumn("is_app_conversion", F.lit(True))
+    value = orders(spark, [("u1", 8.0, "2024-01-20", 1), ("u1", 4.0, "2024-01-20", 1)])
+    path = scratch_path(spark)
+    # Forty days later only a back-fill reaches the conversions.
+    nothing = run(rows, value, date(2024, 2, 29), f"{path}/a")["channel_level"]
+    assert spark.read.schema("channels string").parquet(nothing).count() == 0
+    options = {"days": 45, "types": ("Trial",), "windows": {30: 31}, "rule": "last_visit_only"}
+    paths = run(rows, value, date(2024, 2, 29), f"{path}/b", extra=("is_app_conversion",), mean_values=True, **options)
+    journeys_ = spark.read.parquet(paths["user_journeys"])
+    assert {(r.conversion_type, r.conversion_window) for r in journeys_.collect()} == {("Trial", 30)}
+    touchpoint = "organic | search | bing | Bing | mobile | GB | new | FT Weekend"
+    row = journeys_.filter("user_guid = 'u1'").collect()
+    # One row: the two values of the order count as their mean.
+    assert [(r.channels_agg, r.is_app_conversion, r[value_columns.LTV]) for r in row] == [(f"{touchpoint} > {touchpoint}", True, 6.0)]
+    assert row[0].attribution_last_click_heuristic == "0.000000 > 1.000000"
+
+
+def test_a_broken_rule_stops_the_run_before_anything_is_replaced(spark):
+    path = scratch_path(spark)
+    value = orders(spark, [("u1", 8.0, "2024-01-20", 1)])
+    paths = run(daily_visits(spark), value, date(2024, 1, 31), path)
+    before = {name: sorted(map(repr, spark.read.parquet(p).collect())) for name, p in paths.items()}
+    both = daily_visits(spark).unionByName(daily_visits(spark, "Renewal"))
+    with pytest.raises(ValueError, match="accepted_values:conversion_type"):
+        run(both, value, date(2024, 1, 31), path)
+    assert before == {name: sorted(map(repr, spark.read.parquet(p).collect())) for name, p in paths.items()}
+
+
+def test_rolling_run_writes_four_tables(spark):
+    path = scratch_path(spark)
+    paths = run_rolling(daily_visits(spark, "Subscription"), path)
+    run_rolling(daily_visits(spark, "Subscription"), path)
+    rows = {name: spark.read.parquet(p) for name, p in paths.items()}
+    assert rows["rolling_channel_level"].count() == 1 and rows["rolling_user_journeys"].count() == 24
+    effects = rows["rolling_removal_effects"].collect()
+    assert [(str(r.run_date), r.removal_effect) for r in effects] == [("2024-01-20", 100.0)]
+    assert {(r.source, r.destination) for r in rows["rolling_transitions"].collect()} == {
+        ("(start)", effects[0].channel), (effects[0].channel, "(conversion)")
+    }
+
+
+def test_median_history_is_replaced_whole(spark):
+    path = scratch_path(spark)
+    found = run_median_history(daily_visits(spark), date(2024, 1, 1), date(2024, 1, 31), path)
+    assert [(r.stage, str(r.run_date), r.median_days) for r in spark.read.parquet(found).collect()] == [("trial", "2024-01-20", 1.0)]
+    run_median_history(daily_visits(spark), date(2024, 2, 1), date(2024, 2, 2), path)
+    assert spark.read.schema("stage string").parquet(found).count() == 0
+
+
 def test_nested_json_values_are_null(spark):
     df = spark.createDataFrame([('{"a": {"b": 1}, "c": "{plain", "d": [1]}',), ('{"a": "[x]", "c": 2}',), ("{broken",)], "j string")
     flat = fields.json_fields(df, "j", {"a": "string", "c": "string", "d": "string"})
