@@ -26,8 +26,8 @@ from ..runtime import materialize
 
 CAPACITY = 2048
 END = 0
-#: Words that a task remembers the ids of (some 150 MB), and the longest that it does.
-REMEMBERED = 500_000
+#: Words that a task remembers the ids of (some 90 MB), and the longest that it does.
+REMEMBERED = 300_000
 REMEMBERED_LENGTH = 60
 ROWS = 256
 #: Characters of a long text that are tokenised at a time, cut at a space.

@@ -21,6 +21,8 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 #: A document goes if it is over four times likelier to be poor than good.
 KEEP_FROM = 0.2
+#: Rows that are filtered at a time.
+ROWS = 256
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 #: Labelled documents of each class that the classifier is fitted on, at most.
@@ -227,12 +229,14 @@ def keep(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rated = rate((t.as_py() for t in batch.column(at)), shared.value)
-            kept = [
-                n >= MIN_WORDS and 100 * repeated <= MAX_REPEATED_PERCENT * n and (chance is None or chance >= KEEP_FROM)
-                for n, _, _, _, repeated, chance in rated
-            ]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                rated = rate((t.as_py() for t in part.column(at)), shared.value)
+                kept = [
+                    n >= MIN_WORDS and 100 * repeated <= MAX_REPEATED_PERCENT * n and (chance is None or chance >= KEEP_FROM)
+                    for n, _, _, _, repeated, chance in rated
+                ]
+                yield part.filter(pa.array(kept, pa.bool_()))
 
     return documents.mapInArrow(apply, documents.schema)
 

@@ -25,6 +25,8 @@ MARGIN = 1.0
 #: Documents labelled good that the target model is counted from at most, those of the smallest hashes of their ids.
 TARGET_DOCUMENTS = 20_000
 CHARACTERS = 1 << 20
+#: Rows that are filtered at a time.
+ROWS = 256
 _REPEAT = np.uint64(1)
 
 
@@ -167,8 +169,10 @@ def keep(documents: DataFrame, labels: DataFrame, share: float | None = None, ra
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, rank = keys(batch.column(id_at), batch.column(at), shared.value)
-            back = -1 - batch.column(id_at).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array((rank > least[0]) | ((rank == least[0]) & (back >= least[1]))))
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                _, _, rank = keys(part.column(id_at), part.column(at), shared.value)
+                back = -1 - part.column(id_at).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+                yield part.filter(pa.array((rank > least[0]) | ((rank == least[0]) & (back >= least[1]))))
 
     return documents.mapInArrow(apply, documents.schema)
