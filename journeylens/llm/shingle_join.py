@@ -12,7 +12,9 @@ pair of documents meet with a chance of some |x| * |y| / 2^64). Two sets link wh
 4. `listed` sorts each posting list by size and names neighbours in it, a number of pairs linear in the list.
    `promising` drops pairs whose prefixes share too little for a link. The rest and the members of each group are
    verified on whole sets, and components are formed.
-   The places of a shared token in two prefixes bound what the sets can share. Then each group whose list holds other components is held against one of them, again a linear number.
+   The places of a shared token in two prefixes bound what the sets can share. Then, in rounds, each group whose list
+   holds other components is held against a fixed number of groups of one of them, again a linear number. Rounds go on
+   while they merge components at a rate that saves more pairs in step 5 than they try.
 5. What may still be missing are links between different components: pairs of groups that share a list, are promising
    and lie in different components are expanded to their members and verified too.
 
@@ -43,6 +45,10 @@ FREQUENT = 1 << 17
 FREQUENT_FROM = 8
 #: A posting list is dealt to several tasks if its shingle is known to be in more documents than this.
 LIST_ROWS = 10_000
+#: Groups of another component that a posting is held against in a round.
+TURNS = 8
+#: Rounds end when fewer than one in so many of their pairs are links; step 5 has the rest.
+SETTLED = 100
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -321,12 +327,19 @@ def near_copies(documents: DataFrame) -> DataFrame:
     links = links.unionByName(pooled)
     labels = materialize(components(links))
     done = neighbours.unionByName(candidates)
-    for step in (_between, _across):
-        more = materialize(step(lists, posted, members, labels).join(done, ["a", "b"], "left_anti"))
+    turn, settled = 0, False
+    while not settled:
+        fits = _between(lists, posted, members, labels, turn)
+        more = materialize(fits.join(done, ["a", "b"], "left_anti"))
         found = materialize(verify(more, documents))
-        if not found.limit(1).count():
-            continue
+        linked = found.count()
+        settled = linked == 0 or SETTLED * linked < more.count()
         done = done.unionByName(more)
+        labels = materialize(relabel(labels, found)) if linked else labels
+        turn += TURNS
+    more = materialize(_across(lists, posted, members, labels).join(done, ["a", "b"], "left_anti"))
+    found = materialize(verify(more, documents))
+    if found.limit(1).count():
         labels = materialize(relabel(labels, found))
 
     classes = materialize(
@@ -358,13 +371,19 @@ def _open_lists(lists: DataFrame, members: DataFrame, labels: DataFrame) -> tupl
     return labelled, spread, materialize(listing.join(split, "token"))
 
 
-def _between(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """For each posting of a list with several components, a pair (a, b) with a group of another one."""
+def _between(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame, first: int) -> DataFrame:
+    """For each posting of a list with several components, TURNS pairs (a, b) with groups of another one.
+
+    Rounds that start with another `first` turn draw other groups.
+    """
     _, _, rows = _open_lists(lists, members, labels)
-    turn = F.struct("low", F.xxhash64("token", "gid").alias("turn"), "gid", "n", "at")
-    ends = materialize(rows.groupBy("token").agg(F.min(turn).alias("x"), F.max(turn).alias("y")))
-    other = F.when(F.col("low") == F.col("x.low"), F.col("y")).otherwise(F.col("x"))
-    pairs = rows.join(ends, "token").select("gid", "n", "at", other.alias("other"))
+    turns = [
+        F.struct("low", F.xxhash64("token", "gid", F.lit(first + i)).alias("turn"), "gid", "n", "at") for i in range(TURNS)
+    ]
+    lows, highs = F.array(*(F.min(t) for t in turns)), F.array(*(F.max(t) for t in turns))
+    ends = materialize(rows.groupBy("token").agg(lows.alias("x"), highs.alias("y")))
+    others = F.when(F.col("low") == F.col("x")[0]["low"], F.col("y")).otherwise(F.col("x"))
+    pairs = rows.join(ends, "token").select("gid", "n", "at", F.explode(others).alias("other"))
     sizes = _may_link(F.col("n"), F.col("at"), F.col("other.n"), F.col("other.at"))
     fits = pairs.filter(sizes & (F.col("gid") != F.col("other.gid"))).select(*_pair("gid", "other.gid")).distinct()
     return promising(fits, posted)
