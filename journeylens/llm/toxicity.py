@@ -2,7 +2,8 @@
 
 The score is linear in the distinct words of a text (runs of letters, lower case) and their beginnings. It minimises the
 corrected risk prior * E_toxic[loss(+)] + max(0, E_unlabelled[loss(-)] - prior * E_toxic[loss(-)]) with the logistic
-loss; where the second part falls below zero, its gradient is followed back up. The prior is the share of toxic ones among the labels of
+loss; where the second part falls below zero, its gradient is followed back up. Rare features are held closer to zero, by
+a penalty that grows with the square of their rarity, instead of being left out. The prior is the share of toxic ones among the labels of
 the training folds. The examples are bounded samples of whole texts; scoring covers every text whole.
 """
 
@@ -22,8 +23,10 @@ from .common import crc_fold
 #: Texts that the classifier is fitted on, at most.
 POSITIVES = 3000
 UNLABELLED = 6000
-#: A word or beginning counts if so many of the toxic examples have it, and such a share of them.
-LEAST_EXAMPLES, LEAST_SHARE = 3, 0.025
+#: A word or beginning counts if so many of the toxic examples have it.
+LEAST_EXAMPLES = 3
+#: Penalty on squared weights; that of a feature in less than this share of the toxic examples is larger.
+PENALTY, USUAL_SHARE = 1e-3, 0.025
 BEGINNINGS = (4, 5, 6, 7)
 #: Words remembered by a task.
 REMEMBERED = 500_000
@@ -52,6 +55,8 @@ def _fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, width: int)
     """Weights, the last one for the constant, by gradient steps with momentum."""
     at, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     p, u = positive / max(positive.sum(), 1), (1 - positive) / max((1 - positive).sum(), 1)
+    share = np.bincount(at, p[owner], width)
+    penalty = PENALTY * np.maximum(1, USUAL_SHARE / np.maximum(share, 1e-9)) ** 2
     weights, speed = np.zeros(width + 1), np.zeros(width + 1)
     weights[-1] = -1.0
     for _ in range(600):
@@ -61,7 +66,7 @@ def _fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, width: int)
         rise = (u - prior * p) * chance
         error = prior * p * (chance - 1) + rise if negative >= 0 else -rise
         slope = np.append(np.bincount(at, error[owner], width), error.sum())
-        slope[:-1] += 1e-3 * weights[:-1]
+        slope[:-1] += penalty * weights[:-1]
         speed = 0.9 * speed + slope
         weights -= 0.2 * speed
     return weights
@@ -94,7 +99,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
     if not positive.sum():
         return None
     vocabulary, seen = np.unique(np.concatenate([s for s, y in zip(sets, positive) if y]), return_counts=True)
-    vocabulary = vocabulary[seen >= max(LEAST_EXAMPLES, LEAST_SHARE * positive.sum())]
+    vocabulary = vocabulary[seen >= LEAST_EXAMPLES]
     numbered = [_at(vocabulary, s) for s in sets]
     weights = _fit(numbered, positive, toxic / judged, len(vocabulary))
     return vocabulary, weights[:-1], float(weights[-1])

@@ -363,3 +363,19 @@ def test_descent_reaches_pairs_among_unrelated_vectors(spark):
 
 def test_pattern_is_the_one_of_the_vocabulary():
     assert regex.compile(public_tokenizers.PATTERN).findall("it's 5") == ["it", "'s", " 5"]
+
+
+def test_toxicity_risk_falls_and_rare_words_count():
+    """400 toxic examples, of which three hold word 2 only; word 0 is common to the others, word 1 to all unlabelled ones."""
+    sets = [np.array([2])] * 3 + [np.array([0, 1])] * 397 + [np.array([1])] * 800
+    positive = np.r_[np.ones(400), np.zeros(800)]
+    weights = toxicity._fit(sets, positive, 0.1, 3)
+
+    def risk(w):
+        z = np.array([w[s].sum() + w[-1] for s in sets])
+        up, down = np.logaddexp(0, -z), np.logaddexp(0, z)
+        return 0.1 * up[:400].mean() + max(0.0, down[400:].mean() - 0.1 * down[:400].mean())
+
+    assert risk(weights) < risk(np.array([0.0, 0.0, 0.0, -1.0]))
+    assert 0 < weights[2] < weights[0]
+    assert weights[1] < 0
