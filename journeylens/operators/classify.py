@@ -8,6 +8,7 @@ repeat tests on the source name. The chains run over the distinct sources only.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import contains, first_match
+from ..names import VISIT_TS
 from ..runtime import materialize
+from ..sinks.tables import replace_partitions
 
 MIN_SOURCE_FREQUENCY = 10
 
@@ -288,15 +291,44 @@ def label_sources(sources: DataFrame) -> DataFrame:
     return labelled.select(*plain, *LABELS[:5], channel.alias("channel"), platform.alias("platform"))
 
 
-def source_dictionary(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
+def daily_sources(visits: DataFrame) -> DataFrame:
+    """B2C visits per day and source: rows (SOURCE_KEYS, rows_, visit_date), no date for visits without a time."""
+    day = F.to_date(VISIT_TS).alias("visit_date")
+    counts = visits.filter("b2b_b2c = 'B2C'").groupBy(*SOURCE_KEYS, day).agg(F.count(F.lit(1)).alias("rows_"))
+    return counts.select(*SOURCE_KEYS, "rows_", "visit_date")
+
+
+def refresh_sources(visits: DataFrame, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The table of daily source counts at `path` after the days `first` to `last` were counted anew.
+
+    Only visits of these days, and those without a time, are read; without bounds it is the whole history, as when
+    the table is made. Late visits count as soon as their day is refreshed. Visits are only ever added: a day
+    that has none left keeps its counts.
+    """
+    if first or last:
+        time = F.col(VISIT_TS)
+        held = time >= F.lit(first).cast("timestamp") if first else F.lit(True)
+        held = held & (time < F.date_add(F.lit(last), 1).cast("timestamp") if last else F.lit(True))
+        visits = visits.filter(held | time.isNull())
+    counts = daily_sources(visits)
+    replace_partitions(counts, path, ["visit_date"])
+    return visits.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def source_dictionary(
+    visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY, counts: DataFrame | None = None
+) -> DataFrame:
     """Each distinct source of B2C visits with its labels and the frequency of its type.
 
+    With `counts`, the table kept by `refresh_sources`, its days are summed and the history is not read.
+
     One pass over the source columns, combined before the shuffle. Some 200 patterns are
     then tested once per source, not once per visit; and frequencies come from these counts
     instead of a window over few, huge groups.
     """
-    b2c = visits.filter("b2b_b2c = 'B2C'")
-    sources = materialize(b2c.groupBy(*SOURCE_KEYS).agg(F.count(F.lit(1)).alias("rows_")))
+    counted = F.count(F.lit(1)) if counts is None else F.sum("rows_")
+    rows = visits.filter("b2b_b2c = 'B2C'") if counts is None else counts
+    sources = materialize(rows.groupBy(*SOURCE_KEYS).agg(counted.alias("rows_")))
     types = sources.groupBy(F.col("visit_traffic_source_type").alias("kind_")).agg(
         F.sum("rows_").alias("source_frequency")
     )
@@ -305,19 +337,21 @@ def source_dictionary(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -
     return label_sources(kept.drop("rows_", "kind_"))
 
 
-def frequent_sources(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
+def frequent_sources(
+    visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY, counts: DataFrame | None = None
+) -> DataFrame:
     """B2C rows whose source type occurs often enough, with that frequency."""
-    return _look_up(visits.filter("b2b_b2c = 'B2C'"), source_dictionary(visits, at_least), ["source_frequency"])
+    return _look_up(visits.filter("b2b_b2c = 'B2C'"), source_dictionary(visits, at_least, counts), ["source_frequency"])
 
 
-def classify(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY) -> DataFrame:
+def classify(visits: DataFrame, at_least: int = MIN_SOURCE_FREQUENCY, counts: DataFrame | None = None) -> DataFrame:
     """Frequent B2C visits without exact copies, labelled.
 
     Frequency and labels follow from the row, so copies go first, then the dictionary is
     looked up. Being a written table, it is broadcast only if it is small.
     """
     b2c = visits.filter("b2b_b2c = 'B2C'").dropDuplicates()
-    return _look_up(b2c, source_dictionary(visits, at_least), ["source_frequency", *LABELS])
+    return _look_up(b2c, source_dictionary(visits, at_least, counts), ["source_frequency", *LABELS])
 
 
 def _look_up(visits: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..names import COHORT, CONV_TS, JOURNEY, MODELS, USER
+from ..runtime import materialize
 from .models import SCORE_DIGITS
+from .skew import salted_left_join
 
 LTV = "ltv_acquisition_capped_12m"
 PRODUCT = "product_arrangement_id"
@@ -35,17 +37,21 @@ def converted_only(df: DataFrame) -> DataFrame:
 
 
 def join_ltv(journeys: DataFrame, ltv: DataFrame) -> DataFrame:
-    """Attach the value of the order of the same product and day."""
+    """Attach the value of the order of the same product and day; journeys should be a written table.
+
+    Unknown products of a day all have one key, which is dealt to several tasks if it has many journeys.
+    """
     orders = ltv.filter(F.col(LTV).isNotNull()).select(
         PRODUCT, F.to_date(ORDER_TS).alias("run_date"), F.col(LTV).cast("double").alias(LTV)
     )
-    return journeys.join(orders, [PRODUCT, "run_date"], "left")
+    spread = [c for c in JOURNEY if c in journeys.columns]
+    return salted_left_join(journeys, orders, [PRODUCT, "run_date"], spread)
 
 
 def journey_ltv(journeys: DataFrame, visits: DataFrame, ltv: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Converted journeys with product and value; one row per matching order."""
     with_product = fill_product(join_product(converted_only(journeys), visits, extra))
-    return join_ltv(with_product, ltv)
+    return join_ltv(materialize(with_product), ltv)
 
 
 def average_ltv(credited: DataFrame, valued: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ..functions.labels import touchpoint_label
 from ..names import COHORT, CONV_TS, TOUCHPOINT, WINDOWS
 from ..operators import ltv as value
 from ..operators import appevents, markov, marts, models, timing
-from ..operators.classify import classify
+from ..operators.classify import classify, refresh_sources
 from ..operators.journeys import SPLIT_KEYS, per_window, touches, touches_once
 from ..operators.windows import conversion_windows, rolling_cohorts
 from ..runtime import materialize, materialize_by
@@ -113,17 +113,20 @@ def run(
     windows: dict[int, int] = WINDOWS,
     extra: tuple[str, ...] = (),
     mean_values: bool = False,
+    source_counts: str | None = None,
 ) -> dict[str, str]:
     """Classify, window, attribute, check and write; the last `days` days are replaced on every run.
 
     A back-fill is a run of more days. `types` limits the types of conversion, `windows` the look-backs (name to days),
     `rule` says which visits convert, `extra` adds columns of the product join, and with `mean_values` several values of
-    one order count as their mean.
+    one order count as their mean. `source_counts` is the folder of a table made by `refresh_sources`: the run counts its
+    own days anew and takes the rest from there, instead of counting the sources of all history.
     """
+    counts = refresh_sources(visits, source_counts, as_of - timedelta(days), as_of) if source_counts else None
     if types:
         visits = visits.filter(F.col("conversion_type").isin(*types))
     # Conversions outside the run dates are filtered at the scan, before copies are dropped.
-    classified = materialize(run_dates(classify(visits), as_of, days))
+    classified = materialize(run_dates(classify(visits, counts=counts), as_of, days))
     found = conversion_windows(classified, as_of, windows, days)
     windowed = materialize(found.withColumn("run_date", F.to_date(CONV_TS)))
     values = recent_ltv(ltv, as_of, days)

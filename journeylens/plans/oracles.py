@@ -623,6 +623,9 @@ HEURISTIC_TOTALS = f"""SELECT {COHORT}, channel AS channels,
     {', '.join(six(f'sum({s})') + f' AS {s}' for s in SCORES[:4])} FROM {{}} GROUP BY ALL"""
 DEDUP_LTV = products("product_arrangement_id, is_app_conversion")
 
+SOURCE_FREQUENCY = """SELECT visit_traffic_source_type, source_frequency, count(*) AS visits FROM (
+    SELECT *, count(*) OVER (PARTITION BY visit_traffic_source_type) AS source_frequency
+    FROM visits WHERE b2b_b2c = 'B2C') WHERE source_frequency >= 10 GROUP BY ALL"""
 _BODY: dict[str, str] = {
     "src_visits": f"SELECT {VISIT_18} FROM visits",
     "src_app_events": "SELECT * EXCLUDE (partition_date) FROM app_events WHERE partition_date >= DATE '2023-01-01'",
@@ -771,9 +774,8 @@ _BODY: dict[str, str] = {
         {six('sum(' + six(f'c.{MARKOV} * ltv_acquisition_capped_12m') + ')')} AS total_ltv
         FROM credited c JOIN valued v USING ({JOURNEY})
         WHERE c.conversion_value = 1 AND ltv_acquisition_capped_12m IS NOT NULL GROUP BY ALL""",
-    "source_frequency": """SELECT visit_traffic_source_type, source_frequency, count(*) AS visits FROM (
-        SELECT *, count(*) OVER (PARTITION BY visit_traffic_source_type) AS source_frequency
-        FROM visits WHERE b2b_b2c = 'B2C') WHERE source_frequency >= 10 GROUP BY ALL""",
+    "source_frequency": SOURCE_FREQUENCY,
+    "source_frequency_daily": SOURCE_FREQUENCY,
     "user_max_date": f"SELECT {COHORT}, user_guid, max(attribution_visit_start_time) AS last_visit FROM windowed GROUP BY ALL",
     "running_journey_no": f"""SELECT {COHORT}, count(*) AS touches, CAST(sum(journey_no) AS BIGINT) AS journey_sum,
         max(journey_no) AS last_journey FROM rolling_touches GROUP BY ALL""",

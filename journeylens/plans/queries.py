@@ -278,6 +278,18 @@ def source_frequency(s: Stages) -> DataFrame:
     return rows.groupBy("visit_traffic_source_type", "source_frequency").agg(F.count(F.lit(1)).alias("visits"))
 
 
+def source_frequency_daily(s: Stages) -> DataFrame:
+    """The same from a table of daily counts, made ten days before the last visit and brought up to date with late rows."""
+    path = scratch_path(s.spark)
+    last = s.visits.agg(F.max(F.to_date(VISIT_TS))).first()[0]
+    if last is None:
+        return source_frequency(s)
+    classify.refresh_sources(s.visits, path, last=last - timedelta(10))
+    counts = classify.refresh_sources(s.visits, path, last - timedelta(20), last)
+    rows = classify.frequent_sources(s.visits, counts=counts)
+    return rows.groupBy("visit_traffic_source_type", "source_frequency").agg(F.count(F.lit(1)).alias("visits"))
+
+
 def user_dates(s: Stages, *columns: str) -> DataFrame:
     exploded = windows.explode_windows(s.windowed)
     return timing.user_first_last(exploded, [*COHORT, USER]).select(*COHORT, USER, *columns)
@@ -470,6 +482,7 @@ _BUILD: dict[str, Callable[[Stages], DataFrame]] = {
     "explode_channel_ltv": exploded_ltv,
     # window functions
     "source_frequency": source_frequency,
+    "source_frequency_daily": source_frequency_daily,
     "user_max_date": lambda s: user_dates(s, "last_visit"),
     "running_journey_no": lambda s: rolling_touches(s).groupBy(*COHORT).agg(
         F.count(F.lit(1)).alias("touches"), F.sum("journey_no").alias("journey_sum"),

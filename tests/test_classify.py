@@ -1,9 +1,12 @@
 """Labels worked out by hand, source by source."""
 
+from datetime import date, datetime
+
 import pytest
 from helpers import by
 
 from journeylens.operators import classify as c
+from journeylens.runtime import scratch_path
 
 COLUMNS = (
     "visit_traffic_source_type string, visit_traffic_source_name string, segment_name string, "
@@ -164,6 +167,29 @@ def test_lookup_is_exact_beyond_a_broadcast(spark):
     assert len(broadcast) == 200
 
 
+def test_daily_source_counts_equal_the_full_pass(spark):
+    """Five days refreshed one after the other, late rows of the day before and rows without a time included."""
+    schema = COLUMNS + ", b2b_b2c string, attribution_visit_start_time timestamp, seen int"
+    rows = []
+    for i in range(300):
+        day = i % 5 + 1
+        time = None if i % 29 == 0 else datetime(2024, 1, day, 23, 59, 59) if i % 7 else datetime(2024, 1, day)
+        seen = day + (i % 4 == 0)
+        rows.append((f"t{i % 9}" if i % 11 else None, f"n{i % 3}", None, None, None, None, None, "B2C" if i % 13 else "B2B", time, seen))
+    visits = spark.createDataFrame(rows, schema)
+    path = scratch_path(spark)
+    for day in range(1, 7):
+        known = visits.filter(f"seen <= {day}").drop("seen")
+        first = None if day == 1 else date(2024, 1, day - 1)
+        counts = c.refresh_sources(known, path, first, date(2024, 1, day))
+        for least in (1, 20):
+            full, kept = c.frequent_sources(known, least), c.frequent_sources(known, least, counts)
+            assert sorted(map(repr, kept.collect())) == sorted(map(repr, full.collect()))
+    assert counts.agg({"rows_": "sum"}).first()[0] == visits.filter("b2b_b2c = 'B2C'").count()
+    empty = c.refresh_sources(known.limit(0), scratch_path(spark))
+    assert empty.count() == 0 and c.frequent_sources(known.limit(0), counts=empty).count() == 0
+
+
 @pytest.mark.parametrize("chain", [c.MEDIA_TYPE, c.CHANNEL, c.PLATFORM, c.STATIC_CHANNEL, c.STATIC_PLATFORM])
 def test_no_rule_repeats_an_earlier_one(chain):
     seen = []

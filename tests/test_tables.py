@@ -11,6 +11,7 @@ from journeylens.functions import fields, labels
 from journeylens.names import USER, VISIT_TS
 from journeylens.operators import appevents, journeys, ltv, models, timing
 from journeylens.operators import ltv as value_columns
+from journeylens.operators import skew
 from journeylens.plans.attribution import attribute, reported_type, run, run_median_history, run_rolling
 from journeylens.runtime import materialize, scratch_path, scratch_root
 from journeylens.sinks import tables as sinks
@@ -304,3 +305,19 @@ def test_rule_literals_keep_backslashes_and_quotes(spark):
 
     text = "a\\b'c"
     assert spark.range(1).selectExpr(f"{literal(text)} as t").first().t == text
+
+
+def test_hot_keys_are_dealt_evenly_and_joined_alike(spark):
+    """A third of the journeys has no product and so key 0; nulls meet nothing, orders repeat."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40)
+    rows = materialize(spark.range(3000).select("id", key.cast("int").alias("k"), F.lit(date(2024, 1, 20)).alias("d")))
+    other = spark.createDataFrame(
+        [(k, date(2024, 1, 20), float(v)) for k in (0, 1, 2, 2, 99) for v in (1, 2)] + [(None, date(2024, 1, 20), 7.0)],
+        "k int, d date, value double",
+    )
+    parts = skew.key_parts(rows, ["k", "d"], 100)
+    assert [(r.k, r.parts_) for r in parts.collect()] == [(0, 11)]
+    sizes = skew.deal(rows, ["k", "d"], parts, ["id"]).filter("k = 0").groupBy(skew.PART).count().collect()
+    assert len(sizes) == 11 and max(r["count"] for r in sizes) < 2 * 1000 / 11
+    same_rows(skew.salted_left_join(rows, other, ["k", "d"], ["id"], 100), rows.join(other, ["k", "d"], "left"))
+    same_rows(skew.salted_left_join(rows, other, ["k", "d"], ["id"], 10_000), rows.join(other, ["k", "d"], "left"))
