@@ -1,4 +1,5 @@
 import random
+import uuid
 from datetime import date
 
 import numpy as np
@@ -148,6 +149,34 @@ def test_many_states(spark):
     assert raw.count() == n
 
 
+def test_small_groups_share_calls(spark, monkeypatch, tmp_path):
+    """300 groups take a few calls, not one each; the effects do not depend on how many."""
+    rng, counts = random.Random(8), {(START, CONVERSION): 3}
+    for g in range(300):
+        for (a, b), n in random_chain(rng, 3).items():
+            counts[tuple(s if s.startswith("(") else f"g{g}{s}" for s in (a, b))] = n
+    for (a, b), n in list(counts.items()):
+        if a == START:
+            counts[(a, b)] = n + rng.randrange(3)
+    solve = markov._solve
+
+    def counted(frame):
+        (tmp_path / uuid.uuid4().hex).touch()
+        return solve(frame)
+
+    monkeypatch.setattr(markov, "_solve", counted)
+    steps = materialize(chain(spark, counts))
+    effects = by(markov.removal_effects_raw(steps), "channel", "removal_effect_raw")
+    assert len(list(tmp_path.iterdir())) == 1
+    apart = by(markov.removal_effects_raw(steps, 20), "channel", "removal_effect_raw")
+    assert len(list(tmp_path.iterdir())) > 100
+    assert set(effects) == set(apart) == {s for edge in counts for s in edge if s.startswith("g")}
+    assert all(effects[c] == pytest.approx(apart[c], rel=1e-12) for c in effects)
+    base = removed(counts, None)
+    for channel in rng.sample(sorted(effects), 3):
+        assert effects[channel][0] == pytest.approx(1 - removed(counts, channel) / base)
+
+
 def test_no_conversions(spark):
     steps = chain(spark, {(START, "A"): 2, ("A", NULL_STATE): 2})
     raw = markov.removal_effects_raw(steps)
