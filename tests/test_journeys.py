@@ -3,13 +3,15 @@ from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
-from helpers import by, same_rows, visits
+from helpers import at, by, same_rows, visits
 from pyspark.sql import functions as F
 
 from journeylens.names import COHORT, JOURNEY, MODELS, USER, WINDOWS
 from journeylens.operators import journeys, markov, models, windows
+from journeylens.plans import stages
 from journeylens.plans.queries import _BUILD
 from journeylens.runtime import materialize
+from journeylens.sources.tables import run_dates
 
 SCORES = [MODELS[m] for m in ("last_click", "first_click", "position_based", "time_decay")]
 
@@ -195,3 +197,20 @@ def test_rolling_cohorts(spark):
     flags = by(journeys.touches(rolled, "conversion_day"), ["channel", "run_date"], "converting_visit")
     assert flags == {("A", date(2024, 1, 10)): (1,), ("A", date(2024, 1, 12)): (0,),
                      ("B", date(2024, 1, 12)): (1,), ("B", date(2024, 1, 13)): (0,)}
+
+
+def test_only_conversions_of_the_run_dates_are_deduplicated_for_windows(spark, tmp_path):
+    """The windows are those of all classified visits, without dropping copies of the other conversions first."""
+    rows = []
+    for i in range(240):
+        kind = ("view", "signup", "purchase", "click")[i % 4] if i % 5 else None
+        rows.append((i, at(f"2024-01-{1 + i % 30:02d} {i % 24:02d}:00:00"), i // 3 % 8 if i % 19 else None, kind, float(i)))
+    events = spark.createDataFrame(rows + rows[:40], "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    nations = spark.createDataFrame([(i, f"n{i}") for i in range(25)], "n_nationkey int, n_name string")
+    nations.write.parquet(str(tmp_path / "nation.parquet"))
+    stage = stages.Stages(spark, str(tmp_path))
+    kept = materialize(stage.windowed)
+    assert "classified" not in vars(stage)
+    same_rows(kept, run_dates(windows.conversion_windows(stage.classified, stages.AS_OF), stages.AS_OF))
+    assert 0 < kept.count() < stage.classified.count()
