@@ -6,9 +6,10 @@ import pytest
 from helpers import at, by, same_rows, visits
 from pyspark.sql import functions as F
 
+from journeylens.functions import labels
 from journeylens.names import COHORT, JOURNEY, MODELS, USER, WINDOWS
 from journeylens.operators import journeys, markov, models, windows
-from journeylens.plans import stages
+from journeylens.plans import queries, stages
 from journeylens.plans.queries import _BUILD
 from journeylens.runtime import materialize
 from journeylens.sources.tables import run_dates
@@ -214,3 +215,34 @@ def test_only_conversions_of_the_run_dates_are_deduplicated_for_windows(spark, t
     assert "classified" not in vars(stage)
     same_rows(kept, run_dates(windows.conversion_windows(stage.classified, stages.AS_OF), stages.AS_OF))
     assert 0 < kept.count() < stage.classified.count()
+
+
+def test_rolling_rows_are_exploded_into_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    rows = [(f"u{u}", f"2024-01-{d:02d} 01:00:00", "AB"[d % 2], 1) for u in range(9) for d in range(1, 20)]
+    rows = visits(spark, rows, kind="Subscription").withColumn("conversion_visit_timestamp", F.col("attribution_visit_start_time"))
+    rolled = materialize(windows.rolling_cohorts(rows.drop("conversion_window")))
+    usual = materialize(journeys.touches(rolled, "conversion_day"))
+    monkeypatch.setattr(journeys, "TASK_ROWS", 200)
+    split = journeys.touches(rolled, "conversion_day")
+    assert usual.count() == 9 * 190 and split.rdd.getNumPartitions() == 9  # 1,710 rows, 171 before
+    same_rows(usual, split)
+
+
+def test_rolling_queries_drop_copies_of_their_type_only(spark, tmp_path):
+    """They have the rows of all classified visits, days with conversions of another type included."""
+    rows = []
+    for i in range(240):
+        kind = ("view", "signup", "purchase", "click")[i % 4] if i % 5 else None
+        rows.append((i, at(f"2024-01-{1 + i % 30:02d} {i % 24:02d}:00:00"), i // 3 % 8 if i % 19 else None, kind, float(i)))
+    events = spark.createDataFrame(rows + rows[:40], "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    nations = spark.createDataFrame([(i, f"n{i}") for i in range(25)], "n_nationkey int, n_name string")
+    nations.write.parquet(str(tmp_path / "nation.parquet"))
+    stage = stages.Stages(spark, str(tmp_path))
+    placed = materialize(queries.rolling_touches(stage))
+    assert "classified" not in vars(stage)
+    labelled = stage.classified.withColumn("touchpoint", labels.touchpoint_label())
+    same_rows(placed, journeys.touches(windows.rolling_cohorts(labelled), "conversion_day"))
+    days = {row.run_date for row in placed.select("run_date").distinct().collect()}
+    own = stage.subscriptions.select(F.to_date("conversion_visit_timestamp").alias("d")).distinct().collect()
+    assert len(days) > len({row.d for row in own})
