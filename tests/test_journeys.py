@@ -246,3 +246,18 @@ def test_rolling_queries_drop_copies_of_their_type_only(spark, tmp_path):
     days = {row.run_date for row in placed.select("run_date").distinct().collect()}
     own = stage.subscriptions.select(F.to_date("conversion_visit_timestamp").alias("d")).distinct().collect()
     assert len(days) > len({row.d for row in own})
+
+
+def test_journeys_of_a_user_are_counted_before_the_shuffle(spark, monkeypatch):
+    rows = [(f"u{u}", f"2024-01-{d:02d} 01:00:00", "A", 1) for u in ("", 1, "2_J:0") for d in range(1, 9)]
+    rows = visits(spark, rows, kind="Subscription").withColumn("conversion_visit_timestamp", F.col("attribution_visit_start_time"))
+    rows = rows.withColumn("user_guid", F.expr("if(user_guid = 'u', '', user_guid)"))
+    rolled = materialize(windows.rolling_cohorts(rows.drop("conversion_window")))
+    monkeypatch.setattr(queries, "rolling_touches", lambda s: journeys.touches(rolled, "conversion_day", hot_rows=None))
+    counted = queries.user_from_journey_id(None)
+    # Each day of the eight is the one journey of a user that ends on it; the empty user has no text.
+    assert by(counted, "run_date", "journeys", "first_journeys", "users")[date(2024, 1, 5)] == (2, 2, 2)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert not any("journey_no" in line for line in plan.splitlines() if "Exchange" in line)
+    # Of the exchanges, that of the rows is the last: what is between it and the distinct journeys needs none.
+    assert "journey_no" not in plan.split("Exchange")[1].split("\n")[0]
