@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
@@ -327,9 +327,11 @@ def near_copies(documents: DataFrame) -> DataFrame:
     links = links.unionByName(pooled)
     labels = materialize(components(links))
     done = neighbours.unionByName(candidates)
+    # Components only grow together, so a list that lies in one does so in all later rounds.
+    waiting = lists.filter("many").select("token", "gid", "n", "at")
     turn, settled = 0, False
     while not settled:
-        fits = _between(lists, posted, members, labels, turn)
+        fits, waiting = _between(waiting, posted, members, labels, turn)
         more = materialize(fits.join(done, ["a", "b"], "left_anti"))
         found = materialize(verify(more, documents))
         linked = found.count()
@@ -337,7 +339,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
         done = done.unionByName(more)
         labels = materialize(relabel(labels, found)) if linked else labels
         turn += TURNS
-    more = materialize(_across(lists, posted, members, labels).join(done, ["a", "b"], "left_anti"))
+    more = materialize(_across(lists, waiting, posted, members, labels).join(done, ["a", "b"], "left_anti"))
     found = materialize(verify(more, documents))
     if found.limit(1).count():
         labels = materialize(relabel(labels, found))
@@ -352,7 +354,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
 
 
-def _open_lists(lists: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _open_lists(waiting: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members with their components; the least and largest of each group; postings of lists with several of them."""
     labelled = materialize(
         members.join(labels, F.col("doc_id") == F.col("node"), "left").select(
@@ -364,37 +366,44 @@ def _open_lists(lists: DataFrame, members: DataFrame, labels: DataFrame) -> tupl
             F.min("component").alias("low"), F.max("component").alias("high"), (F.count(F.lit(1)) > 1).alias("several")
         )
     )
-    listing = materialize(lists.filter("many").select("token", "gid", "n", "at").join(spread, "gid"))
+    listing = materialize(waiting.join(spread, "gid"))
     split = materialize(
         listing.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
     )
     return labelled, spread, materialize(listing.join(split, "token"))
 
 
-def _between(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame, first: int) -> DataFrame:
-    """For each posting of a list with several components, TURNS pairs (a, b) with groups of another one.
+def _between(
+    waiting: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame, first: int
+) -> tuple[DataFrame, DataFrame]:
+    """For each posting of a list with several components, up to TURNS pairs (a, b) with groups of another one.
 
-    Rounds that start with another `first` turn draw other groups.
+    Rounds that start with another `first` turn draw other groups. Also the postings of these lists, of which alone
+    later rounds may still have some.
     """
-    _, _, rows = _open_lists(lists, members, labels)
+    _, _, rows = _open_lists(waiting, members, labels)
     turns = [
         F.struct("low", F.xxhash64("token", "gid", F.lit(first + i)).alias("turn"), "gid", "n", "at") for i in range(TURNS)
     ]
     lows, highs = F.array(*(F.min(t) for t in turns)), F.array(*(F.max(t) for t in turns))
     ends = materialize(rows.groupBy("token").agg(lows.alias("x"), highs.alias("y")))
     others = F.when(F.col("low") == F.col("x")[0]["low"], F.col("y")).otherwise(F.col("x"))
-    pairs = rows.join(ends, "token").select("gid", "n", "at", F.explode(others).alias("other"))
-    sizes = _may_link(F.col("n"), F.col("at"), F.col("other.n"), F.col("other.at"))
-    fits = pairs.filter(sizes & (F.col("gid") != F.col("other.gid"))).select(*_pair("gid", "other.gid")).distinct()
-    return promising(fits, posted)
 
+    def may_link(other: Column) -> Column:
+        return _may_link(F.col("n"), F.col("at"), other["n"], other["at"]) & (F.col("gid") != other["gid"])
 
-def _across(lists: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    # Judged before rows are made of them; in a short list several turns draw the same group.
+    drawn = F.array_distinct(F.transform(F.filter(others, may_link), lambda other: other["gid"]))
+    fits = rows.join(ends, "token").select("gid", F.explode(drawn).alias("other")).select(*_pair("gid", "other")).distinct()
+    return promising(fits, posted), rows.select("token", "gid", "n", "at")
+
+
+def _across(lists: DataFrame, waiting: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of members in different components whose groups are one or share a list and are promising.
 
     A pair of groups that was found wanting before is wanting for all of their members.
     """
-    labelled, spread, rows = _open_lists(lists, members, labels)
+    labelled, spread, rows = _open_lists(waiting, members, labels)
     left, right = rows.alias("l"), rows.alias("r")
     fits = (F.col("l.token") == F.col("r.token")) & (F.col("l.gid") < F.col("r.gid"))
     sizes = _may_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at"))

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from journeylens.llm import byte_bpe, centroids, packing, pii, quality_rules, resampling, suffix_array, word_automaton
+from journeylens.llm import (
+    byte_bpe, centroids, packing, pii, quality_rules, resampling, shingle_join, suffix_array, toxicity, word_automaton,
+)
 
 DOCS = "doc_id long, text string, place string"
 AWKWARD = [
@@ -326,3 +328,15 @@ def test_pipeline_runs_and_runs_on_nothing(spark, tables, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rounds_leave_lists_that_lie_in_one_component(spark):
+    lists = spark.createDataFrame(
+        [(1, 1, 9, 0), (1, 2, 9, 0), (2, 3, 9, 0), (2, 4, 9, 0), (3, 1, 9, 1), (3, 5, 90, 1)], "token long, gid long, n long, at int"
+    )
+    posted = spark.createDataFrame([(g, [1, 2, 3], 9, 5) for g in range(1, 6)], "gid long, tokens array<long>, n long, last long")
+    members = spark.createDataFrame([(g, g) for g in range(1, 6)], "gid long, doc_id long")
+    labels = spark.createDataFrame([(3, 3), (4, 3)], "node long, component long")
+    pairs, waiting = shingle_join._between(lists, posted, members, labels, 0)
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]  # the sizes of 1 and 5 allow no link
+    assert {r.token for r in waiting.collect()} == {1, 3}
