@@ -10,6 +10,7 @@ the training folds. The examples are bounded samples of whole texts; scoring cov
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +39,35 @@ def words(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+def _feature(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
+
+
 def features(word: str) -> list[int]:
     """Hashes of a word and of its beginnings."""
-    begun = [f"{word[:n]}-" for n in BEGINNINGS if len(word) >= n]
-    return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in (word, *begun)]
+    return [_feature(x) for x in (word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) >= n))]
+
+
+def numbers(word: str, vocabulary: dict[int, int], plain: set[str]) -> bytes:
+    """The 32-bit numbers of those of `features` that are in the vocabulary of `train`.
+
+    Texts with a word have all its beginnings, so past a beginning in too few examples, neither longer ones nor the
+    word are in enough. `plain` remembers the shortest beginnings that do not count.
+    """
+    start, found = word[: BEGINNINGS[0]], []
+    if start in plain:
+        return b""
+    for n in BEGINNINGS:
+        if len(word) < n:
+            break
+        begun = vocabulary.get(_feature(f"{word[:n]}-"))
+        if begun is None:
+            if not found:
+                plain.add(start)
+            return array("i", found).tobytes()
+        found.append(begun)
+    whole = vocabulary.get(_feature(word))
+    return array("i", found if whole is None else [*found, whole]).tobytes()
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,20 +147,22 @@ def score(documents: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | No
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
-        weight = dict(zip(model[0].tolist(), model[1].tolist())) if model else {}
+        model, known, plain = shared.value, {}, set()
+        vocabulary = {feature: n for n, feature in enumerate(model[0].tolist())} if model else {}
+        weights, constant = (model[1], model[2]) if model else (np.empty(0), 0.0)
         for batch in batches:
             z = []
             for text in batch.column(1):
-                if len(known) > REMEMBERED:
+                if len(known) + len(plain) > REMEMBERED:
                     known.clear()
-                found: set[int] = set()
-                for word in words(text.as_py() or ""):
-                    own = known.get(word)
-                    if own is None:
-                        own = known[word] = tuple(f for f in features(word) if f in weight)
-                    found.update(own)
-                z.append(sum(map(weight.__getitem__, sorted(found))) + (model[2] if model else 0.0))
+                    plain.clear()
+                own = words(text.as_py() or "")
+                for word in own:
+                    if word not in known:
+                        known[word] = numbers(word, vocabulary, plain)
+                # Sorted, so that a text has the same sum wherever it is.
+                found = np.unique(np.frombuffer(b"".join(map(known.__getitem__, own)), np.int32))
+                z.append(sum(weights[found].tolist()) + constant)
             chance = 1 / (1 + np.exp(-np.clip(z, -30, 30))) if model else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance, pa.float64())], ["doc_id", "score"])
 

@@ -340,3 +340,16 @@ def test_rounds_leave_lists_that_lie_in_one_component(spark):
     pairs, waiting = shingle_join._between(lists, posted, members, labels, 0)
     assert [tuple(r) for r in pairs.collect()] == [(1, 2)]  # the sizes of 1 and 5 allow no link
     assert {r.token for r in waiting.collect()} == {1, 3}
+
+
+def test_a_word_has_no_number_past_a_beginning_that_does_not_count():
+    draw = random.Random(4)
+    texts = [{"".join(draw.choice("abé") for _ in range(draw.randint(1, 9))) for _ in range(30)} for _ in range(60)]
+    sets = [{f for word in text for f in toxicity.features(word)} for text in texts]
+    seen, counts = np.unique(np.concatenate([np.array(sorted(s), np.uint64) for s in sets]), return_counts=True)
+    vocabulary = {f: n for n, f in enumerate(seen[counts >= toxicity.LEAST_EXAMPLES].tolist())}
+    plain, words = set(), sorted(set().union(*texts)) + ["zzzzzzz", "abéz", ""]
+    for word in words * 2:
+        found = np.frombuffer(toxicity.numbers(word, vocabulary, plain), np.int32)
+        assert sorted(found.tolist()) == sorted(vocabulary[f] for f in toxicity.features(word) if f in vocabulary)
+    assert 0 < len(vocabulary) < len(seen) and "zzzz" in plain
