@@ -44,6 +44,10 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
     """Ids of whole texts, as little-endian 32-bit numbers, through the ids of their words.
 
@@ -66,6 +70,28 @@ class WordTokenizer:
         return (plain, word[len(base) :]) if len(base) < len(word) else (plain,)
 
     def _learn(self, words: set[str]) -> None:
+        """Words of letters below 256, signs after them or not, need but a look-up or the merges; the rest goes by parts."""
+        known, rest = self.known, []
+        for word in words:
+            base = word.rstrip(_SIGNS)
+            if not base.isalpha() or not base.isascii() and max(base) >= "\u0100":
+                rest.append(word)
+                continue
+            lower = base.lower()
+            ids = known.get(lower)
+            if ids is None:
+                letters = lower if lower.isascii() else lower.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = known[lower] = _packed([t.id for t in self.model.tokenize(letters)])
+            if len(base) < len(word):
+                signs = word[len(base) :]
+                if signs not in known:
+                    known[signs] = _packed(self.tokenizer.encode(signs, add_special_tokens=False).ids)
+                ids += known[signs]
+            known[word] = ids
+        if rest:
+            self._learn_parts(rest)
+
+    def _learn_parts(self, words: list[str]) -> None:
         parts = {word: self._parts(word) for word in words}
         new = [p for p in {p for ps in parts.values() for p in ps} if p not in self.known]
         # Lower-case letters below 256 are normal as they are and one piece, so the merges alone give their ids.
@@ -74,7 +100,7 @@ class WordTokenizer:
         others = [p for p in new if not (p.isalpha() and max(p) < "\u0100" and p == p.lower())]
         found += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         for piece, ids in zip(single + others, found):
-            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            self.known[piece] = _packed(ids)
         for word, pieces in parts.items():
             self.known[word] = b"".join(map(self.known.__getitem__, pieces))
 
@@ -85,13 +111,13 @@ class WordTokenizer:
             if end < len(text):
                 end = max(text.find(" ", end), 0) or len(text)
             words = text[start:end].replace("\n", " ").split(" ")
-            distinct = set(words)
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            if missing := {x for x in distinct if x not in self.known}:
+            if missing := set(words).difference(self.known):
                 self._learn(missing)
             out.append(b"".join(map(self.known.__getitem__, words)))
-            for word in distinct:
+            # Long ones are never known, so always missing.
+            for word in missing:
                 if len(word) > REMEMBERED_LENGTH:
                     del self.known[word]
             start = end

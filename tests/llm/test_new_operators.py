@@ -353,3 +353,12 @@ def test_a_word_has_no_number_past_a_beginning_that_does_not_count():
         found = np.frombuffer(toxicity.numbers(word, vocabulary, plain), np.int32)
         assert sorted(found.tolist()) == sorted(vocabulary[f] for f in toxicity.features(word) if f in vocabulary)
     assert 0 < len(vocabulary) < len(seen) and "zzzz" in plain
+
+
+def test_words_of_letters_below_256_need_the_merges_only(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        model = file.read()
+    own, whole = packing.WordTokenizer(model), Tokenizer.from_str(model)
+    monkeypatch.setattr(own, "_parts", lambda word: pytest.fail(f"{word!r} went by parts"))
+    text = "Weiß, cióníja, Éouêre etéoiéle&&& ÀÉ! ªº µm ÿ plain PLAIN plain.\nword||| ÿÿ,, " + "é" * 90 + " " + "x" * 90 + "!"
+    assert own.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
