@@ -14,7 +14,7 @@ pair of documents meet with a chance of some |x| * |y| / 2^64). Two sets link wh
    verified on whole sets, and components are formed.
    The places of a shared token in two prefixes bound what the sets can share. Then, in rounds, each group whose list
    holds other components is held against a fixed number of groups of one of them, again a linear number. Rounds go on
-   while they merge components at a rate that saves more pairs in step 5 than they try.
+   while step 5 has more pairs to try than a round, and the last one saved it as many as it tried itself.
 5. What may still be missing are links between different components: pairs of groups that share a list, are promising
    and lie in different components are expanded to their members and verified too.
 
@@ -47,8 +47,6 @@ FREQUENT_FROM = 8
 LIST_ROWS = 10_000
 #: Groups of another component that a posting is held against in a round.
 TURNS = 8
-#: Rounds end when fewer than one in so many of their pairs are links; step 5 has the rest.
-SETTLED = 100
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -328,18 +326,21 @@ def near_copies(documents: DataFrame) -> DataFrame:
     labels = materialize(components(links))
     done = neighbours.unionByName(candidates)
     # Components only grow together, so a list that lies in one does so in all later rounds.
-    waiting = lists.filter("many").select("token", "gid", "n", "at")
-    turn, settled = 0, False
-    while not settled:
-        fits, waiting = _between(waiting, posted, members, labels, turn)
-        more = materialize(fits.join(done, ["a", "b"], "left_anti"))
+    opened = _open_lists(lists.filter("many").select("token", "gid", "n", "at"), members, labels)
+    turn, (tried, left) = 0, _pairs(opened)
+    while left > tried:
+        more = materialize(_between(opened, posted, turn).join(done, ["a", "b"], "left_anti"))
         found = materialize(verify(more, documents))
-        linked = found.count()
-        settled = linked == 0 or SETTLED * linked < more.count()
         done = done.unionByName(more)
-        labels = materialize(relabel(labels, found)) if linked else labels
-        turn += TURNS
-    more = materialize(_across(lists, waiting, posted, members, labels).join(done, ["a", "b"], "left_anti"))
+        if not found.limit(1).count():
+            break
+        labels = materialize(relabel(labels, found))
+        opened = _open_lists(opened[2].select("token", "gid", "n", "at"), members, labels)
+        turn, before, spent = turn + TURNS, left, tried
+        tried, left = _pairs(opened)
+        if before - left < spent:
+            break
+    more = materialize(_across(lists, opened, posted).join(done, ["a", "b"], "left_anti"))
     found = materialize(verify(more, documents))
     if found.limit(1).count():
         labels = materialize(relabel(labels, found))
@@ -354,8 +355,11 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
 
 
-def _open_lists(waiting: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members with their components; the least and largest of each group; postings of lists with several of them."""
+def _open_lists(
+    waiting: DataFrame, members: DataFrame, labels: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Members with their components; the least and largest of each group; postings of lists with several of them;
+    the number of postings of these lists and of their pairs in different components."""
     labelled = materialize(
         members.join(labels, F.col("doc_id") == F.col("node"), "left").select(
             "gid", "doc_id", F.coalesce("component", "doc_id").alias("component")
@@ -367,21 +371,34 @@ def _open_lists(waiting: DataFrame, members: DataFrame, labels: DataFrame) -> tu
         )
     )
     listing = materialize(waiting.join(spread, "gid"))
+    held = listing.groupBy("token", "low").agg(F.max("high").alias("high"), F.count(F.lit(1)).cast("double").alias("n"))
     split = materialize(
-        listing.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
+        held.groupBy("token")
+        .agg(
+            F.min("low").alias("l"),
+            F.max("high").alias("h"),
+            F.sum("n").alias("postings"),
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+        )
+        .filter("l <> h")
+        .select("token", "postings", "pairs")
     )
-    return labelled, spread, materialize(listing.join(split, "token"))
+    return labelled, spread, materialize(listing.join(split.select("token"), "token")), split
+
+
+def _pairs(opened: tuple[DataFrame, ...]) -> tuple[float, float]:
+    """The pairs that a round may try in the open lists, and those that step 5 has to, which grow with their squares."""
+    none = F.lit(0.0)
+    postings, pairs = opened[3].agg(F.coalesce(F.sum("postings"), none), F.coalesce(F.sum("pairs"), none)).first()
+    return TURNS * postings, pairs
 
 
-def _between(
-    waiting: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame, first: int
-) -> tuple[DataFrame, DataFrame]:
+def _between(opened: tuple[DataFrame, ...], posted: DataFrame, first: int) -> DataFrame:
     """For each posting of a list with several components, up to TURNS pairs (a, b) with groups of another one.
 
-    Rounds that start with another `first` turn draw other groups. Also the postings of these lists, of which alone
-    later rounds may still have some.
+    Rounds that start with another `first` turn draw other groups.
     """
-    _, _, rows = _open_lists(waiting, members, labels)
+    rows = opened[2]
     turns = [
         F.struct("low", F.xxhash64("token", "gid", F.lit(first + i)).alias("turn"), "gid", "n", "at") for i in range(TURNS)
     ]
@@ -395,15 +412,15 @@ def _between(
     # Judged before rows are made of them; in a short list several turns draw the same group.
     drawn = F.array_distinct(F.transform(F.filter(others, may_link), lambda other: other["gid"]))
     fits = rows.join(ends, "token").select("gid", F.explode(drawn).alias("other")).select(*_pair("gid", "other")).distinct()
-    return promising(fits, posted), rows.select("token", "gid", "n", "at")
+    return promising(fits, posted)
 
 
-def _across(lists: DataFrame, waiting: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+def _across(lists: DataFrame, opened: tuple[DataFrame, ...], posted: DataFrame) -> DataFrame:
     """Pairs (a, b) of members in different components whose groups are one or share a list and are promising.
 
     A pair of groups that was found wanting before is wanting for all of their members.
     """
-    labelled, spread, rows = _open_lists(waiting, members, labels)
+    labelled, spread, rows, _ = opened
     left, right = rows.alias("l"), rows.alias("r")
     fits = (F.col("l.token") == F.col("r.token")) & (F.col("l.gid") < F.col("r.gid"))
     sizes = _may_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at"))

@@ -94,3 +94,34 @@ def test_last_row_of_a_list_in_pieces_stays(monkeypatch):
     batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names) for part in (rows[:9], rows[9:])]
     out = [r for b in shingle_join._listed(iter(batches)) for r in b.to_pylist()]
     assert sorted(r["gid"] for r in out) == list(range(10)) and all(r["many"] for r in out)
+
+
+def _passages(n):
+    """Texts that share a passage and no more, each with a near copy in whose place a few words differ."""
+    rows = []
+    for i in range(n):
+        words = [f"p{j}" for j in range(8)] + [f"v{i}x{j}" for j in range(60)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:30] + ["other"] + words[31:]))]
+    return rows
+
+
+def test_no_round_where_step_5_has_fewer_pairs(spark, monkeypatch):
+    tried = []
+    monkeypatch.setattr(shingle_join, "_between", lambda *args: tried.append(args))
+    rows = _passages(4)
+    assert ours(spark, rows) == brute(rows) and not tried
+
+
+def test_rounds_end_once_they_save_less_than_they_try(spark, monkeypatch):
+    between, tried = shingle_join._between, []
+    monkeypatch.setattr(shingle_join, "_between", lambda *args: tried.append(args) or between(*args))
+    monkeypatch.setattr(shingle_join, "TURNS", 1)
+    draw = random.Random(5)
+    rows = _passages(12)
+    # A chain of near copies in lists of their own, of which each round finds some.
+    words = [f"c{j}" for j in range(120)]
+    for i in range(100, 140):
+        words = [w if draw.random() > 0.012 else f"d{i}" for w in words]
+        rows.append((i, " ".join(words)))
+    assert ours(spark, rows) == brute(rows)
+    assert 0 < len(tried) < 4
