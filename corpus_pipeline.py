@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from journeylens.llm import packing, pii, quality_rules, resampling
 from journeylens.llm.common import table
 from journeylens.llm.shingle_join import near_copies
-from journeylens.runtime import materialize
+from journeylens.runtime import bound_batches, materialize
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return quality_rules.keep(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Judges what the rules left by models of the good text and of all raw text, before any filter."""
+    bound_batches(spark)
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
     raw = table(spark, sf_dir, "documents", "doc_id", "text")
     return resampling.keep(docs, labels, raw=raw)
@@ -26,6 +28,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies; of rows that repeat its id, that of the least text,
     then of the least other columns. Rows without an id are in no group and stay."""
+    bound_batches(spark)
     found = near_copies(docs.select("doc_id", "text"))
     dropped = materialize(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct())
     # One plan at every size: the dropped ids may be broadcast here and too many there.
@@ -40,12 +43,14 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind; n_chars follows the new text."""
+    bound_batches(spark)
     changed = pii.redact(docs)
     length = F.char_length(F.coalesce("text", F.lit(""))).cast(dict(docs.dtypes).get("n_chars", "long"))
     return changed.withColumn("n_chars", length) if "n_chars" in docs.columns else changed
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return packing.pack_documents(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
