@@ -6,7 +6,7 @@ import pytest
 from helpers import by
 
 from journeylens.operators import classify as c
-from journeylens.runtime import scratch_path
+from journeylens.runtime import materialize, scratch_path
 
 COLUMNS = (
     "visit_traffic_source_type string, visit_traffic_source_name string, segment_name string, "
@@ -153,6 +153,22 @@ def test_rare_sources_and_copies_are_dropped(spark):
     assert frequent.count() == 22
 
 
+def test_copies_are_dropped_within_a_layout(spark, monkeypatch):
+    """One shuffle by the columns asked for, in which sources go by their number; too many sources go as they are."""
+    schema = COLUMNS + ", b2b_b2c string, user string, visit int"
+    rows = [(f"t{i % 3}", f"paid {i % 7}" if i % 5 else None, None, None, None, None, i % 2 == 0, "B2C", f"u{i % 4}" if i % 9 else None, i % 60) for i in range(420)]
+    visits = materialize(spark.createDataFrame(rows + [(*rows[0][:7], "B2B", "u1", 1)], schema))
+    usual = sorted(map(repr, c.classify(visits).collect()))
+    laid_out = c.classify(visits, by=["user"], tasks=3)
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+    assert "segment_name" not in next(line for line in plan.splitlines()[plan[: plan.index("Exchange hash")].count("\n") + 1 :])
+    assert sorted(map(repr, laid_out.collect())) == usual and len(usual) == len(set(rows)) < len(rows)
+    monkeypatch.setattr(c, "FEW_SOURCES", 1)
+    assert sorted(map(repr, c.classify(visits, by=["user"], tasks=3).collect())) == usual
+    assert sorted(map(repr, c.classify(visits).collect())) == usual
+
+
 def test_lookup_is_exact_beyond_a_broadcast(spark):
     schema = COLUMNS + ", b2b_b2c string, visit int"
     rows = [(f"t{i % 3}", f"paid {i % 7}" if i % 5 else None, None, None, None, None, i % 2 == 0, "B2C", i) for i in range(200)]

@@ -6,12 +6,13 @@ import pytest
 from helpers import at, by, same_rows, visits
 from pyspark.sql import functions as F
 
+from journeylens import runtime
 from journeylens.functions import labels
 from journeylens.names import COHORT, JOURNEY, MODELS, USER, WINDOWS
-from journeylens.operators import journeys, markov, models, windows
+from journeylens.operators import journeys, ltv, markov, models, windows
 from journeylens.plans import queries, stages
 from journeylens.plans.queries import _BUILD
-from journeylens.runtime import materialize
+from journeylens.runtime import materialize, materialize_by
 from journeylens.sources.tables import run_dates
 
 SCORES = [MODELS[m] for m in ("last_click", "first_click", "position_based", "time_decay")]
@@ -123,6 +124,31 @@ def test_one_order_serves_all_windows(spark, rule, hot_rows):
     assert counts[0] < counts[1] < counts[2]
 
 
+def test_steps_of_all_windows_are_one_row(spark):
+    rows = materialize(nested_visits(spark))
+    once = materialize(journeys.touches_once(rows, "as_is", hot_rows=None))
+    counts = materialize(markov.step_counts(once))
+    apart = markov.edges(journeys.per_window(once))
+    same_rows(markov.per_window_steps(counts), apart)
+    same_rows(markov.edges(once), apart)
+    assert counts.count() < apart.count()
+    raw = markov.removal_effects_raw(materialize(apart))
+    same_rows(markov.removal_effects_raw(counts), raw)
+    same_rows(markov.removal_effects_raw(counts, 4), raw)
+
+
+def test_laid_out_visits_are_not_shuffled_again(spark):
+    """Hot users are, and come back into the layout."""
+    rows = materialize_by(nested_visits(spark).withColumn("run_date", F.to_date("conversion_visit_timestamp")).repartition(3, USER), [USER], 3)
+    usual = journeys.touches_once(rows, "as_is", hot_rows=None)
+    laid_out = journeys.touches_once(rows, "as_is", hot_rows=None, laid_out=True, layout=3)
+    assert "Exchange" not in laid_out._jdf.queryExecution().executedPlan().toString()
+    same_rows(journeys.per_window(laid_out), journeys.per_window(usual))
+    hot = journeys.touches_once(rows, "as_is", hot_rows=5, laid_out=True, layout=3)
+    same_rows(journeys.per_window(hot), journeys.per_window(usual))
+    assert hot.rdd.getNumPartitions() == 3
+
+
 def test_touches_are_ordered_and_kept_once(spark):
     rows = materialize(nested_visits(spark))
     once = journeys.touches_once(rows, "as_is", hot_rows=None)
@@ -217,6 +243,26 @@ def test_only_conversions_of_the_run_dates_are_deduplicated_for_windows(spark, t
     assert 0 < kept.count() < stage.classified.count()
 
 
+def test_windowed_visits_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """By user, in as many tasks as the rows ask for; products and values then need no shuffle of journeys by user."""
+    rows = [(i, at(f"2024-01-{16 + i % 15:02d} {i % 24:02d}:00:00"), i % 7, ("view", "signup", "purchase")[i % 3], float(i)) for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    nations = spark.createDataFrame([(i, f"n{i}") for i in range(25)], "n_nationkey int, n_name string")
+    nations.write.parquet(str(tmp_path / "nation.parquet"))
+    usual = stages.Stages(spark, str(tmp_path))
+    assert usual.tasks is None
+    split = stages.Stages(spark, str(tmp_path))
+    monkeypatch.setattr(runtime, "LAYOUT_ROWS", 200)
+    assert split.tasks > 4
+    same_rows(split.windowed, usual.windowed)
+    same_rows(split.placed, usual.placed)
+    for stage in (usual, split):
+        products = ltv.join_product(models.journeys(stage.touches), stage.windowed)
+        assert "Exchange" not in products._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+    same_rows(split.averages, usual.averages)
+
+
 def test_rolling_rows_are_exploded_into_as_many_tasks_as_they_ask_for(spark, monkeypatch):
     rows = [(f"u{u}", f"2024-01-{d:02d} 01:00:00", "AB"[d % 2], 1) for u in range(9) for d in range(1, 20)]
     rows = visits(spark, rows, kind="Subscription").withColumn("conversion_visit_timestamp", F.col("attribution_visit_start_time"))

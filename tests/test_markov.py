@@ -237,3 +237,22 @@ def test_credit_does_not_shuffle_touches_laid_out_by_user(spark):
     assert by(credited, ["user_guid", "channel"], MODELS["markov"]) == {("u", "A"): (0.5,), ("u", "B"): (0.5,), ("w", "A"): (0.0,)}
     split = markov.with_markov_credit(placed, raw, hot_rows=1)
     assert by(split, ["user_guid", "channel"], MODELS["markov"]) == by(credited, ["user_guid", "channel"], MODELS["markov"])
+
+
+def test_removal_effects_packed_by_channel_need_no_shuffle_of_touches(spark, monkeypatch):
+    """Beyond the few that go as rows; cohorts and channels without an effect stay without one."""
+    rows = [(f"u{u}", f"2024-01-20 0{h}:00:00", "ABCD"[(u + h) % 4], int(h == 3)) for u in range(6) for h in (1, 2, 3)]
+    frame = visits(spark, rows).unionByName(visits(spark, rows[4:], kind="Subscription", window=60))
+    stored = materialize_by(journeys.touches_once(frame), journeys.SPLIT_KEYS)
+    raw = materialize(markov.removal_effects_raw(markov.edges(stored)).filter("conversion_window = 30 or channel <> 'A'"))
+    keys = [*COHORT, "user_guid", "position"]
+    usual = by(markov.with_markov_credit(stored, raw), keys, "channel", MODELS["markov"])
+    monkeypatch.setattr(markov, "FEW_WEIGHTS", 1)
+    assert markov.sent(raw) == "packed"
+    packed = markov.with_markov_credit(stored, raw)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 2
+    assert by(packed, keys, "channel", MODELS["markov"]) == usual and len(usual) == 32
+    monkeypatch.setattr(markov, "PACKED_BYTES", 1)
+    assert markov.sent(raw) == ""
+    assert by(markov.with_markov_credit(stored, raw), keys, "channel", MODELS["markov"]) == usual

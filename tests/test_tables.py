@@ -1,6 +1,7 @@
 """Labels, app events, timing, values, sinks, checks and the whole run on small fixtures."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from helpers import at, by, same_rows, visits
@@ -12,6 +13,7 @@ from journeylens.names import USER, VISIT_TS
 from journeylens.operators import appevents, journeys, ltv, models, timing
 from journeylens.operators import ltv as value_columns
 from journeylens.operators import skew
+from journeylens.plans import queries
 from journeylens.plans.attribution import attribute, reported_type, run, run_median_history, run_rolling
 from journeylens.runtime import materialize, scratch_path, scratch_root
 from journeylens.sinks import tables as sinks
@@ -321,3 +323,17 @@ def test_hot_keys_are_dealt_evenly_and_joined_alike(spark):
     assert len(sizes) == 11 and max(r["count"] for r in sizes) < 2 * 1000 / 11
     same_rows(skew.salted_left_join(rows, other, ["k", "d"], ["id"], 100), rows.join(other, ["k", "d"], "left"))
     same_rows(skew.salted_left_join(rows, other, ["k", "d"], ["id"], 10_000), rows.join(other, ["k", "d"], "left"))
+
+
+def test_rows_written_twice_are_made_once(spark):
+    rows = spark.createDataFrame([(date(2024, 1, 20), "Trial", 30, "A", 1.0)] * 3, "run_date date, conversion_type string, conversion_window int, channels string, n double")
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    counted = rows.coalesce(1).mapInArrow(count, rows.schema)
+    back = queries.written(SimpleNamespace(spark=spark), counted, sinks.append)
+    assert back.count() == 6 and made.value == 3
