@@ -329,13 +329,14 @@ def near_copies(documents: DataFrame) -> DataFrame:
     opened = _open_lists(lists.filter("many").select("token", "gid", "n", "at"), members, labels)
     turn, (tried, left) = 0, _pairs(opened)
     while left > tried:
-        more = materialize(_between(opened, posted, turn).join(done, ["a", "b"], "left_anti"))
+        drawn, waiting = _between(opened[2], posted, members, labels, turn, opened)
+        more = materialize(drawn.join(done, ["a", "b"], "left_anti"))
         found = materialize(verify(more, documents))
         done = done.unionByName(more)
         if not found.limit(1).count():
             break
         labels = materialize(relabel(labels, found))
-        opened = _open_lists(opened[2].select("token", "gid", "n", "at"), members, labels)
+        opened = _open_lists(waiting, members, labels)
         turn, before, spent = turn + TURNS, left, tried
         tried, left = _pairs(opened)
         if before - left < spent:
@@ -393,12 +394,16 @@ def _pairs(opened: tuple[DataFrame, ...]) -> tuple[float, float]:
     return TURNS * postings, pairs
 
 
-def _between(opened: tuple[DataFrame, ...], posted: DataFrame, first: int) -> DataFrame:
+def _between(
+    waiting: DataFrame, posted: DataFrame, members: DataFrame, labels: DataFrame, first: int,
+    opened: tuple[DataFrame, ...] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """For each posting of a list with several components, up to TURNS pairs (a, b) with groups of another one.
 
-    Rounds that start with another `first` turn draw other groups.
+    Rounds that start with another `first` turn draw other groups. Also the postings of these lists, of which alone
+    later rounds may still have some. `opened` is what `_open_lists` found, where it is known.
     """
-    rows = opened[2]
+    rows = (opened or _open_lists(waiting, members, labels))[2]
     turns = [
         F.struct("low", F.xxhash64("token", "gid", F.lit(first + i)).alias("turn"), "gid", "n", "at") for i in range(TURNS)
     ]
@@ -412,7 +417,7 @@ def _between(opened: tuple[DataFrame, ...], posted: DataFrame, first: int) -> Da
     # Judged before rows are made of them; in a short list several turns draw the same group.
     drawn = F.array_distinct(F.transform(F.filter(others, may_link), lambda other: other["gid"]))
     fits = rows.join(ends, "token").select("gid", F.explode(drawn).alias("other")).select(*_pair("gid", "other")).distinct()
-    return promising(fits, posted)
+    return promising(fits, posted), rows.select("token", "gid", "n", "at")
 
 
 def _across(lists: DataFrame, opened: tuple[DataFrame, ...], posted: DataFrame) -> DataFrame:
